@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 REFERENCE = T.StructType(
@@ -177,5 +177,6 @@ def user_role_report(
     if environment_id is not None:
         roles = roles.filter((F.col("scope") != "environment") | (F.col("scope_id") == F.lit(environment_id)))
     held = roles.select("user_id", "scope", "role").distinct()
-    listed: Column = F.array_join(F.sort_array(F.collect_set("role")), ",")
-    return held.groupBy("user_id").pivot("scope", scopes).agg(listed)
+    listed = F.array_join(F.sort_array(F.collect_set("role")), ",")
+    wide = held.groupBy("user_id").pivot("scope", scopes).agg(listed)
+    return wide.withColumns({s: F.nullif(F.col(s), F.lit("")) for s in scopes})

@@ -85,7 +85,7 @@ def to_service(nodes: DataFrame) -> DataFrame:
             c["dataType"].alias("dataType"),
             F.coalesce(c["description"], F.lit("")).alias("description"),
             F.coalesce(c["nullable"], F.lit(True)).alias("nullable"),
-            c["columnReference.columnCounter"].alias("columnID"),
+            c["columnReference"]["columnCounter"].alias("columnID"),
             sources.alias("sources"),
         )
 
