@@ -71,7 +71,7 @@ def d3_unsupported_sources(t):
 @query(
     "d4_diff_tail",
     """WITH p AS (SELECT p_partkey AS k FROM part),
-    x AS (SELECT k, k % 6 = 0 AS g, k % 3 = 0 AS og, k % 8 = 0 AS plain, k % 8 = 0 OR k % 13 = 0 AS o, k % 4 = 0 AS oo,
+    x AS (SELECT k, k % 6 = 0 AS g, k % 3 = 0 AS og, k % 8 = 0 AND NOT (k % 19 = 0 AND k % 10 <> 0 AND k % 9 <> 0 AND k % 14 <> 1) AS plain, k % 8 = 0 OR k % 13 = 0 AS o, k % 4 = 0 AS oo,
       CASE WHEN k % 10 = 0 THEN CASE WHEN k % 19 = 0 THEN NULL ELSE 10 END WHEN k % 9 = 0 THEN -1 WHEN k % 14 = 1 THEN CASE WHEN k % 19 = 0 THEN NULL ELSE 7 END END AS l, CASE WHEN k % 5 = 0 THEN 10 END AS ol, k % 7 = 0 AS commented FROM p),
     y AS (SELECT * REPLACE (g AND NOT commented AS g, plain AND NOT commented AS plain, o AND NOT commented AS o, CASE WHEN NOT commented THEN l END AS l) FROM x),
     z AS (SELECT k, og, oo, CASE WHEN g = og THEN 'identical' WHEN g THEN 'added' ELSE 'removed' END AS group_by,
