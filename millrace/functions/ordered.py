@@ -1,12 +1,14 @@
 """Ordered computations inside a key that stay parallel when one key holds most of the rows.
 
 A plain window sorts a whole key in one task. Where the largest key is small that is the best
-plan and is used. Where it is not, rows are split into ordered buckets: the order column is cut
-at quantiles (a bounded list of numbers), every (key, bucket) is its own window group, and each
-bucket gets ghost rows that carry what the neighbouring buckets contribute: a count or sum of
-everything before, or the nearest row on the other side. The result is exact in both ways.
+plan and is used. Where it is not, the rows of the large keys are split into ordered buckets: the
+order column is cut at quantiles (a bounded list of numbers), every (key, bucket) is its own window
+group, and each bucket gets ghost rows that carry what the neighbouring buckets contribute: a count
+or sum of everything before, or the nearest row on the other side. The result is exact in both ways.
 
 A single order value that holds a great share of the rows is cut once more along the tie column.
+Keys below the limit keep one bucket. The split rows are written to the shared scratch folder once,
+so that what they were computed from does not run again for the ghosts.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
+from millrace.sources.scratch import Scratch
+
 HOT_ROWS = 2_000_000  # the largest key a single task is asked to sort
 BUCKETS = 64
 SALTS = 32
@@ -33,12 +37,12 @@ def order_number(df: DataFrame, name: str) -> Column:
     raise TypeError(f"order column {name} must be a number, date or timestamp, not {kind}")
 
 
-def has_hot_key(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> bool:
-    """Measured, not guessed: one pre-aggregated count per key, one number to the driver."""
-    if not keys:
-        return True
-    largest = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return (largest or 0) > hot_rows
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """Keys with more rows than one task should sort, or None. Measured, not guessed: one
+    pre-aggregated count per key, one number to the driver."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    largest = counts.agg(F.max("__n")).first()[0]
+    return None if (largest or 0) <= hot_rows else counts.filter(F.col("__n") > hot_rows).drop("__n")
 
 
 def _cuts(df: DataFrame, number: Column, buckets: int) -> list[float]:
@@ -48,28 +52,39 @@ def _cuts(df: DataFrame, number: Column, buckets: int) -> list[float]:
 
 
 def _place(number: Column, cuts: list[float]) -> Column:
-    """Cut values get a bucket of their own (odd), the ranges between them another (even)."""
-    if not cuts:
-        return F.lit(0)
-    points = F.array(*[F.lit(c) for c in sorted(set(cuts))])
-    below = F.size(F.filter(points, lambda p: p < number))
-    upto = F.size(F.filter(points, lambda p: p <= number))
-    return F.coalesce(below + upto, F.lit(-1))
-
-
-def bucketed(df: DataFrame, order: str, tie: str | None, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``__bucket``: a struct whose order agrees with (order, tie)."""
-    number = order_number(df, order)
-    cuts = _cuts(df, number, buckets)
-    main = _place(number, cuts)
+    """Cut values get a bucket of their own (odd), the ranges between them another (even).
+
+    A balanced tree of comparisons, so a row costs a handful of them inside generated code.
+    """
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(2 * lo)
+        mid = (lo + hi) // 2
+        at = F.lit(points[mid])
+        return F.when(number < at, search(lo, mid)).when(number == at, F.lit(2 * mid + 1)).otherwise(search(mid + 1, hi))
+
+    points = sorted(set(cuts))
+    return F.when(number.isNull(), F.lit(-1)).otherwise(search(0, len(points)))
+
+
+def bucketed(df: DataFrame, keys: list[str], hot: DataFrame, order: str, tie: str | None, buckets: int = BUCKETS) -> DataFrame:
+    """Add ``__bucket``: a struct whose order agrees with (order, tie); keys that are not hot have one."""
+    marks = hot.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    tagged = df.join(marks, on, "left") if keys else df.withColumn("__hot", F.lit(True))
+    tagged = tagged.drop(*[f"__k{i}" for i in range(len(keys))])
+    numbers = {"__num": order_number(df, order)} | ({"__tie": order_number(df, tie)} if tie else {})
+    tagged = Scratch(df.sparkSession, "split").write(tagged.withColumns(numbers), "rows")
+    is_hot, number = F.coalesce("__hot", F.lit(False)), F.col("__num")
+    cuts = _cuts(tagged.filter(is_hot), number, buckets)
     heavy = sorted({c for c in cuts if cuts.count(c) > 1})
+    sub = F.lit(0)
     if heavy and tie is not None:
-        tie_number = order_number(df, tie)
-        inner = _cuts(df.filter(number.isin(heavy)), tie_number, buckets)
-        sub = F.when(number.isin(heavy), _place(tie_number, inner)).otherwise(F.lit(0))
-    else:
-        sub = F.lit(0)
-    return df.withColumn("__bucket", F.struct(main.alias("b"), sub.alias("s")))
+        inner = _cuts(tagged.filter(is_hot & number.isin(heavy)), F.col("__tie"), buckets)
+        sub = F.when(is_hot & number.isin(heavy), _place(F.col("__tie"), inner)).otherwise(F.lit(0))
+    placed = F.struct(F.when(is_hot, _place(number, cuts)).otherwise(F.lit(0)).alias("b"), sub.alias("s"))
+    return tagged.withColumn("__bucket", placed).drop("__hot", *numbers)
 
 
 def _order(order: str, tie: str | None, descending: bool) -> list[Column]:
@@ -90,10 +105,11 @@ def running_total(
     """Sum of ``value`` over the rows of the key up to and including this one."""
     frame = (Window.unboundedPreceding, Window.currentRow)
     ordering = _order(order, tie, descending)
-    if not has_hot_key(df, keys, hot_rows):
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
         return df.withColumn(name, F.sum(value).over(w))
-    rows = bucketed(df, order, tie).withColumn("__v", value).withColumn("__ghost", F.lit(False))
+    rows = bucketed(df, keys, hot, order, tie).withColumn("__v", value).withColumn("__ghost", F.lit(False))
     direction = F.desc("__bucket") if descending else F.asc("__bucket")
     before = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
     ghosts = (
@@ -136,7 +152,7 @@ def ranked(
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """RANK and DENSE_RANK: numbered over the distinct values, then joined back to the rows."""
-    if not has_hot_key(df, keys, hot_rows):
+    if hot_keys(df, keys, hot_rows) is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order, None, descending))
         return df.withColumn(rank, F.rank().over(w).cast("long")).withColumn(dense, F.dense_rank().over(w).cast("long"))
     values = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("__n"))
@@ -165,12 +181,13 @@ def neighbour(
     """
     picked = F.struct(*[F.col(c).alias(c) for c in columns])
     ordering = _order(order, tie, False)
-    if not has_hot_key(df, keys, hot_rows):
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
         w = Window.partitionBy(*keys).orderBy(*ordering)
         rows = df.withColumn("__near", (F.lag if step < 0 else F.lead)(picked).over(w))
         return _unpack(rows, columns, present)
 
-    rows = bucketed(df, order, tie).withColumn("__ghost", F.lit(0)).withColumn("__row", picked)
+    rows = bucketed(df, keys, hot, order, tie).withColumn("__ghost", F.lit(0)).withColumn("__row", picked)
     along = F.struct(*[F.col(c) for c in ([order, tie] if tie else [order])])
     edge = F.max_by("__row", along) if step < 0 else F.min_by("__row", along)
     next_bucket = (F.lead if step < 0 else F.lag)("__bucket").over(Window.partitionBy(*keys).orderBy("__bucket"))

@@ -60,3 +60,29 @@ def test_top_per_key(rows):
 def test_order_must_be_cuttable(rows):
     with pytest.raises(TypeError):
         ordered.order_number(rows.select(F.lit("x").alias("s")), "s")
+
+
+def test_only_hot_keys_are_split(spark, rows):
+    hot = ordered.hot_keys(rows, ["k"], 1000)
+    assert [r["k"] for r in hot.collect()] == [1]
+    split = ordered.bucketed(rows, ["k"], hot, "o", "t")
+    per_key = {r["k"]: r["n"] for r in split.groupBy("k").agg(F.countDistinct("__bucket").alias("n")).collect()}
+    assert per_key[1] > 60 and per_key[0] == per_key[2] == 1
+    largest = split.groupBy("k", "__bucket").count().agg(F.max("count")).first()[0]
+    assert largest < 300
+    w = Window.partitionBy("k").orderBy("o", "t")
+    expected = rows.withColumn("n", F.row_number().over(w).cast("long"))
+    same(ordered.numbered(rows, ["k"], "o", "t", "n", hot_rows=1000), expected)
+
+
+def test_null_keys_and_orders(spark):
+    df = spark.createDataFrame([(None, 1, 1), (None, None, 2), (1, 3, 3), (1, 2, 4), (None, 5, 5)], "k int, o int, t int")
+    w = Window.partitionBy("k").orderBy("o", "t")
+    expected = df.withColumn("n", F.row_number().over(w).cast("long")).withColumn("p", F.lag("t").over(w))
+    found = ordered.neighbour(ordered.numbered(df, ["k"], "o", "t", "n", hot_rows=0), ["k"], "o", "t", {"t": "p"}, hot_rows=0)
+    same(found, expected)
+
+
+def test_no_keys_at_all(rows):
+    w = Window.orderBy("o", "t")
+    same(ordered.numbered(rows, [], "o", "t", "n", hot_rows=0), rows.withColumn("n", F.row_number().over(w).cast("long")))
