@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.names import norm, norm_expression, squeeze
 from millrace.operators.graph import source_names
 from millrace.operators.joins import predecessor_coverage
-
-norm_expr = norm_expression
-
+from millrace.sources.scratch import Scratch
 
 # ---- column versions -----------------------------------------------------------------------
 
@@ -34,7 +32,8 @@ def diff_columns(before: DataFrame, after: DataFrame) -> DataFrame:
     """
     b = _by_name(before).select("node_id", "key", F.col("r").alias("b"))
     a = _by_name(after).select("node_id", "key", F.col("r").alias("a"))
-    both = b.join(a, ["node_id", "key"], "full")
+    # Read five times below, so written once.
+    both = Scratch(before.sparkSession, "versions").write(b.join(a, ["node_id", "key"], "full"), "matched")
     old_expr, new_expr = F.coalesce("b.expression", F.lit("")), F.col("a.expression")
     retyped = (F.coalesce("a.data_type", F.lit("")) != "") & ~norm("a.data_type").eqNullSafe(norm("b.data_type"))
     blank = (old_expr == "") & ((new_expr == "") | is_null_placeholder(new_expr))

@@ -323,7 +323,7 @@ R9 = """SELECT 'suggestion' AS severity, 'unused_columns' AS category, node_id,
       SELECT k.node_id, count(*) AS n, count(*) FILTER (u.src_column IS NULL) AS unused FROM wide k LEFT JOIN (SELECT DISTINCT src_column FROM narrow) u ON u.src_column = k.column_id GROUP BY 1)
     WHERE unused > 5 AND unused < n AND unused / n > 0.5"""
 WIDE_SQL = """, wide AS (SELECT node_id, column_id, name FROM node_columns UNION ALL SELECT p_partkey, p_partkey * 10 + 8 + unnest(range(0, 2)), 'W' || unnest(range(0, 2)) FROM part),
-    narrow AS (SELECT * FROM column_refs WHERE src_column % 10 < 2)
+    narrow AS (SELECT r.* FROM column_refs r JOIN node_columns n ON n.column_id = r.src_column AND n.name IN ('ID', 'CODE'))
 """
 
 
@@ -336,8 +336,9 @@ def wide_columns(t):
 
 
 def narrow_refs(t):
-    """References to the first two columns of a node only."""
-    return c.column_refs(t).filter("src_column % 10 < 2")
+    """References to identifiers and codes only."""
+    read = c.node_columns(t).filter("name IN ('ID', 'CODE')").selectExpr("column_id AS src_column")
+    return c.column_refs(t).join(read, "src_column", "left_semi")
 
 
 @query(
@@ -478,8 +479,8 @@ def e4_diagnose_runs(t):
 
 
 RUNS_SQL = with_sql("runs", "run_nodes", "nodes", "edges") + """, sizes AS (SELECT environment_id, count(*) AS n FROM nodes GROUP BY 1),
-    rs AS (SELECT r.* REPLACE (CASE WHEN run_id % 40 = 7 THEN n ELSE nodes_in_run END AS nodes_in_run) FROM runs r LEFT JOIN sizes s ON s.environment_id = r.environment_id),
-    ls AS (SELECT DISTINCT run_id, node_id FROM run_nodes WHERE run_id % 40 <> 7),
+    rs AS (SELECT r.* REPLACE (CASE WHEN nodes_in_run IS NOT NULL THEN n END AS nodes_in_run) FROM runs r LEFT JOIN sizes s ON s.environment_id = r.environment_id),
+    ls AS (SELECT DISTINCT run_id, node_id FROM run_nodes),
     done AS (SELECT *, coalesce(end_time, start_time) AS run_time FROM rs WHERE status IN ('completed', 'failed', 'canceled')),
     exp AS (SELECT d.environment_id, d.run_id, d.status, run_time, node_id FROM done d JOIN ls ON ls.run_id = d.run_id),
     whole AS (SELECT d.environment_id, d.run_id, d.status, run_time FROM done d JOIN sizes s ON s.environment_id = d.environment_id
@@ -493,12 +494,12 @@ RUNS_SQL = with_sql("runs", "run_nodes", "nodes", "edges") + """, sizes AS (SELE
 
 
 def health_inputs(t):
-    """Runs with every fortieth covering its whole environment, results without those, nodes."""
+    """Runs, results and nodes; a run without results may cover its whole environment."""
     env_nodes = c.nodes(t).select("environment_id", "node_id")
     sizes = env_nodes.groupBy("environment_id").agg(F.count(F.lit(1)).alias("n"))
-    full = F.when(F.col("run_id") % 40 == 7, F.col("n")).otherwise(F.col("nodes_in_run"))
+    full = F.when(F.col("nodes_in_run").isNotNull(), F.col("n"))
     rs = c.runs(t).join(sizes, "environment_id", "left").withColumn("nodes_in_run", full).drop("n")
-    return rs, c.run_nodes(t).filter("run_id % 40 <> 7"), env_nodes
+    return rs, c.run_nodes(t), env_nodes
 
 
 @query("e5_attribute_runs", RUNS_SQL + "SELECT environment_id, run_id, status, node_id FROM exp UNION ALL SELECT environment_id, run_id, status, NULL FROM whole")

@@ -10,18 +10,23 @@ from millrace.plans.steps import run_steps
 from millrace.sources.scratch import Scratch
 from millrace.streaming import streams
 
-# A target and its change set: customers as loaded before, and as they are now.
-TARGET_SQL = """WITH t AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
-    s AS (SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment FROM customer WHERE c_custkey % 2 = 0)
+# A target and its change set: all customers, and what each one's latest order says about them, with
+# every supplier as a new key.
+TARGET_SQL = """WITH t AS (SELECT c_custkey AS k, c_name AS name, c_mktsegment AS segment FROM customer),
+    o AS (SELECT o_custkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) = 1),
+    s AS (SELECT k, name, CASE WHEN o_orderstatus = 'F' THEN segment ELSE 'MOVED' END AS segment FROM t JOIN o ON o_custkey = k
+      UNION ALL SELECT -1 - s_suppkey, s_name, 'SUPPLIER' FROM supplier)
 """
 
 
 def merge_inputs(t):
-    target = t.customer.filter("c_custkey % 3 <> 0").selectExpr("c_custkey AS k", "c_name AS name", "c_mktsegment AS segment")
-    source = t.customer.filter("c_custkey % 2 = 0").selectExpr(
-        "c_custkey AS k", "c_name AS name", "CASE WHEN c_custkey % 5 = 0 THEN 'MOVED' ELSE c_mktsegment END AS segment"
+    target = t.customer.selectExpr("c_custkey AS k", "c_name AS name", "c_mktsegment AS segment")
+    last = load.latest_per_key(t.orders.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderstatus"), ["o_custkey"], "o_orderdate", "o_orderkey")
+    changed = target.join(last, F.col("k") == F.col("o_custkey")).selectExpr(
+        "k", "name", "CASE WHEN o_orderstatus = 'F' THEN segment ELSE 'MOVED' END AS segment"
     )
-    return target, source
+    new = t.supplier.selectExpr("-1 - s_suppkey AS k", "s_name AS name", "'SUPPLIER' AS segment")
+    return target, changed.unionByName(new)
 
 
 UPSERT_SQL = TARGET_SQL + "SELECT * FROM s UNION ALL SELECT * FROM t WHERE k NOT IN (SELECT k FROM s)"
@@ -40,7 +45,7 @@ def l2_dimension_scd1(t):
 
 
 SCD2_SQL = TARGET_SQL + """, v AS (SELECT *, TIMESTAMP '2020-01-01' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current FROM t
-      UNION ALL SELECT k, name, 'OLD', TIMESTAMP '2019-01-01', TIMESTAMP '2020-01-01', FALSE FROM t WHERE k % 7 = 0),
+      UNION ALL SELECT k, name, 'OLD', TIMESTAMP '2019-01-01', TIMESTAMP '2020-01-01', FALSE FROM t),
     ch AS (SELECT s.k FROM s JOIN t ON s.k = t.k WHERE s.segment <> t.segment)
     SELECT k, name, segment, valid_from, CASE WHEN is_current AND k IN (SELECT k FROM ch) THEN TIMESTAMP '2024-01-01' ELSE valid_to END AS valid_to,
       is_current AND k NOT IN (SELECT k FROM ch) AS is_current FROM v
@@ -51,7 +56,7 @@ def _scd2(t, merge):
     target, source = merge_inputs(t)
     none = F.lit(None).cast("timestamp_ntz")
     current = target.withColumns({"valid_from": F.expr("TIMESTAMP_NTZ '2020-01-01'"), "valid_to": none, "is_current": F.lit(True)})
-    past = target.filter("k % 7 = 0").withColumns(
+    past = target.withColumns(
         {
             "segment": F.lit("OLD"),
             "valid_from": F.expr("TIMESTAMP_NTZ '2019-01-01'"),

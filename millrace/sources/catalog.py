@@ -155,17 +155,25 @@ def scan_runs(
     return runs
 
 
-def run_details(runs: DataFrame, run_nodes: DataFrame) -> DataFrame:
-    """Run metadata with its results, one row per result; a run without results keeps one row.
+def with_details(heads: DataFrame, details: DataFrame, key: str) -> DataFrame:
+    """Every head with its details, one row per detail; a head without any keeps one row.
 
-    Rows, not a list per run: one run may hold a large share of all results.
+    Rows, not lists, and an inner join plus the heads without details instead of an outer join: so a
+    head with a large share of all details is split by skew handling, and a small table of heads can be
+    broadcast.
     """
-    return runs.join(run_nodes, "run_id", "left")
+    alone = heads.join(details.select(key).distinct(), key, "left_anti")
+    return heads.join(details, key).unionByName(alone, allowMissingColumns=True)
+
+
+def run_details(runs: DataFrame, run_nodes: DataFrame) -> DataFrame:
+    """Run metadata with its results."""
+    return with_details(runs, run_nodes, "run_id")
 
 
 def environment_overview(environments: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Every environment with its deployed nodes, one row per node; empty ones keep one row."""
-    return environments.join(nodes, "environment_id", "left")
+    """Every environment with its deployed nodes."""
+    return with_details(environments, nodes, "environment_id")
 
 
 def user_role_report(

@@ -28,11 +28,15 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """One fresh folder per job; ``release`` removes it once the result is stored elsewhere."""
+    """One fresh folder per job. Results read from it, so it stays until they are stored elsewhere;
+    then ``release`` removes it, or ``release_all`` every folder this process has opened."""
+
+    opened: list[Scratch] = []
 
     def __init__(self, spark: SparkSession, label: str = "job"):
         self.spark = spark
         self.path = f"{checkpoint_root(spark)}/millrace/{label}-{uuid.uuid4().hex}"
+        Scratch.opened.append(self)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         where = f"{self.path}/{name}"
@@ -40,7 +44,14 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(where)
 
     def release(self) -> None:
+        if self in Scratch.opened:
+            Scratch.opened.remove(self)
         jvm = self.spark._jvm
         target = jvm.org.apache.hadoop.fs.Path(self.path)
         conf = self.spark._jsc.hadoopConfiguration()
         target.getFileSystem(conf).delete(target, True)
+
+
+def release_all() -> None:
+    for scratch in list(Scratch.opened):
+        scratch.release()
