@@ -42,7 +42,7 @@ def _pick(values: list[str], index: str) -> str:
 
 def nodes(t: Tables) -> DataFrame:
     return t.part.selectExpr(
-        "0 AS workspace_id",
+        "cast(p_size div 100 as int) AS workspace_id",
         "p_partkey AS node_id",
         f"concat({_pick(PREFIXES, 'p_size')}, upper(p_type), '_', p_partkey) AS name",
         f"{_pick(TYPES, 'p_size')} AS node_type",
@@ -64,9 +64,9 @@ def edges(t: Tables) -> DataFrame:
 
 def node_columns(t: Tables) -> DataFrame:
     """3 + k % 6 columns per node; odd positions carry a transform."""
-    rows = t.part.selectExpr("p_partkey AS node_id", "explode(sequence(0, cast(2 + p_partkey % 6 as int))) AS ordinal")
+    rows = t.part.selectExpr("cast(p_size div 100 as int) AS workspace_id", "p_partkey AS node_id", "explode(sequence(0, cast(2 + p_partkey % 6 as int))) AS ordinal")
     return rows.selectExpr(
-        "0 AS workspace_id",
+        "workspace_id",
         "node_id",
         "ordinal",
         "node_id * 10 + ordinal AS column_id",
@@ -222,7 +222,7 @@ def _sql_pick(values: list[str], index: str) -> str:
 
 
 SQL = {
-    "nodes": f"""SELECT CAST(0 AS INT) AS workspace_id, p_partkey AS node_id,
+    "nodes": f"""SELECT CAST(p_size // 100 AS INT) AS workspace_id, p_partkey AS node_id,
         {_sql_pick(PREFIXES, 'p_size')} || upper(p_type) || '_' || p_partkey AS name,
         {_sql_pick(TYPES, 'p_size')} AS node_type, p_brand AS location,
         CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_name END AS description,
