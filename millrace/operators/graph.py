@@ -60,7 +60,7 @@ def extract_edges(nodes: DataFrame, rule: str = "lineage", refs: DataFrame | Non
         found, inside = named, False
         if refs is not None:
             other = refs.select("workspaceID", F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
-            found = named.unionByName(other.join(named, ["workspaceID", "dst"], "left_anti"))
+            found = named.unionByName(other.join(named.select("workspaceID", "dst").distinct(), ["workspaceID", "dst"], "left_anti"))
     else:
         raise ValueError("rule is lineage, health, review or join")
     found = found.filter("src IS NOT NULL").distinct()
@@ -85,9 +85,9 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
     spark = edges.sparkSession
     scratch = Scratch(spark, "traverse")
     here, there = ("dst", "src") if reverse else ("src", "dst")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    step = edges.select(F.col(here).alias("node"), F.col(there).alias("next")).distinct()
-    step = step.repartition(parts, "node").persist()
+    # Written as it comes, not partitioned by node: a hub with a great share of the edges would make
+    # one huge partition. A small frontier is broadcast to it, a large one joins with skew handling.
+    step = scratch.write(edges.select(F.col(here).alias("node"), F.col(there).alias("next")).distinct(), "edges")
     frontier = scratch.write(starts.select("root", "node").distinct(), "reached/depth=0")
     shape = frontier.schema
     depth = 0
@@ -97,7 +97,6 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
         reached = frontier.join(step, "node").select("root", F.col("next").alias("node")).distinct()
         fresh = reached.join(seen, ["root", "node"], "left_anti")
         frontier = scratch.write(fresh, f"reached/depth={depth}")
-    step.unpersist()
     full = T.StructType([*shape.fields, T.StructField("depth", T.IntegerType())])
     return spark.read.schema(full).parquet(f"{scratch.path}/reached").filter("depth > 0")
 
@@ -171,8 +170,8 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
     starts = scratch.write(starts.select("root", "node").distinct(), "starts")
     reach = traverse(edges, starts).select("root", "node").unionByName(starts)
     step = edges.select(F.col("src").alias("node"), F.col("dst").alias("next")).distinct()
-    inner = scratch.write(reach.join(step, "node").select("root", "node", "next"), "inner").persist()
-    need = inner.groupBy("root", F.col("next").alias("node")).agg(F.count(F.lit(1)).alias("need")).persist()
+    inner = scratch.write(reach.join(step, "node").select("root", "node", "next"), "inner")
+    need = scratch.write(inner.groupBy("root", F.col("next").alias("node")).agg(F.count(F.lit(1)).alias("need")), "need")
     kind = edges.schema["src"].dataType
     first = starts.join(need, ["root", "node"], "left_anti")
     ready = scratch.write(
@@ -193,8 +192,6 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
         )
         ready = scratch.write(state.filter("full").select("root", "node", "best.neg", "best.prev"), f"ready/round={rnd}")
         waiting = state.filter("NOT full").select("root", "node", "got", "best")
-    inner.unpersist()
-    need.unpersist()
     done = spark.read.schema(shape).parquet(f"{scratch.path}/ready").select(*shape.names)
     if waiting is not None:
         done = done.unionByName(waiting.select("root", "node", "best.neg", "best.prev"))

@@ -319,7 +319,7 @@ def recursive_expand(seed: DataFrame, edges: DataFrame, max_depth: int | None =
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "expand")
-    step = edges.select(F.col("src").alias("node"), F.col("dst").alias("next")).persist()
+    step = scratch.write(edges.select(F.col("src").alias("node"), F.col("dst").alias("next")), "edges")
     start = seed.groupBy("root", "node").agg(F.count(F.lit(1)).alias("paths"))
     level, depth = scratch.write(start.withColumn("depth", F.lit(0)), "level/0"), 0
     names = [f"{scratch.path}/level/0"]
@@ -330,7 +330,6 @@ def recursive_expand(seed: DataFrame, edges: DataFrame, max_depth: int | None =
         if level.isEmpty():
             break
         names.append(f"{scratch.path}/level/{depth}")
-    step.unpersist()
     return spark.read.schema(level.schema).parquet(*names)
 
 

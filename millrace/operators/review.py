@@ -82,7 +82,7 @@ def fan_out_risk(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def orphan_node(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    linked = edges.select(F.explode(F.array("src", "dst")).alias("node_id"))
+    linked = edges.select(F.explode(F.array("src", "dst")).alias("node_id")).distinct()
     hit = nodes.select("node_id").join(linked, "node_id", "left_anti")
     return _finding(hit, "warning", "orphan_node", _text("no predecessors and no dependents"))
 

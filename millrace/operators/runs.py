@@ -223,7 +223,7 @@ def attribute_runs(runs: DataFrame, run_nodes: DataFrame, env_nodes: DataFrame)
         done.filter("job_id IS NULL AND nodes_in_run IS NOT NULL")
         .join(sizes, "environment_id")
         .filter("nodes_in_run = n")
-        .join(listed, "run_id", "left_anti")
+        .join(listed.select("run_id").distinct(), "run_id", "left_anti")
         .select(*cols)
     )
     return explicit, whole
@@ -278,8 +278,8 @@ def dependency_health(env_nodes: DataFrame, edges: DataFrame, has_upstream: Data
         .join(at.withColumnRenamed("node_id", "src"), ["environment_id", "src"], "left_semi")
     )
     fed = has_upstream if has_upstream is not None else edges.select(F.col("dst").alias("node_id"))
-    read = inside.select("environment_id", F.col("src").alias("node_id"))
-    orphans = env_nodes.join(read, ["environment_id", "node_id"], "left_anti").join(fed, "node_id", "left_anti")
+    read = inside.select("environment_id", F.col("src").alias("node_id")).distinct()
+    orphans = env_nodes.join(read, ["environment_id", "node_id"], "left_anti").join(fed.distinct(), "node_id", "left_anti")
     return orphans, inside.groupBy("environment_id").agg(F.count(F.lit(1)).alias("edges"))
 
 

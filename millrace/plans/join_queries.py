@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions import ordered
 from millrace.operators import joins, resolve
 from millrace.plans import catalogue as c
 from millrace.plans.catalogue import with_sql
@@ -23,12 +24,12 @@ def keyed(t):
     + """, h AS (SELECT e.dst AS node_id, dense_rank() OVER (PARTITION BY e.dst ORDER BY e.src) AS pos, e.src AS pred_id, c.name AS key
                  FROM edges e JOIN node_columns c ON c.node_id = e.src),
     p AS (SELECT b.node_id, b.pos AS right_pos, min(a.pos) AS left_pos FROM h a JOIN h b ON a.node_id = b.node_id AND a.key = b.key AND a.pos < b.pos GROUP BY 1, 2)
-    SELECT p.node_id, CAST(p.left_pos AS INT) AS left_pos, CAST(p.right_pos AS INT) AS right_pos, a.pred_id AS left_id, b.pred_id AS right_id, a.key AS key, a.key AS left_name, b.key AS right_name
+    SELECT p.node_id, p.left_pos, p.right_pos, a.pred_id AS left_id, b.pred_id AS right_id, a.key AS key, a.key AS left_name, b.key AS right_name
     FROM p JOIN h a ON a.node_id = p.node_id AND a.pos = p.left_pos JOIN h b ON b.node_id = p.node_id AND b.pos = p.right_pos AND a.key = b.key""",
 )
 def j1_suggest_joins(t):
-    # A node has at most three predecessors here, so the place of each is a small window.
-    placed = c.edges(t).selectExpr("dst AS node_id", "src AS pred_id", "dense_rank() OVER (PARTITION BY dst ORDER BY src) AS pos")
+    edges = c.edges(t).selectExpr("dst AS node_id", "src AS pred_id")
+    placed = ordered.numbered(edges, ["node_id"], "pred_id", None, "pos")
     cols = c.node_columns(t).selectExpr("node_id AS pred_id", "ordinal", "name")
     return joins.suggest_joins(placed.join(cols, "pred_id"))
 
