@@ -95,7 +95,11 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
         depth += 1
         seen = spark.read.schema(shape).parquet(*[f"{scratch.path}/reached/depth={d}" for d in range(depth)])
         reached = frontier.join(step, "node").select("root", F.col("next").alias("node")).distinct()
-        fresh = reached.join(seen, ["root", "node"], "left_anti")
+        reached = scratch.write(reached, f"candidates/{depth}")
+        # Only what was seen among the candidates matters: late rounds have few of them, so they are
+        # broadcast against the seen pairs, which then need no shuffle.
+        known = seen.join(reached, ["root", "node"], "left_semi")
+        fresh = reached.join(known, ["root", "node"], "left_anti")
         frontier = scratch.write(fresh, f"reached/depth={depth}")
     full = T.StructType([*shape.fields, T.StructField("depth", T.IntegerType())])
     return spark.read.schema(full).parquet(f"{scratch.path}/reached").filter("depth > 0")

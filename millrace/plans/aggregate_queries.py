@@ -356,6 +356,16 @@ def w3_lead_lag_split_keys(t):
     return _near(t, hot_rows=0)
 
 
+@query(
+    "w4_running_total",
+    """SELECT user_id, event_id, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events""",
+)
+def w4_running_total(t):
+    rows = t.events.select("user_id", "event_id", "ts", "value")
+    found = ordered.running_total(rows, ["user_id"], "ts", "event_id", F.col("value").cast(MONEY), "running")
+    return found.select("user_id", "event_id", F.col("running").cast("double").alias("running"))
+
+
 @query(
     "w4_first_last_value",
     """SELECT DISTINCT user_id, first_value(event_type) OVER w AS first_value, last_value(event_type) OVER w AS last_value FROM events
@@ -540,7 +550,8 @@ def f_math(t):
 @query(
     "f_date",
     """SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2001-08-02') AS age, o_orderdate + INTERVAL 10 DAY AS later, date_trunc('month', o_orderdate) AS month_start,
-       CAST(CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS DATE) AS quarter_on, CAST(o_orderdate AS DATE) + 5 AS plus5, CAST(o_orderdate AS DATE) - 5 AS minus5 FROM orders""",
+       CAST(CAST(o_orderdate AS DATE) + INTERVAL 3 MONTH AS DATE) AS quarter_on, CAST(o_orderdate AS DATE) + 5 AS plus5, CAST(o_orderdate AS DATE) - 5 AS minus5,
+       CAST(o_orderdate AS DATE) + CAST(8 - isodow(o_orderdate) AS INT) AS next_monday FROM orders""",
 )
 def f_date(t):
     return t.orders.selectExpr(
@@ -551,15 +562,22 @@ def f_date(t):
         "add_months(to_date(o_orderdate), 3) AS quarter_on",
         "date_add(o_orderdate, 5) AS plus5",
         "date_sub(o_orderdate, 5) AS minus5",
+        "next_day(o_orderdate, 'MON') AS next_monday",
     )
 
 
 @query(
     "f_array",
-    """SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word, len(string_split(p_name, ' ')) AS words, list_contains(string_split(p_name, ' '), 'ring') AS has_ring FROM part""",
+    """WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS words FROM part)
+       SELECT p_partkey, CAST(i - 1 AS INT) AS place, words[i] AS word, len(words) AS words, list_contains(words, 'ring') AS has_ring, array_to_string(words[2:2], ' ') AS second
+       FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM w)""",
 )
 def f_array(t):
     words = F.split("p_name", " ")
     return t.part.select(
-        "p_partkey", F.explode(words).alias("word"), F.size(words).cast("long").alias("words"), F.array_contains(words, "ring").alias("has_ring")
+        "p_partkey",
+        F.posexplode(words).alias("place", "word"),
+        F.size(words).cast("long").alias("words"),
+        F.array_contains(words, "ring").alias("has_ring"),
+        F.array_join(F.slice(words, 2, 1), " ").alias("second"),
     )

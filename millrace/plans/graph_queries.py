@@ -391,20 +391,33 @@ def r9_unused_columns(t):
     return review.unused_columns(wide_columns(t), narrow_refs(t))
 
 
-@query(
-    "r10_review",
-    CHAIN.replace("WITH RECURSIVE", "WITH RECURSIVE node_columns AS (" + c.SQL["node_columns"] + "),\n", 1).replace(
-        "edges AS (", "edges AS (", 1
-    )
-    + ", column_refs AS (" + c.SQL["column_refs"] + ")\n"
-    + JOINS_SQL + LAYERED + WIDE_SQL
-    + " UNION ALL ".join(f"({r.replace('FROM node_columns', 'FROM wide_t')})" if i == 0 else f"({r})" for i, r in enumerate((R1, R2, R3, R4, R5, R6, R7, R8, R9))).join(
-        [", wide_t AS (SELECT node_id, name, transform FROM node_columns UNION ALL SELECT p_partkey, 'W' || unnest(range(0, 2)), NULL FROM part)\n", ""]
-    ),
+# All rules over one catalogue; the first rule looks at the widened columns too.
+WIDE_TRANSFORMS = ", wide_t AS (SELECT node_id, name, transform FROM node_columns UNION ALL SELECT p_partkey, 'W' || unnest(range(0, 2)), NULL FROM part)\n"
+REVIEW_WITH = (
+    CHAIN.replace("WITH RECURSIVE", "WITH RECURSIVE node_columns AS (" + c.SQL["node_columns"] + "),\n", 1)
+    + ", column_refs AS ("
+    + c.SQL["column_refs"]
+    + ")\n"
+    + JOINS_SQL
+    + LAYERED
+    + WIDE_SQL
+    + WIDE_TRANSFORMS
 )
+REVIEW = " UNION ALL ".join(f"({r})" for r in (R1.replace("FROM node_columns", "FROM wide_t"), R2, R3, R4, R5, R6, R7, R8, R9))
+
+
+def review_all(t):
+    return review.review(c.nodes(t), c.edges(t), wide_columns(t), join_conditions(t), narrow_refs(t))
+
+
+@query("r10_severity_counts", REVIEW_WITH + f"SELECT severity, category, count(*) AS n FROM ({REVIEW}) GROUP BY 1, 2")
+def r10_severity_counts(t):
+    return review.severity_counts(review_all(t))
+
+
+@query("r10_review", REVIEW_WITH + REVIEW)
 def r10_review(t):
-    found = review.review(c.nodes(t), c.edges(t), wide_columns(t), join_conditions(t), narrow_refs(t))
-    return sorting.severity_sort(found)
+    return sorting.severity_sort(review_all(t))
 
 
 # ---- runs and health ------------------------------------------------------------------------------

@@ -477,3 +477,32 @@ def test_step_order_kinds_and_cycles(spark):
     assert rows(run_steps(spark, steps, {"src": spark.range(4)})["last"]) == [(0, 2), (1, 2)]
     with pytest.raises(Exception, match="cycle|CycleError"):
         step_order({"a": "SELECT * FROM b", "b": "SELECT * FROM a"})
+
+
+def test_review_of_a_part(spark):
+    nodes = spark.createDataFrame([(1, i, f"N{i}", "View") for i in range(4)], "workspace_id int, node_id int, name string, node_type string")
+    edges = spark.createDataFrame([(0, 2), (1, 2)], "src int, dst int")
+    columns = spark.createDataFrame([(2, 20, "A", None)], "node_id int, column_id int, name string, transform string")
+    none = spark.createDataFrame([], "node_id int, join_condition string")
+    refs = spark.createDataFrame([], "src_node int, src_column int, dst_node int, dst_column int")
+    whole = review.review(nodes, edges, columns, none, refs)
+    assert rows(whole, "category", "node_id") == [("missing_join_condition", 2), ("orphan_node", 3), ("type_mismatch", 2)]
+    part = review.review(nodes, edges, columns, none, refs, scope=spark.createDataFrame([(3,), (0,)], "node_id int"))
+    assert rows(part, "category", "node_id") == [("orphan_node", 0), ("orphan_node", 3)]
+    assert rows(review.severity_counts(whole), "severity", "n") == [("critical", 1), ("warning", 1), ("warning", 1)]
+
+
+def test_one_key_with_most_rows(spark):
+    """A third of the rows, and more, share a key: results stay whole."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("t"), (F.col("id") % 7).alias("v"))
+    assert windows.latest_per_key(df, ["k"], "t", "v").filter("k = 0").first()["t"] == 29_998
+    changes = load.scd2_from_history(df, ["k"], ["v"], "t", "t", hot_rows=1000)
+    plain = load.scd2_from_history(df, ["k"], ["v"], "t", "t")
+    assert rows(changes.groupBy("k").count().filter("k = 0")) == rows(plain.groupBy("k").count().filter("k = 0"))
+    assert changes.exceptAll(plain).count() == 0 and changes.count() == plain.count()
+    details = df.withColumnRenamed("k", "run_id")
+    from millrace.sources.catalog import run_details
+
+    heads = spark.createDataFrame([(0, "hot"), (-1, "alone")], "run_id long, name string")
+    found = run_details(heads, details)
+    assert found.count() == 20_001 and found.filter("run_id = -1 AND t IS NULL").count() == 1
