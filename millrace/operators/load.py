@@ -107,7 +107,7 @@ def scd2_from_history(
     """All versions of every key from a change log: a version starts where a tracked value changes."""
     before = neighbour(df, keys, ts, tie, {c: f"__p_{c}" for c in tracked}, -1, "__has", **options)
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in tracked])
-    starts = before.filter(~F.col("__has") | ~same).select(*keys, *tracked, ts, tie)
+    starts = before.filter(~F.col("__has") | ~same).select(*dict.fromkeys([*keys, *tracked, ts, tie]))
     versions = neighbour(starts, keys, ts, tie, {ts: "valid_to"}, 1, **options)
     return versions.select(*keys, *tracked, F.col(ts).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
@@ -195,7 +195,7 @@ def satellite(
 
     With ``existing``, its latest row per key is what the first new row is compared with.
     """
-    rows = df.select(*hub_keys, *attributes, ts, tie).withColumns(
+    rows = df.select(*dict.fromkeys([*hub_keys, *attributes, ts, tie])).withColumns(
         {"hash_key": hash_of(hub_keys), "hash_diff": hash_of(attributes), "__old": F.lit(False)}
     )
     if existing is not None:
@@ -204,7 +204,7 @@ def satellite(
     rows = neighbour(rows, ["hash_key"], ts, tie, {"hash_diff": "__before"}, -1, **options)
     changed = ~F.col("hash_diff").eqNullSafe(F.col("__before"))
     return rows.filter(changed & ~F.col("__old")).select(
-        "hash_key", *hub_keys, *attributes, ts, tie, "hash_diff", F.lit(record_source).alias("record_source")
+        *dict.fromkeys(["hash_key", *hub_keys, *attributes, ts, tie, "hash_diff"]), F.lit(record_source).alias("record_source")
     )
 
 
