@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 
 def qualify(df: DataFrame, window: dict[str, str], predicate: str) -> DataFrame:
@@ -29,17 +30,27 @@ def first_per_key(df: DataFrame, keys: list[str], order: str, tie: str | None =
 
 
 def _pick(df: DataFrame, keys: list[str], order: str, tie: str | None, newest: bool) -> DataFrame:
-    # Timestamps, numbers and text all compare inside a struct; only the tie of ``newest`` runs the
-    # other way, so it is compared in a second pass over the rows that share the newest time.
+    # Comparing inside a struct keeps rows whose order is null: they come last for ``newest``.
     row = F.struct(*[F.col(c) for c in df.columns])
     if not newest:
-        along = F.struct(*[F.col(c) for c in ([order, tie] if tie else [order])])
-        best: Column = F.min_by(row, along)
-        return df.groupBy(*keys).agg(best.alias("r")).select("r.*")
-    if tie is None:
-        return df.groupBy(*keys).agg(F.max_by(row, F.col(order)).alias("r")).select("r.*")
-    per_time = df.groupBy(*keys, order).agg(F.min_by(row, F.col(tie)).alias("r"))
-    return per_time.groupBy(*keys).agg(F.max_by("r", F.col(order)).alias("r")).select("r.*")
+        best = F.min_by(row, F.struct(*dict.fromkeys([order, tie] if tie else [order])))
+    elif tie is None:
+        best = F.max_by(row, F.struct(order))
+    else:
+        falling = _falling(df, tie)
+        if falling is None:
+            per_time = df.groupBy(*keys, order).agg(F.min_by(row, F.struct(tie)).alias("r"))
+            return per_time.groupBy(*keys).agg(F.max_by("r", F.struct(order)).alias("r")).select("r.*")
+        best = F.max_by(row, F.struct(F.col(order).alias("o"), falling.alias("t")))
+    return df.groupBy(*keys).agg(best.alias("r")).select("r.*")
+
+
+def _falling(df: DataFrame, name: str) -> Column | None:
+    """A number that falls as the column rises, so that "newest, then lowest" is one maximum."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.bitwise_not(F.col(name))
+    return -F.col(name) if isinstance(kind, T.NumericType) else None
 
 
 def first_and_last(df: DataFrame, keys: list[str], order: str, tie: str, value: str) -> DataFrame:

@@ -263,7 +263,9 @@ def test_median_and_mode(spark, hot_rows):
 
 def test_latest_and_first_with_ties(spark):
     df = spark.createDataFrame([(1, 5, 2, "b"), (1, 5, 1, "a"), (1, 4, 0, "c"), (2, None, 7, "d")], "k int, t int, i int, v string")
-    assert rows(windows.latest_per_key(df, ["k"], "t", "i"), "k", "v")[0] == (1, "a")
+    assert rows(windows.latest_per_key(df, ["k"], "t", "i"), "k", "v") == [(1, "a"), (2, "d")]
+    assert rows(windows.latest_per_key(df, ["k"], "t", "v"), "k", "v") == [(1, "a"), (2, "d")]
+    assert rows(windows.latest_per_key(df, ["k"], "t"), "k") == [(1,), (2,)]
     assert rows(windows.first_per_key(df, ["k"], "t", "i"), "k", "v") == [(1, "c"), (2, "d")]
 
 
