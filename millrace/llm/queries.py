@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe
+from millrace.llm import bpe, jaccard
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -34,3 +34,9 @@ def op10(spark, folder):
     """Token count and digests of the ids and of the decoded text, for every document."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return bpe.digests(docs, WORD_BPE).drop("text")
+
+
+@query("op2_jaccard_join")
+def op2(spark, folder):
+    """Near-duplicate components of all documents: five words, similarity 0.8."""
+    return jaccard.near_duplicates(table(spark, folder, "documents"))

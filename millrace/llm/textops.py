@@ -121,7 +121,7 @@ def grams(hashes: np.ndarray, k: int) -> np.ndarray:
 
 
 def folded(hashes: np.ndarray) -> int:
-    """One hash of a whole short sequence (for texts with fewer words than a gram)."""
+    """One hash of a whole short sequence, of at most 32 entries (for texts with fewer words than a gram)."""
     n = len(hashes)
-    padded = np.concatenate([hashes, np.full(64 - n, n, dtype=_U)]) if n < 64 else hashes
-    return int(mixed(grams(padded, 64)[:1] + _U(n))[0])
+    padded = np.concatenate([hashes, np.full(33 - n, n, dtype=_U)])
+    return int(grams(padded, 33)[0])
