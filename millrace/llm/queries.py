@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, jaccard
+from millrace.llm import bpe, jaccard, langid
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -40,3 +40,12 @@ def op10(spark, folder):
 def op2(spark, folder):
     """Near-duplicate components of all documents: five words, similarity 0.8."""
     return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+@query("op4_language_id")
+def op4(spark, folder):
+    """The predicted language of every document; the third with held_out was not learned from."""
+    docs = table(spark, folder, "documents")
+    model = langid.train(docs)
+    found = langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model)
+    return found.drop("text")
