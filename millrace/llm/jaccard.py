@@ -4,7 +4,8 @@ Every text becomes the set of its distinct shingles of five words. The shingles
 number in each group is the document's point. Two sets share at most the sum of the smaller coordinates of their points;
 that bound, taken over the boxes of an R-tree, over single points, and at last the shingles themselves decide.
 
-Points of this many dimensions lie about equally far apart, so boxes of one tree over all documents would overlap nearly
+Long texts have more groups, a power of two times ``GROUPS``, so that their points tell as much; points of different
+length are compared after the longer one's groups are added up. Points of this many dimensions lie about equally far apart, so boxes of one tree over all documents would overlap nearly
 everywhere. The forest therefore has one tree for every shingle that two documents must share to be similar at all: of
 a set of n, similar sets hold one of its first n - ceil(0.8 n) + 1 shingles in any order fixed for all. The order puts
 shingles found in many documents last, so that a common passage is no one's reason to meet.
@@ -37,13 +38,16 @@ from millrace.llm.components import components
 from millrace.sources.scratch import Scratch
 
 WORDS = 5
+#: Groups of the shortest points, and the mean number in a group above which a set has twice as many.
 GROUPS = 64
+FULL = 8
 #: Points in one search tile of an R-tree, and in one of its leaves.
 TILE = 1024
 LEAF = 32
-#: A shingle counts as frequent if it stands in this share of all documents, counted where it has it in a slice of text.
-FREQUENT = 0.001
-FREQUENT_HERE = 0.01
+#: A shingle is frequent if it stands in this share of all documents. It is counted in runs of texts that hold about
+#: RUN shingles together, where at least three texts have it.
+FREQUENT = 0.0005
+RUN = 2_000_000
 
 
 def shingle_sets(texts: pa.Array, k: int = WORDS) -> Iterator[np.ndarray]:
@@ -77,12 +81,16 @@ def frequent_shingles(docs: DataFrame, scratch: Scratch) -> np.ndarray:
 
     def count(batches):
         for b in batches:
-            sets = shingle_sets(b.column(0))
-            while part := [s for _, s in zip(range(400), sets, strict=False)]:
-                found, times = np.unique(np.concatenate(part), return_counts=True)
-                keep = times >= max(3, FREQUENT_HERE * len(part))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(found[keep])), pa.array(times[keep]), pa.array(np.zeros(keep.sum(), np.int64))], ["h", "times", "docs"])
-                yield pa.RecordBatch.from_arrays([pa.array([0], pa.int64()), pa.array([0], pa.int64()), pa.array([len(part)], pa.int64())], ["h", "times", "docs"])
+            part, held = [], 0
+            for i, own in enumerate(shingle_sets(b.column(0)), 1):
+                part.append(own)
+                held += len(own)
+                if held >= RUN or i == b.num_rows:
+                    found, times = np.unique(np.concatenate(part), return_counts=True)
+                    found, times = found[times >= 3], times[times >= 3]
+                    rows = [np.append(signed(found), 0), np.append(times, 0), np.append(np.zeros(len(found), np.int64), len(part))]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["h", "times", "docs"])
+                    part, held = [], 0
 
     seen = docs.select("text").mapInArrow(count, "h long, times long, docs long")
     totals = scratch.write(seen.groupBy("h").agg(F.sum("times").alias("times"), F.sum("docs").alias("docs")), "frequent")
@@ -95,13 +103,32 @@ def prefix_size(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def signatures(docs: DataFrame, frequent, percent: int, groups: int) -> DataFrame:
-    """(id, n, d1, d2, keys, counts): set size, digest, the shingles that similar sets meet in, and the point."""
+def point(m: np.ndarray) -> bytes:
+    """The numbers of scrambled hashes in each group, as unsigned 16-bit integers."""
+    groups = GROUPS
+    while len(m) > FULL * groups:
+        groups *= 2
+    return np.bincount((m >> np.uint64(30)).astype(np.int64) % groups, minlength=groups).astype("<u2").tobytes()
+
+
+def folded_to(raw: bytes, groups: int) -> np.ndarray:
+    """A point with its groups added up to fewer; groups divides its length."""
+    return np.frombuffer(raw, "<u2").reshape(-1, groups).sum(axis=0, dtype=np.int64)
+
+
+def shared_at_most(a: bytes, b: bytes) -> int:
+    """The bound on the overlap of two sets: the sum of the smaller coordinates."""
+    groups = min(len(a), len(b)) // 2
+    return int(np.minimum(folded_to(a, groups), folded_to(b, groups)).sum())
+
+
+def signatures(docs: DataFrame, frequent, percent: int) -> DataFrame:
+    """(id, n, d1, d2, keys, point): set size, digest, the shingles that similar sets meet in, and the point."""
 
     def sign(batches):
         common = frequent.value
         for b in batches:
-            n, d1, d2, keys, counts = [], [], [], [], []
+            n, d1, d2, keys, points = [], [], [], [], []
             for s in shingle_sets(b.column(1)):
                 n.append(len(s))
                 m = textops.mixed(s ^ np.uint64(0x5851F42D4C957F2D))
@@ -112,13 +139,13 @@ def signatures(docs: DataFrame, frequent, percent: int, groups: int) -> DataFram
                     late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
                 ordered = np.concatenate([s[~late], s[late]])
                 keys.append(signed(ordered[: prefix_size(len(s), percent) if len(s) else 0]))
-                counts.append(np.bincount((m >> np.uint64(40)).astype(np.int64) % groups, minlength=groups).astype(np.int32))
+                points.append(point(m))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(signed(np.array(d1, np.uint64))), pa.array(signed(np.array(d2, np.uint64))), lists(keys, pa.int64()), lists(counts, pa.int32())],
-                ["id", "n", "d1", "d2", "keys", "counts"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(signed(np.array(d1, np.uint64))), pa.array(signed(np.array(d2, np.uint64))), lists(keys, pa.int64()), pa.array(points, pa.binary())],
+                ["id", "n", "d1", "d2", "keys", "point"],
             )
 
-    return docs.select("id", "text").mapInArrow(sign, "id long, n long, d1 long, d2 long, keys array<long>, counts array<int>")
+    return docs.select("id", "text").mapInArrow(sign, "id long, n long, d1 long, d2 long, keys array<long>, point binary")
 
 
 def needed(na, nb, percent: int):
@@ -172,7 +199,7 @@ def across_components(postings: DataFrame, points: DataFrame, comps: DataFrame,
     """Pairs (a, b) of one tree in different components that pass the bound."""
     at = postings.join(comps, postings.rep == comps.id, "left").select("key", "cnt", "rep", F.coalesce("component", "rep").alias("comp"))
     several = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    at = scratch.write(at.join(several, "key").join(points, "rep"), f"apart-{len(Scratch.opened)}")
+    at = scratch.write(at.join(several, "key").join(points, "rep"), "apart")
     # a tree beyond one tile meets itself tile by tile; small trees share groups of about a tile each
     parts = F.ceil(F.col("cnt") / TILE).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int")
@@ -185,12 +212,13 @@ def across_components(postings: DataFrame, points: DataFrame, comps: DataFrame,
         F.col("parts"),
         F.least("own", "other").alias("lo"),
         F.greatest("own", "other").alias("hi"),
-        "own", "key", "rep", "comp", "n", "counts",
+        "own", "key", "rep", "comp", "n", "point",
     )
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         found = [np.zeros((0, 2), np.int64)]
-        points_, n, comp, rep = np.stack(pdf["counts"].to_numpy()).astype(np.int64), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["rep"].to_numpy()
+        raw, n, comp, rep = pdf["point"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["rep"].to_numpy()
+        points_ = np.stack([folded_to(x, GROUPS) for x in raw])
         lo, hi, own_ = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["own"].to_numpy()
         for rows_ in pdf.groupby("key", sort=False).indices.values():
             if lo == hi:
@@ -199,27 +227,32 @@ def across_components(postings: DataFrame, points: DataFrame, comps: DataFrame,
                 a, b = rows_[own_[rows_] == lo], rows_[own_[rows_] == hi]
             if len(a) and len(b):
                 i, j = surviving(points_[a], n[a], comp[a], points_[b], n[b], comp[b], percent, lo == hi)
-                pairs = np.stack([rep[a][i], rep[b][j]], axis=1)
+                i, j = a[i], b[j]
+                fine = np.array([min(len(raw[x]), len(raw[y])) == 2 * GROUPS or shared_at_most(raw[x], raw[y]) >= needed(n[x], n[y], percent) for x, y in zip(i, j, strict=True)], bool)
+                pairs = np.stack([rep[i[fine]], rep[j[fine]]], axis=1)
                 found.append(np.unique(np.sort(pairs, axis=1), axis=0))
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     return placed.groupBy("place", "parts", "lo", "hi").applyInPandas(search, "a long, b long").distinct()
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose sets are similar: 100 |A and B| >= percent |A or B|."""
+def verified(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+    """Of pairs (a, b), those whose sets are similar: 100 |A and B| >= percent |A or B|. Only their texts are read."""
+    pairs = scratch.write(pairs, f"{name}-pairs")
+    touched = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = scratch.write(set_table(docs.join(touched, "id", "left_semi")), f"{name}-sets")
     left, right = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("hashes").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     ok = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
-    return pairs.join(left, "a").join(right, "b").where(ok).select("a", "b")
+    return scratch.write(pairs.join(left, "a").join(right, "b").where(ok).select("a", "b"), name)
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, groups: int = GROUPS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) of every row of ``docs``; see the module for the cases."""
     scratch = Scratch(docs.sparkSession, "jaccard")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, scratch))
-    sigs = scratch.write(signatures(docs, frequent, percent, groups), "signatures")
+    sigs = scratch.write(signatures(docs, frequent, percent), "signatures")
 
     # equal sets: the smallest id stands for all
     classes = sigs.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
@@ -233,15 +266,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     trees = keyed.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("cnt")).where("cnt > 1")
     postings = scratch.write(keyed.join(trees, "key"), "postings")
     met = postings.select(F.col("rep").alias("id")).distinct()
-    points = scratch.write(sigs.where("n > 0").join(met, "id", "left_semi").select(F.col("id").alias("rep"), "n", "counts"), "points")
-    sets = scratch.write(set_table(docs.join(met, "id", "left_semi")), "sets")
+    points = scratch.write(sigs.where("n > 0").join(met, "id", "left_semi").select(F.col("id").alias("rep"), "n", "point"), "points")
 
     # the first point of each tree against the others
     star = postings.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    links = scratch.write(verified(bounded(star, points, percent), sets, percent), "links-0")
+    links = verified(bounded(star, points, percent), docs, percent, scratch, "links-0")
     comps = components(links, scratch, "star")
     rest = across_components(postings.where("cnt > 2"), points, comps, percent, scratch)
-    more = scratch.write(verified(rest, sets, percent), "links-1")
+    more = verified(rest, docs, percent, scratch, "links-1")
     comps = components(links.unionByName(more), scratch, "all")
 
     out = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
@@ -250,12 +282,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
     """Pairs whose points allow the overlap that similar sets need."""
-    left = points.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("counts").alias("ca"))
-    right = points.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("counts").alias("cb"))
-    shared = F.aggregate(F.zip_with("ca", "cb", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+    left = points.select(F.col("rep").alias("a"), F.col("n").alias("na"), F.col("point").alias("pa"))
+    right = points.select(F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("point").alias("pb"))
     sizes = (100 * F.col("na") >= percent * F.col("nb")) & (100 * F.col("nb") >= percent * F.col("na"))
-    ok = sizes & ((100 + percent) * shared >= percent * (F.col("na") + F.col("nb")))
-    return pairs.join(left, "a").join(right, "b").where(ok).select("a", "b")
+
+    def run(batches):
+        for batch in batches:
+            na, nb = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            least = needed(na, nb, percent)
+            ok = [shared_at_most(x, y) >= k for x, y, k in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), least, strict=True)]
+            yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
+
+    both = pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b", "na", "nb", "pa", "pb")
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def set_table(docs: DataFrame) -> DataFrame:
