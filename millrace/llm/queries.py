@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, jaccard, langid
+from millrace.llm import bpe, chains, jaccard, langid
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -49,3 +49,9 @@ def op4(spark, folder):
     model = langid.train(docs)
     found = langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), model)
     return found.drop("text")
+
+
+@query("op5_shared_passages")
+def op5(spark, folder):
+    """Every passage of at least 50 words that a document shares with an earlier one."""
+    return chains.shared_passages(table(spark, folder, "documents"))
