@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, chains, jaccard, langid
+from millrace.llm import bpe, chains, jaccard, langid, templates
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -55,3 +55,9 @@ def op4(spark, folder):
 def op5(spark, folder):
     """Every passage of at least 50 words that a document shares with an earlier one."""
     return chains.shared_passages(table(spark, folder, "documents"))
+
+
+@query("op6_decontamination")
+def op6(spark, folder):
+    """Every document that holds a benchmark item, also with other numbers, names or units."""
+    return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
