@@ -1,20 +1,76 @@
-"""The cleaning of a corpus for training, stage by stage; each stage takes all that its predecessor kept."""
+"""The cleaning of a corpus for training, stage by stage.
+
+Each stage takes all documents that its predecessor kept, written as Parquet, and all but the last return the columns of
+``documents``. Rows without doc_id take no part in comparisons and stay. Empty tables pass through every stage.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe
+from millrace.llm import bpe, chains, jaccard, langid, templates
 from millrace.llm.queries import WORD_BPE
 from millrace.sources.scratch import Scratch
 
+#: Documents whose best language scores less (a regression value under -0.5) are in none of the languages.
+LEAST_SCORE = 0.25
+
+
+def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents in a known language; a missing lang is filled in with the predicted one.
+
+    Texts without a letter, null texts and texts unlike every language go. Where no document has a lang to learn from,
+    nothing is judged but that a text has a letter.
+    """
+    model = langid.train(docs)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = langid.identify(docs, model, lang_pred="__lang", score="__score")
+    kept = judged.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """The first document of every group of near duplicates; of rows with one doc_id, one."""
+    groups = Scratch(spark, "groups").write(jaccard.near_duplicates(docs), "groups")
+    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(gone, "doc_id", "left_anti")
+    again = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    first = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(again, "doc_id", "left_anti").unionByName(first).select(docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents without the passages that an earlier one has; those of which nothing is left go."""
+    passages = chains.shared_passages(docs)
+    cut = chains.cut_passages(docs, passages)
+    touched = passages.select("doc_id").distinct().withColumn("__cut", F.lit(True))
+    kept = cut.join(touched, "doc_id", "left").where("__cut is null or text <> ''")
+    return kept.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+
+
+def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    found = templates.contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+
 
 def tokenise(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Token ids of every document that is left, with the digests of ids and decoded text."""
-    return bpe.digests(docs.select("doc_id", "text"), WORD_BPE).drop("text")
+    """Token ids of every document that is left, with the digests of the ids and of the decoded text."""
+    return bpe.digests(docs.select("doc_id", "text"), WORD_BPE, keep_ids=True).drop("text")
+
 
+STAGES = [
+    ("language_id", language),
+    ("jaccard_join", one_of_each_group),
+    ("substring_dedup", without_repeats),
+    ("decontamination", without_benchmark),
+    ("bpe", tokenise),
+]
 
-STAGES = [("bpe", tokenise)]
+#: The stages are models, chains and vocabularies that SQL cannot express.
 ORACLE_SQL = None
 
 

@@ -11,7 +11,8 @@ an end-of-word suffix, and the normalisers NFC, Lowercase and Replace of white s
 
 Defined cases: a null or empty text has no ids and decodes to the empty text; null ids decode to the empty text; a
 text of special tokens only gives those ids; repeated rows are encoded alike; an empty table gives an empty table;
-other columns are kept as they are, and a clash with an output name is refused by name.
+other columns are kept as they are, but for one of an output's name, which is
+replaced. The column that is read comes first in the result.
 """
 
 from __future__ import annotations
@@ -258,15 +259,13 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int]]:
         row = to
 
 
-def _refuse(df: DataFrame, *names: str) -> None:
-    clash = {c.lower() for c in df.columns} & {n.lower() for n in names}
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} exist already")
-
-
 def with_columns(df: DataFrame, column: str, kinds: dict[str, T.DataType], made) -> DataFrame:
-    """``df`` with columns that ``made(array)`` computes from one column, batch by batch."""
-    _refuse(df, *kinds)
+    """``df`` with columns that ``made(array)`` computes from one column, batch by batch.
+
+    They replace columns of the same name.
+    """
+    taken = {k.lower() for k in kinds} - {column.lower()}
+    df = df.select(column, *[c for c in df.columns if c != column and c.lower() not in taken])
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, k) for n, k in kinds.items())])
     where = df.columns.index(column)
 
@@ -300,20 +299,23 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "decoded") ->
     return with_columns(df, ids, {text: T.StringType()}, made)
 
 
-def digests(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def digests(df: DataFrame, path: str, text: str = "text", keep_ids: bool = False) -> DataFrame:
     """``df`` with n_tokens, ids_sha256 and decoded_sha256 of every text: encode and decode in one pass.
 
-    The ids are hashed as little-endian unsigned 32-bit integers, the decoded text in UTF-8.
+    With keep_ids also the ids themselves. The ids are hashed as little-endian unsigned 32-bit integers, the decoded text in UTF-8.
     """
 
     def made(column):
         bpe = loaded(path)
         flat, at = bpe.encode(column.to_pylist())
         ids = [flat[a:b] for a, b in zip(at[:-1], at[1:], strict=True)]
+        kept = [pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(flat))] if keep_ids else []
         return [
+            *kept,
             pa.array(np.diff(at)),
             pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
             pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids], pa.string()),
         ]
 
-    return with_columns(df, text, {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}, made)
+    ids_kind = {"ids": T.ArrayType(T.IntegerType())} if keep_ids else {}
+    return with_columns(df, text, ids_kind | {"n_tokens": T.LongType(), "ids_sha256": T.StringType(), "decoded_sha256": T.StringType()}, made)

@@ -13,7 +13,8 @@ these two numbers and the number of languages.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, as is every text if there is nothing to learn
 from. The score is the best regression value brought from [-1, 1] to [0, 1]; equal values go to the language first in
-order of name. Rows may repeat; other columns are kept, and a clash with an output name is refused by name.
+order of name. Rows may repeat; other columns are kept, but for those of the outputs' names, which are
+replaced.
 """
 
 from __future__ import annotations
@@ -160,12 +161,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
     return fitted(found["lang"].to_numpy(str), present)
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score of every whole text."""
+def identify(docs: DataFrame, model: Model, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``docs`` with the predicted language and its score for every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def made(column):
         names, best = shared.value.predict(column.to_pylist())
         return [pa.array(names, pa.string()), pa.array(best)]
 
-    return with_columns(docs, text, {"lang_pred": T.StringType(), "score": T.DoubleType()}, made)
+    return with_columns(docs, text, {lang_pred: T.StringType(), score: T.DoubleType()}, made)
