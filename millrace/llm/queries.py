@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, chains, jaccard, langid, templates
+from millrace.llm import bpe, chains, jaccard, langid, licences, templates, urlfilter
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -61,3 +61,15 @@ def op5(spark, folder):
 def op6(spark, folder):
     """Every document that holds a benchmark item, also with other numbers, names or units."""
     return templates.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_license_scan")
+def op3(spark, folder):
+    """Licence phrases, tags and labels of every document."""
+    return licences.scan(table(spark, folder, "documents").select("doc_id", "text")).drop("text")
+
+
+@query("op7_url_filter")
+def op7(spark, folder):
+    """Rule and verdict of every page's URL."""
+    return urlfilter.judge(table(spark, folder, "pages").select("page_id", "url")).drop("url")
