@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, chains, jaccard, langid, licences, templates, urlfilter
+from millrace.llm import bpe, chains, jaccard, langid, licences, multiindex, templates, urlfilter
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -73,3 +73,9 @@ def op3(spark, folder):
 def op7(spark, folder):
     """Rule and verdict of every page's URL."""
     return urlfilter.judge(table(spark, folder, "pages").select("page_id", "url")).drop("url")
+
+
+@query("op8_embedding_near_dedup")
+def op8(spark, folder):
+    """Near-duplicate vectors of one label: cosine of 0.98 or more."""
+    return multiindex.near_duplicates(table(spark, folder, "embeddings"))
