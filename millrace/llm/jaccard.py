@@ -14,8 +14,9 @@ Work follows the documents, not the pairs of a group:
 
 * equal sets are one class and go on as one document;
 * the first document of a tree is compared with all others of it, which settles trees of two and most tight groups;
-* only where a tree then still holds several components, it is built and searched, and only across components. A tree of
-  more than ``TILE`` points is searched in tiles, so no task holds a whole group;
+* only where trees of one first document still hold several components, they are built and searched, and only across
+  components; links are found and joined where the points are, so what comes out is a forest and not the pairs. A tree
+  of more than ``TILE`` points is searched in tiles, so no task holds a whole group;
 * components come from joins over the links (``components``).
 
 Defined cases: a null or empty text, or one of separators only, has an empty set and is its own component. With fewer
@@ -40,7 +41,7 @@ from millrace.sources.scratch import Scratch
 WORDS = 5
 #: Groups of the shortest points, and the mean number in a group above which a set has twice as many.
 GROUPS = 64
-FULL = 8
+FULL = 4
 #: Points in one search tile of an R-tree, and in one of its leaves.
 TILE = 1024
 LEAF = 32
@@ -195,45 +196,74 @@ def surviving(points_a, n_a, comp_a, points_b, n_b, comp_b, percent: int, same:
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def across_components(postings: DataFrame, points: DataFrame, comps: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Pairs (a, b) of one tree in different components that pass the bound."""
-    at = postings.join(comps, postings.rep == comps.id, "left").select("key", "cnt", "rep", F.coalesce("component", "rep").alias("comp"))
-    several = at.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-    at = scratch.write(at.join(several, "key").join(points, "rep"), "apart")
-    # a tree beyond one tile meets itself tile by tile; small trees share groups of about a tile each
-    parts = F.ceil(F.col("cnt") / TILE).cast("int")
-    own = F.pmod(F.xxhash64("rep", F.lit(1)), parts).cast("int")
-    rows = at.count()
-    many = max(1, rows // TILE)
-    placed = at.withColumn("parts", parts).withColumn("own", own)
+def tiles(rows: DataFrame) -> DataFrame:
+    """``rows(center, rep, ...)`` dealt out to tiles (place, parts, lo, hi): small trees share one, large ones meet
+    themselves part by part. ``own`` is the part of the row."""
+    sizes = rows.groupBy("center").agg(F.ceil(F.count("*") / TILE).cast("int").alias("parts"))
+    many = max(1, rows.count() // TILE)
+    placed = rows.join(sizes, "center").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("parts")).cast("int"))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    placed = placed.select(
-        F.when(F.col("parts") == 1, F.pmod(F.xxhash64("key"), F.lit(many))).otherwise(F.col("key")).alias("place"),
-        F.col("parts"),
-        F.least("own", "other").alias("lo"),
-        F.greatest("own", "other").alias("hi"),
-        "own", "key", "rep", "comp", "n", "point",
-    )
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [np.zeros((0, 2), np.int64)]
-        raw, n, comp, rep = pdf["point"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy(), pdf["rep"].to_numpy()
-        points_ = np.stack([folded_to(x, GROUPS) for x in raw])
-        lo, hi, own_ = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["own"].to_numpy()
-        for rows_ in pdf.groupby("key", sort=False).indices.values():
-            if lo == hi:
-                a = b = rows_
-            else:
-                a, b = rows_[own_[rows_] == lo], rows_[own_[rows_] == hi]
-            if len(a) and len(b):
-                i, j = surviving(points_[a], n[a], comp[a], points_[b], n[b], comp[b], percent, lo == hi)
-                i, j = a[i], b[j]
-                fine = np.array([min(len(raw[x]), len(raw[y])) == 2 * GROUPS or shared_at_most(raw[x], raw[y]) >= needed(n[x], n[y], percent) for x, y in zip(i, j, strict=True)], bool)
-                pairs = np.stack([rep[i[fine]], rep[j[fine]]], axis=1)
-                found.append(np.unique(np.sort(pairs, axis=1), axis=0))
-        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+    place = F.when(F.col("parts") == 1, F.pmod(F.xxhash64("center"), F.lit(many))).otherwise(F.col("center"))
+    return placed.withColumns({"place": place, "lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other")
+
+
+def survivors(pdf: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
+    """(i, j) of the rows of each tree in a tile that are in different components and may be similar by the bound."""
+    raw, n, comp = pdf["point"].to_numpy(), pdf["n"].to_numpy(), pdf["comp"].to_numpy()
+    lo, hi, own = pdf["lo"].iloc[0], pdf["hi"].iloc[0], pdf["own"].to_numpy()
+    points = np.stack([folded_to(x, GROUPS) for x in raw])
+    for rows in pdf.groupby("center", sort=False).indices.values():
+        a, b = (rows, rows) if lo == hi else (rows[own[rows] == lo], rows[own[rows] == hi])
+        if len(a) and len(b):
+            i, j = surviving(points[a], n[a], comp[a], points[b], n[b], comp[b], percent, lo == hi)
+            for x, y in zip(a[i], b[j], strict=True):
+                if min(len(raw[x]), len(raw[y])) == 2 * GROUPS or shared_at_most(raw[x], raw[y]) >= needed(n[x], n[y], percent):
+                    yield x, y
+
+
+def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """(a, b): links enough to join the components that similar sets of one tree are still in.
+
+    Trees with one center are searched as one: their sets are mostly the same ones. A first search, by points only, finds the sets
+    that need to be looked at; a second one compares those, skips what is already joined, and returns a forest.
+    """
+    at = postings.select("center", "rep").distinct().join(comps, F.col("rep") == F.col("id"), "left").select("center", "rep", F.coalesce("component", "rep").alias("comp"))
+    several = at.groupBy("center").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x < y and m > 2").select("center")
+    apart = scratch.write(at.join(several, "center").join(points, "rep"), "apart")
+
+    def look(pdf: pd.DataFrame) -> pd.DataFrame:
+        both = {x for pair in survivors(pdf, percent) for x in pair}
+        return pdf.iloc[sorted(both)][["center", "rep"]]
+
+    seen = tiles(apart).groupBy("place", "parts", "lo", "hi").applyInPandas(look, "center long, rep long").distinct()
+    seen = scratch.write(seen, "seen")
+    sets = set_table(docs.join(seen.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
+    close = scratch.write(apart.join(seen, ["center", "rep"]).dropDuplicates(["center", "rep"]), "close")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        sets_, n, rep, root = pdf["hashes"].to_numpy(), pdf["n"].to_numpy(), pdf["rep"].to_numpy(), {}
+
+        def find(x):
+            while root.get(x, x) != x:
+                x = root[x]
+            return x
+
+        comp, found = pdf["comp"].to_numpy(), []
+        for x, y in survivors(pdf, percent):
+            cx, cy = find(comp[x]), find(comp[y])
+            if cx != cy and overlap(sets_[x], sets_[y]) >= needed(n[x], n[y], percent):
+                root[max(cx, cy)] = min(cx, cy)
+                found.append((rep[x], rep[y]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    placed = tiles(close).join(sets, "rep")
+    return scratch.write(placed.groupBy("place", "parts", "lo", "hi").applyInPandas(compare, "a long, b long"), "links-1")
+
 
-    return placed.groupBy("place", "parts", "lo", "hi").applyInPandas(search, "a long, b long").distinct()
+def overlap(a: np.ndarray, b: np.ndarray) -> int:
+    """The number of equal entries of two arrays of distinct hashes, each in unsigned order."""
+    a, b = np.asarray(a, np.int64).view(np.uint64), np.asarray(b, np.int64).view(np.uint64)
+    return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
@@ -272,8 +302,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = postings.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
     links = verified(bounded(star, points, percent), docs, percent, scratch, "links-0")
     comps = components(links, scratch, "star")
-    rest = across_components(postings.where("cnt > 2"), points, comps, percent, scratch)
-    more = verified(rest, docs, percent, scratch, "links-1")
+    more = links_across(postings.where("cnt > 2"), points, comps, docs, percent, scratch)
     comps = components(links.unionByName(more), scratch, "all")
 
     out = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
