@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chains, jaccard, langid, licences, multiindex, templates, urlfilter
+from millrace.llm import bpe, chains, jaccard, langid, licences, multiindex, packing, preference, templates, urlfilter
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
+BYTE_BPE = f"{TOKENIZER_FOLDER}/byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -79,3 +80,16 @@ def op7(spark, folder):
 def op8(spark, folder):
     """Near-duplicate vectors of one label: cosine of 0.98 or more."""
     return multiindex.near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op1_preference_format", preference.SQL)
+def op1(spark, folder):
+    """All conversations as preference pairs of neighbours, one row for each rendered turn."""
+    return preference.format_pairs(*preference.neighbours(table(spark, folder, "conversations")))
+
+
+@query("op9_packed_tokens")
+def op9(spark, folder):
+    """The packed rows of all documents: pieces, cumulative lengths, and digests of the id and position rows."""
+    rows = packing.pack(table(spark, folder, "documents"), BYTE_BPE)
+    return rows.select("doc_ids", "starts", "cu_seqlens", "n_tokens", F.sha2("input_ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"))
