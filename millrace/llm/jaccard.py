@@ -12,16 +12,16 @@ shingles found in many documents last, so that a common passage is no one's reas
 
 Work follows the documents, not the pairs of a group:
 
-* equal sets are one class and go on as one document;
-* the first document of a tree is compared with all others of it, which settles trees of two and most tight groups;
-* only where trees of one first document still hold several components, they are built and searched, and only across
+* equal sets are one class, named by a digest of 64 bits, and go on as one set;
+* the first set of a tree is compared with all others of it, which settles trees of two and most tight groups;
+* only where trees of one first set still hold several components, they are built and searched, and only across
   components; links are found and joined where the points are, so what comes out is a forest and not the pairs. A tree
   of more than ``TILE`` points is searched in tiles, so no task holds a whole group;
 * components come from joins over the links (``components``).
 
 Defined cases: a null or empty text, or one of separators only, has an empty set and is its own component. With fewer
-words than a shingle, the whole sequence is the one shingle. Rows that share an id are one document with the links of
-all; a row without id has its set size and a null component. An empty table gives an empty result. Other columns are
+words than a shingle, the whole sequence is the one shingle. Rows that share an id are judged each by its own
+text; a row without id has its set size and a null component. An empty table gives an empty result. Other columns are
 not read.
 """
 
@@ -123,30 +123,34 @@ def shared_at_most(a: bytes, b: bytes) -> int:
     return int(np.minimum(folded_to(a, groups), folded_to(b, groups)).sum())
 
 
+def digest(s: np.ndarray) -> np.uint64:
+    """One number for a set of hashes."""
+    m = textops.mixed(s ^ np.uint64(0x5851F42D4C957F2D))
+    return textops.mixed(np.array([np.bitwise_xor.reduce(m), np.add.reduce(textops.mixed(m)), len(s)], np.uint64)).sum() if len(s) else np.uint64(0)
+
+
 def signatures(docs: DataFrame, frequent, percent: int) -> DataFrame:
-    """(id, n, d1, d2, keys, point): set size, digest, the shingles that similar sets meet in, and the point."""
+    """(id, n, node, keys, point): set size, digest, the shingles that similar sets meet in, and the point."""
 
     def sign(batches):
         common = frequent.value
         for b in batches:
-            n, d1, d2, keys, points = [], [], [], [], []
+            n, node, keys, points = [], [], [], []
             for s in shingle_sets(b.column(1)):
                 n.append(len(s))
-                m = textops.mixed(s ^ np.uint64(0x5851F42D4C957F2D))
-                d1.append(np.bitwise_xor.reduce(m) if len(s) else np.uint64(0))
-                d2.append(np.add.reduce(textops.mixed(m)) if len(s) else np.uint64(0))
+                node.append(digest(s))
                 late = np.zeros(len(s), bool)
                 if len(common):
                     late = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
                 ordered = np.concatenate([s[~late], s[late]])
                 keys.append(signed(ordered[: prefix_size(len(s), percent) if len(s) else 0]))
-                points.append(point(m))
+                points.append(point(textops.mixed(s)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(signed(np.array(d1, np.uint64))), pa.array(signed(np.array(d2, np.uint64))), lists(keys, pa.int64()), pa.array(points, pa.binary())],
-                ["id", "n", "d1", "d2", "keys", "point"],
+                [b.column(0), pa.array(n, pa.int64()), pa.array(signed(np.array(node, np.uint64))), lists(keys, pa.int64()), pa.array(points, pa.binary())],
+                ["id", "n", "node", "keys", "point"],
             )
 
-    return docs.select("id", "text").mapInArrow(sign, "id long, n long, d1 long, d2 long, keys array<long>, point binary")
+    return docs.select("id", "text").mapInArrow(sign, "id long, n long, node long, keys array<long>, point binary")
 
 
 def needed(na, nb, percent: int):
@@ -221,13 +225,13 @@ def survivors(pdf: pd.DataFrame, percent: int) -> Iterator[tuple[int, int]]:
                     yield x, y
 
 
-def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, docs: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, sets, percent: int, scratch: Scratch) -> DataFrame:
     """(a, b): links enough to join the components that similar sets of one tree are still in.
 
     Trees with one center are searched as one: their sets are mostly the same ones. A first search, by points only, finds the sets
     that need to be looked at; a second one compares those, skips what is already joined, and returns a forest.
     """
-    at = postings.select("center", "rep").distinct().join(comps, F.col("rep") == F.col("id"), "left").select("center", "rep", F.coalesce("component", "rep").alias("comp"))
+    at = postings.join(comps, F.col("rep") == F.col("id"), "left").select("center", "rep", F.coalesce("component", "rep").alias("comp"))
     several = at.groupBy("center").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("m")).where("x < y and m > 2").select("center")
     apart = scratch.write(at.join(several, "center").join(points, "rep"), "apart")
 
@@ -237,7 +241,6 @@ def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, docs:
 
     seen = tiles(apart).groupBy("place", "parts", "lo", "hi").applyInPandas(look, "center long, rep long").distinct()
     seen = scratch.write(seen, "seen")
-    sets = set_table(docs.join(seen.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"))
     close = scratch.write(apart.join(seen, ["center", "rep"]).dropDuplicates(["center", "rep"]), "close")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -256,7 +259,7 @@ def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, docs:
                 found.append((rep[x], rep[y]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    placed = tiles(close).join(sets, "rep")
+    placed = tiles(close).join(sets(seen.select("rep").distinct()), "rep")
     return scratch.write(placed.groupBy("place", "parts", "lo", "hi").applyInPandas(compare, "a long, b long"), "links-1")
 
 
@@ -266,12 +269,11 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
 
 
-def verified(pairs: DataFrame, docs: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
+def verified(pairs: DataFrame, sets, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """Of pairs (a, b), those whose sets are similar: 100 |A and B| >= percent |A or B|. Only their texts are read."""
     pairs = scratch.write(pairs, f"{name}-pairs")
-    touched = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = scratch.write(set_table(docs.join(touched, "id", "left_semi")), f"{name}-sets")
-    left, right = sets.select(F.col("rep").alias("a"), F.col("hashes").alias("sa")), sets.select(F.col("rep").alias("b"), F.col("hashes").alias("sb"))
+    own = scratch.write(sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()), f"{name}-sets")
+    left, right = own.select(F.col("rep").alias("a"), F.col("hashes").alias("sa")), own.select(F.col("rep").alias("b"), F.col("hashes").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     ok = 100 * both >= percent * (F.size("sa") + F.size("sb") - both)
     return scratch.write(pairs.join(left, "a").join(right, "b").where(ok).select("a", "b"), name)
@@ -283,30 +285,39 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     frequent = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, scratch))
     sigs = scratch.write(signatures(docs, frequent, percent), "signatures")
+    sound = sigs.where("n > 0 and id is not null")
 
     # equal sets: the smallest id stands for all
-    classes = sigs.where("n > 0 and id is not null").groupBy("n", "d1", "d2").agg(F.min("id").alias("rep"))
-    members = sigs.select("id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    members = scratch.write(members.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("rep", "id")).alias("rep")), "members")
-    copies = members.where("id <> rep").select("id").distinct()
-    reps = sigs.where("n > 0 and id is not null").join(copies, "id", "left_anti")
-
-    # trees of two or more points
-    keyed = reps.select(F.col("id").alias("rep"), F.explode("keys").alias("key"))
-    trees = keyed.groupBy("key").agg(F.min("rep").alias("center"), F.count("*").alias("cnt")).where("cnt > 1")
-    postings = scratch.write(keyed.join(trees, "key"), "postings")
-    met = postings.select(F.col("rep").alias("id")).distinct()
-    points = scratch.write(sigs.where("n > 0").join(met, "id", "left_semi").select(F.col("id").alias("rep"), "n", "point"), "points")
+    classes = scratch.write(sound.groupBy("node").agg(F.min("id").alias("first")), "classes")
+
+    def sets(nodes: DataFrame) -> DataFrame:
+        """(rep, hashes) of some nodes, from one text of each."""
+        ids = nodes.join(classes, nodes.rep == classes.node).select(F.col("first").alias("id")).distinct()
+        return set_table(docs.join(ids, "id", "left_semi")).join(nodes, "rep", "left_semi").dropDuplicates(["rep"])
+
+    # trees of two or more points; those of one center are one from here on
+    keyed = sound.select(F.col("node").alias("rep"), F.explode("keys").alias("key"))
+    trees = keyed.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last").select("key", "center")
+    postings = scratch.write(keyed.join(trees, "key").select("center", "rep").distinct(), "postings")
+    met = postings.select("rep").distinct()
+    points = sound.select(F.col("node").alias("rep"), "n", "point").join(met, "rep", "left_semi").dropDuplicates(["rep"])
+    points = scratch.write(points, "points")
 
     # the first point of each tree against the others
-    star = postings.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct()
-    links = verified(bounded(star, points, percent), docs, percent, scratch, "links-0")
+    star = postings.where("rep <> center").select(F.col("center").alias("a"), F.col("rep").alias("b"))
+    links = verified(bounded(star, points, percent), sets, percent, scratch, "links-0")
     comps = components(links, scratch, "star")
-    more = links_across(postings.where("cnt > 2"), points, comps, docs, percent, scratch)
+    more = links_across(postings, points, comps, sets, percent, scratch)
     comps = components(links.unionByName(more), scratch, "all")
 
-    out = members.join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
+    # a component is named by the smallest id of its classes
+    every = comps.unionByName(comps.select(F.col("component").alias("id"), "component").distinct()).withColumnRenamed("id", "node")
+    names = every.join(classes, "node").groupBy("component").agg(F.min("first").alias("least"))
+    named = scratch.write(every.join(names, "component").select("node", "least"), "named")
+    out = sigs.select("id", "n", "node").join(classes, "node", "left").join(named, "node", "left")
+    alone = F.when(F.col("n") > 0, F.coalesce("least", "first"))
+    component = F.when(F.col("id").isNotNull(), F.coalesce(alone, "id"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -327,9 +338,11 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
 
 
 def set_table(docs: DataFrame) -> DataFrame:
+    """(rep, hashes): the shingle set of each text and its digest."""
+
     def run(batches):
         for b in batches:
-            sets = [signed(s) for s in shingle_sets(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), lists(sets, pa.int64())], ["rep", "hashes"])
+            sets = list(shingle_sets(b.column(1)))
+            yield pa.RecordBatch.from_arrays([pa.array(signed(np.array([digest(s) for s in sets], np.uint64))), lists([signed(s) for s in sets], pa.int64())], ["rep", "hashes"])
 
     return docs.select("id", "text").mapInArrow(run, "rep long, hashes array<long>")
