@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bpe, chains, jaccard, langid, templates
 from millrace.llm.queries import WORD_BPE
+from millrace.llm.textops import unused
 from millrace.sources.scratch import Scratch
 
 #: Documents whose best language scores less (a regression value under -0.5) are in none of the languages.
@@ -25,9 +26,10 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     model = langid.train(docs)
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    judged = langid.identify(docs, model, lang_pred="__lang", score="__score")
-    kept = judged.where((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") >= LEAST_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(docs.columns)
+    found, score = unused(docs.columns, "found"), unused(docs.columns, "score")
+    judged = langid.identify(docs, model, lang_pred=found, score=score)
+    kept = judged.where((F.col(found) != langid.UNKNOWN) & (F.col(score) >= LEAST_SCORE))
+    return kept.withColumn("lang", F.coalesce("lang", found)).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -46,9 +48,10 @@ def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     """Documents without the passages that an earlier one has; those of which nothing is left go."""
     passages = chains.shared_passages(docs)
     cut = chains.cut_passages(docs, passages)
-    touched = passages.select("doc_id").distinct().withColumn("__cut", F.lit(True))
-    kept = cut.join(touched, "doc_id", "left").where("__cut is null or text <> ''")
-    return kept.withColumn("n_chars", F.when(F.col("__cut"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
+    changed = unused(docs.columns, "changed")
+    touched = passages.select("doc_id").distinct().withColumn(changed, F.lit(True))
+    kept = cut.join(touched, "doc_id", "left").where(F.col(changed).isNull() | (F.col("text") != ""))
+    return kept.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -125,3 +125,11 @@ def folded(hashes: np.ndarray) -> int:
     n = len(hashes)
     padded = np.concatenate([hashes, np.full(33 - n, n, dtype=_U)])
     return int(grams(padded, 33)[0])
+
+
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
