@@ -1,14 +1,19 @@
 """Ordered computations inside a key that stay parallel when one key holds most of the rows.
 
 A plain window sorts a whole key in one task. Where the largest key is small that is the best
-plan and is used. Where it is not, the rows of the large keys are split into ordered buckets: the
-order column is cut at quantiles (a bounded list of numbers), every (key, bucket) is its own window
-group, and each bucket gets ghost rows that carry what the neighbouring buckets contribute: a count
-or sum of everything before, or the nearest row on the other side. The result is exact in both ways.
-
-A single order value that holds a great share of the rows is cut once more along the tie column.
-Keys below the limit keep one bucket. The split rows are written to the shared scratch folder once,
-so that what they were computed from does not run again for the ghosts.
+plan and is used. Where it is not, the rows of the large keys are split into ordered buckets: cut
+points are rows of a sample, compared as what they are (order column, then tie column, in the column's own type), every
+(key, bucket) is its own window group, and each bucket gets ghost rows that carry what the neighbouring buckets
+contribute: a count or sum of everything before, or the nearest row on the other side. The result is exact in both
+ways, for any type that can be sorted.
+
+The number of buckets follows from the measured rows, so that a bucket holds about ``BUCKET_ROWS``. Rows that agree in order
+and tie have no order among themselves; a hash of the row stands in for one, so that they can be cut too. Keys below the
+limit keep one bucket. The split rows are written to the shared scratch folder once, so that what they were computed
+from does not run again for the ghosts.
+
+Measuring is one count per key over the input. A caller that orders the same keys again passes what ``hot_keys`` found
+as ``hot``, and nothing is measured twice.
 """
 
 from __future__ import annotations
@@ -19,76 +24,82 @@ from pyspark.sql import types as T
 from millrace.sources.scratch import Scratch
 
 HOT_ROWS = 2_000_000  # the largest key a single task is asked to sort
-BUCKETS = 64
+BUCKET_ROWS = 1_000_000
+LEAST_BUCKETS = 8
+SAMPLED = 50  # sample rows for each cut
 SALTS = 32
 
 
-def order_number(df: DataFrame, name: str) -> Column:
-    """A number that never decreases along the column; used for cutting buckets only."""
-    kind = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(kind, T.NumericType):
-        return c.cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        day = F.unix_date(c.cast("date")).cast("double")
-        return day * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.floor(F.second(c))
-    raise TypeError(f"order column {name} must be a number, date or timestamp, not {kind}")
+class Hot:
+    """What was measured: the keys with too many rows (None if there are none) and how many rows they hold together."""
 
+    def __init__(self, keys: DataFrame | None, rows: int):
+        self.keys, self.rows = keys, rows
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more rows than one task should sort, or None. Measured, not guessed: one
-    pre-aggregated count per key, one number to the driver."""
+
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> Hot:
+    """Keys with more rows than one task should sort. Measured, not guessed: one pre-aggregated count per key, two
+    numbers to the driver."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    largest = counts.agg(F.max("__n")).first()[0]
-    return None if (largest or 0) <= hot_rows else counts.filter(F.col("__n") > hot_rows).drop("__n")
+    large = counts.filter(F.col("__n") > hot_rows)
+    found = large.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    return Hot(large.drop("__n"), found[1]) if found[0] else Hot(None, 0)
 
 
-def _cuts(df: DataFrame, number: Column, buckets: int) -> list[float]:
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(number, shares, 10_000)).first()[0]
-    return sorted(found or [])
+def _sortable(df: DataFrame, name: str) -> Column:
+    """The column in a type whose literals keep every digit: times as microseconds."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name)
+    if not isinstance(kind, (T.NumericType, T.StringType, T.BooleanType, T.BinaryType)):
+        raise TypeError(f"order column {name} must be a number, text, flag, date or time, not {kind.simpleString()}")
+    return F.col(name)
 
 
-def _place(number: Column, cuts: list[float]) -> Column:
-    """Cut values get a bucket of their own (odd), the ranges between them another (even).
+def _check(df: DataFrame, order: str, tie: str | None) -> None:
+    """The same types are taken whether or not a key is large."""
+    for name in [order, tie] if tie else [order]:
+        _sortable(df, name)
 
-    A balanced tree of comparisons, so a row costs a handful of them inside generated code.
-    """
 
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(2 * lo)
-        mid = (lo + hi) // 2
-        at = F.lit(points[mid])
-        return F.when(number < at, search(lo, mid)).when(number == at, F.lit(2 * mid + 1)).otherwise(search(mid + 1, hi))
+def _place(df: DataFrame, hot: Column, buckets: int, rows: int) -> Column:
+    """The number of cut rows at or below this row's ``__at``, found by halving."""
+    share = min(1.0, SAMPLED * buckets / max(rows, 1))
+    sample = df.filter(hot).select("__at").sample(share, seed=7).orderBy("__at").collect()
+    points = [sample[i * len(sample) // buckets][0] for i in range(1, buckets)] if sample else []
+    kinds = df.schema["__at"].dataType.fields
+    cuts = F.array(*[F.struct(*[F.lit(v).cast(k.dataType).alias(k.name) for v, k in zip(p, kinds, strict=True)]) for p in points])
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, len(points).bit_length())))])
+    if not points:
+        return F.lit(0)
+    return F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get(cuts, low + step - 1) <= F.col("__at"), low + step).otherwise(low))
 
-    points = sorted(set(cuts))
-    return F.when(number.isNull(), F.lit(-1)).otherwise(search(0, len(points)))
 
+def bucketed(df: DataFrame, keys: list[str], hot: Hot, order: str, tie: str | None) -> DataFrame:
+    """Add ``__bucket``, whose order agrees with (order, tie, ``__same``); keys that are not hot have bucket 0.
 
-def bucketed(df: DataFrame, keys: list[str], hot: DataFrame, order: str, tie: str | None, buckets: int = BUCKETS) -> DataFrame:
-    """Add ``__bucket``: a struct whose order agrees with (order, tie); keys that are not hot have one."""
-    marks = hot.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
+    ``__same`` orders rows that agree in order and tie.
+    """
+    marks = hot.keys.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(True).alias("__hot"))
     on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
     tagged = df.join(marks, on, "left") if keys else df.withColumn("__hot", F.lit(True))
     tagged = tagged.drop(*[f"__k{i}" for i in range(len(keys))])
-    numbers = {"__num": order_number(df, order)} | ({"__tie": order_number(df, tie)} if tie else {})
-    tagged = Scratch(df.sparkSession, "split").write(tagged.withColumns(numbers), "rows")
-    is_hot, number = F.coalesce("__hot", F.lit(False)), F.col("__num")
-    cuts = _cuts(tagged.filter(is_hot), number, buckets)
-    heavy = sorted({c for c in cuts if cuts.count(c) > 1})
-    sub = F.lit(0)
-    if heavy and tie is not None:
-        inner = _cuts(tagged.filter(is_hot & number.isin(heavy)), F.col("__tie"), buckets)
-        sub = F.when(is_hot & number.isin(heavy), _place(F.col("__tie"), inner)).otherwise(F.lit(0))
-    placed = F.struct(F.when(is_hot, _place(number, cuts)).otherwise(F.lit(0)).alias("b"), sub.alias("s"))
-    return tagged.withColumn("__bucket", placed).drop("__hot", *numbers)
-
-
-def _order(order: str, tie: str | None, descending: bool) -> list[Column]:
-    names = [order] + ([tie] if tie else [])
+    plain = [f.name for f in df.schema.fields if "map" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    tagged = tagged.withColumn("__same", F.xxhash64(*plain))
+    at = F.struct(*[_sortable(df, n).alias(f"c{i}") for i, n in enumerate([order, tie] if tie else [order])], "__same")
+    tagged = Scratch(df.sparkSession, "split").write(tagged.withColumn("__at", at), "rows")
+    is_hot = F.coalesce("__hot", F.lit(False))
+    buckets = max(LEAST_BUCKETS, -(-hot.rows // BUCKET_ROWS))
+    placed = F.when(is_hot, _place(tagged, is_hot, buckets, hot.rows)).otherwise(F.lit(0))
+    return tagged.withColumn("__bucket", placed).drop("__hot", "__at")
+
+
+def _order(order: str, tie: str | None, descending: bool, same: bool = False) -> list[Column]:
+    names = [order] + ([tie] if tie else []) + (["__same"] if same else [])
     return [F.desc(n) if descending else F.asc(n) for n in names]
 
 
@@ -101,13 +112,14 @@ def running_total(
     name: str,
     descending: bool = False,
     hot_rows: int = HOT_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Sum of ``value`` over the rows of the key up to and including this one."""
     frame = (Window.unboundedPreceding, Window.currentRow)
-    ordering = _order(order, tie, descending)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(*frame)
+    _check(df, order, tie)
+    hot = hot or hot_keys(df, keys, hot_rows)
+    if hot.keys is None:
+        w = Window.partitionBy(*keys).orderBy(*_order(order, tie, descending)).rowsBetween(*frame)
         return df.withColumn(name, F.sum(value).over(w))
     rows = bucketed(df, keys, hot, order, tie).withColumn("__v", value).withColumn("__ghost", F.lit(False))
     direction = F.desc("__bucket") if descending else F.asc("__bucket")
@@ -119,12 +131,12 @@ def running_total(
         .filter(F.col("__v").isNotNull())
         .withColumn("__ghost", F.lit(True))
     )
-    w = Window.partitionBy(*keys, "__bucket").orderBy(F.desc("__ghost"), *ordering).rowsBetween(*frame)
+    w = Window.partitionBy(*keys, "__bucket").orderBy(F.desc("__ghost"), *_order(order, tie, descending, True)).rowsBetween(*frame)
     return (
         rows.unionByName(ghosts, allowMissingColumns=True)
         .withColumn(name, F.sum("__v").over(w))
         .filter(~F.col("__ghost"))
-        .drop("__v", "__ghost", "__bucket")
+        .drop("__v", "__ghost", "__bucket", "__same")
     )
 
 
@@ -136,9 +148,10 @@ def numbered(
     name: str = "row_number",
     descending: bool = False,
     hot_rows: int = HOT_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """Row number inside the key."""
-    out = running_total(df, keys, order, tie, F.lit(1).cast("long"), name, descending, hot_rows)
+    out = running_total(df, keys, order, tie, F.lit(1).cast("long"), name, descending, hot_rows, hot)
     return out.withColumn(name, F.col(name).cast("long"))
 
 
@@ -150,14 +163,17 @@ def ranked(
     rank: str = "rank",
     dense: str = "dense_rank",
     hot_rows: int = HOT_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """RANK and DENSE_RANK: numbered over the distinct values, then joined back to the rows."""
-    if hot_keys(df, keys, hot_rows) is None:
+    _check(df, order, None)
+    if (hot or hot_keys(df, keys, hot_rows)).keys is None:
         w = Window.partitionBy(*keys).orderBy(*_order(order, None, descending))
         return df.withColumn(rank, F.rank().over(w).cast("long")).withColumn(dense, F.dense_rank().over(w).cast("long"))
     values = df.groupBy(*keys, order).agg(F.count(F.lit(1)).alias("__n"))
-    values = numbered(values, keys, order, None, dense, descending, hot_rows)
-    values = running_total(values, keys, order, None, F.col("__n"), "__upto", descending, hot_rows)
+    few = hot_keys(values, keys, hot_rows)
+    values = numbered(values, keys, order, None, dense, descending, hot_rows, few)
+    values = running_total(values, keys, order, None, F.col("__n"), "__upto", descending, hot_rows, few)
     values = values.withColumn(rank, F.col("__upto") - F.col("__n") + 1).drop("__upto", "__n")
     right = values.select(*[F.col(c).alias(f"__{c}") for c in [*keys, order]], rank, dense)
     on = [df[c].eqNullSafe(right[f"__{c}"]) for c in [*keys, order]]
@@ -173,6 +189,7 @@ def neighbour(
     step: int = -1,
     present: str | None = None,
     hot_rows: int = HOT_ROWS,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """The row before (``step=-1``) or after (``step=1``): LAG and LEAD by one.
 
@@ -180,15 +197,15 @@ def neighbour(
     first (last) row of the key.
     """
     picked = F.struct(*[F.col(c).alias(c) for c in columns])
-    ordering = _order(order, tie, False)
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        w = Window.partitionBy(*keys).orderBy(*ordering)
+    _check(df, order, tie)
+    hot = hot or hot_keys(df, keys, hot_rows)
+    if hot.keys is None:
+        w = Window.partitionBy(*keys).orderBy(*_order(order, tie, False))
         rows = df.withColumn("__near", (F.lag if step < 0 else F.lead)(picked).over(w))
         return _unpack(rows, columns, present)
 
     rows = bucketed(df, keys, hot, order, tie).withColumn("__ghost", F.lit(0)).withColumn("__row", picked)
-    along = F.struct(*[F.col(c) for c in ([order, tie] if tie else [order])])
+    along = F.struct(*[F.col(c) for c in ([order, tie] if tie else [order])], "__same")
     edge = F.max_by("__row", along) if step < 0 else F.min_by("__row", along)
     next_bucket = (F.lead if step < 0 else F.lag)("__bucket").over(Window.partitionBy(*keys).orderBy("__bucket"))
     ghosts = (
@@ -198,12 +215,12 @@ def neighbour(
         .filter(F.col("__bucket").isNotNull())
         .withColumn("__ghost", F.lit(step))
     )
-    w = Window.partitionBy(*keys, "__bucket").orderBy(F.asc("__ghost"), *ordering)
+    w = Window.partitionBy(*keys, "__bucket").orderBy(F.asc("__ghost"), *_order(order, tie, False, True))
     out = (
         rows.unionByName(ghosts, allowMissingColumns=True)
         .withColumn("__near", (F.lag if step < 0 else F.lead)("__row").over(w))
         .filter(F.col("__ghost") == 0)
-        .drop("__ghost", "__row", "__bucket")
+        .drop("__ghost", "__row", "__bucket", "__same")
     )
     return _unpack(out, columns, present)
 

@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.ordered import neighbour, numbered
+from millrace.functions.ordered import HOT_ROWS, hot_keys, neighbour, numbered
 from millrace.operators.aggregate import join_to_aggregation
 from millrace.operators.windows import latest_per_key
 from millrace.sources.scratch import Scratch
@@ -24,9 +24,18 @@ def _semi(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataF
     return left.join(small, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), how)
 
 
+def _measured(df: DataFrame, keys: list[str], options: dict) -> dict:
+    """Options with the large keys of ``df``, for helpers that order its rows, or some of them, again and again."""
+    return options if "hot" in options else options | {"hot": hot_keys(df, keys, options.get("hot_rows", HOT_ROWS))}
+
+
 def hash_of(columns: list[str]) -> Column:
-    """SHA-256 of the columns' text, trimmed; null and empty text count as the same."""
-    return F.sha2(F.concat_ws("||", *[F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in columns]), 256)
+    """SHA-256 of the columns' text, trimmed; null and empty text count as the same.
+
+    Each part follows its length, so that no text can be taken for the end of one part and the start of the next.
+    """
+    parts = [F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) for c in columns]
+    return F.sha2(F.concat(*[x for p in parts for x in (F.length(p).cast("string"), F.lit(":"), p)]), 256)
 
 
 # ---- merge -----------------------------------------------------------------------------------
@@ -105,6 +114,7 @@ def scd2_from_history(
     df: DataFrame, keys: list[str], tracked: list[str], ts: str, tie: str, **options: int
 ) -> DataFrame:
     """All versions of every key from a change log: a version starts where a tracked value changes."""
+    options = _measured(df, keys, options)
     before = neighbour(df, keys, ts, tie, {c: f"__p_{c}" for c in tracked}, -1, "__has", **options)
     same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in tracked])
     starts = before.filter(~F.col("__has") | ~same).select(*dict.fromkeys([*keys, *tracked, ts, tie]))
@@ -158,12 +168,16 @@ def factless_fact(df: DataFrame, keys: list[str]) -> DataFrame:
 def hub(
     df: DataFrame, business_keys: list[str], load_ts: Column, record_source: str, existing: DataFrame | None = None
 ) -> DataFrame:
-    """One row per business key with hash key, first load time and source; only keys not in ``existing``."""
+    """One row per hash key with business key, first load time and source; only keys not in ``existing``.
+
+    Business keys that share a hash key (they differ in blanks around them, or in null and empty) are one; the least
+    spelling stands for all.
+    """
     rows = (
-        df.withColumn("__ts", load_ts)
-        .groupBy(*business_keys)
-        .agg(F.min("__ts").alias("load_ts"))
-        .withColumns({"hash_key": hash_of(business_keys), "record_source": F.lit(record_source)})
+        df.withColumns({"__ts": load_ts, "hash_key": hash_of(business_keys)})
+        .groupBy("hash_key")
+        .agg(F.min(F.struct(*business_keys)).alias("__key"), F.min("__ts").alias("load_ts"))
+        .select(*[F.col(f"__key.{c}") for c in business_keys], "load_ts", "hash_key", F.lit(record_source).alias("record_source"))
     )
     return rows if existing is None else rows.join(existing.select("hash_key"), "hash_key", "left_anti")
 
@@ -277,6 +291,7 @@ def sequence_match(
     of equal values, and neighbouring steps must then differ. Rows look at their neighbours only, so no
     key is gathered into one list.
     """
+    options = _measured(df, keys, options)
     steps = [(p.removesuffix("+"), p.endswith("+")) for p in pattern]
     if not any(many for _, many in steps):
         rows, cond = df, F.col(column) == steps[0][0]

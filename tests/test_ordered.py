@@ -57,14 +57,58 @@ def test_top_per_key(rows):
     same(ordered.top_per_key(rows, ["k"], [F.asc("o"), F.asc("t")], 9, "n"), expected)
 
 
-def test_order_must_be_cuttable(rows):
+@pytest.mark.parametrize("hot_rows", [0, 10**9])
+def test_types_that_cannot_be_ordered_are_refused_in_both_ways(rows, hot_rows):
     with pytest.raises(TypeError):
-        ordered.order_number(rows.select(F.lit("x").alias("s")), "s")
+        ordered.numbered(rows.withColumn("o", F.array("o")), ["k"], "o", "t", hot_rows=hot_rows)
+
+
+ORDERS = {
+    "microseconds in one second": "timestamp_micros(1700000000000000 + pmod(id * 7919, 3000))",
+    "local times": "cast(timestamp_micros(1700000000000000 + pmod(id * 7919, 3000)) as timestamp_ntz)",
+    "integers above 2^53": "9007199254740992L + pmod(id * 7919, 3000)",
+    "wide decimals": "cast('12345678901234567890.' || lpad(cast(pmod(id * 7919, 3000) as string), 6, '0') as decimal(30, 6))",
+    "text": "'x' || cast(pmod(id * 7919, 3000) as string)",
+    "dates with nulls": "if(id % 7 = 0, null, date_add(date'2024-01-01', cast(pmod(id * 7919, 40) as int)))",
+}
 
 
-def test_only_hot_keys_are_split(spark, rows):
+@pytest.mark.parametrize("kind", ORDERS)
+@pytest.mark.parametrize("descending", [False, True])
+def test_exact_for_every_type_with_reversed_ties(spark, kind, descending):
+    df = spark.range(3000).selectExpr("id % 2 AS k", f"{ORDERS[kind]} AS o", "-id AS t", "id % 11 AS v")
+    order = [F.desc("o"), F.desc("t")] if descending else ["o", "t"]
+    w = Window.partitionBy("k").orderBy(*order)
+    same(ordered.numbered(df, ["k"], "o", "t", "n", descending, hot_rows=0), df.withColumn("n", F.row_number().over(w).cast("long")))
+    if not descending:
+        same(ordered.neighbour(df, ["k"], "o", "t", {"v": "p"}, -1, hot_rows=0), df.withColumn("p", F.lag("v").over(w)))
+
+
+def test_rows_that_agree_in_everything_are_still_cut(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", 50)
+    df = spark.range(2000).selectExpr("1 AS k", "5 AS o", "5 AS t", "id AS v")
+    split = ordered.bucketed(df, ["k"], ordered.hot_keys(df, ["k"], 0), "o", "t")
+    assert split.groupBy("__bucket").count().agg(F.max("count")).first()[0] < 300
+    found = ordered.numbered(df, ["k"], "o", "t", "n", hot_rows=0).select("n").collect()
+    assert sorted(r["n"] for r in found) == list(range(1, 2001))
+    near = ordered.neighbour(df, ["k"], "o", "t", {"v": "p"}, -1, hot_rows=0).select("v", "p").collect()
+    assert len({r["p"] for r in near}) == 2000 and all(r["p"] != r["v"] for r in near)
+
+
+def test_the_number_of_buckets_follows_the_rows(spark, monkeypatch):
+    df = spark.range(4000).selectExpr("1 AS k", "id AS o", "id AS t")
+    hot = ordered.hot_keys(df, ["k"], 0)
+    counts = []
+    for rows in (400, 40):
+        monkeypatch.setattr(ordered, "BUCKET_ROWS", rows)
+        counts.append(ordered.bucketed(df, ["k"], hot, "o", "t").select("__bucket").distinct().count())
+    assert counts[0] <= 10 and counts[1] > 90
+
+
+def test_only_hot_keys_are_split(spark, rows, monkeypatch):
+    monkeypatch.setattr(ordered, "BUCKET_ROWS", 30)
     hot = ordered.hot_keys(rows, ["k"], 1000)
-    assert [r["k"] for r in hot.collect()] == [1]
+    assert [r["k"] for r in hot.keys.collect()] == [1]
     split = ordered.bucketed(rows, ["k"], hot, "o", "t")
     per_key = {r["k"]: r["n"] for r in split.groupBy("k").agg(F.countDistinct("__bucket").alias("n")).collect()}
     assert per_key[1] > 60 and per_key[0] == per_key[2] == 1
