@@ -7,8 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions import rules
 from millrace.functions.names import non_blank, package_of
 
-UNDOCUMENTED_COLUMNS_LISTED = 200
-TOP_FAMILIES = 20
 
 # The setting kinds a variant may use and still count as supported.
 SUPPORTED_PRIMITIVES = [
@@ -158,7 +156,6 @@ def documentation_audit(nodes: DataFrame, columns: DataFrame) -> DataFrame:
         {
             "node_percent": percent("documented_nodes", "total_nodes"),
             "column_percent": percent("documented_columns", "total_columns"),
-            "truncated": F.col("total_columns") - F.col("documented_columns") > UNDOCUMENTED_COLUMNS_LISTED,
         }
     )
 
@@ -167,9 +164,9 @@ def undocumented_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.filter(~(non_blank("description") | non_blank("meta_description")))
 
 
-def undocumented_columns(columns: DataFrame, limit: int = UNDOCUMENTED_COLUMNS_LISTED) -> DataFrame:
-    """The first ``limit`` columns without description, by node and position."""
-    return columns.filter(~non_blank("description")).orderBy("node_id", "ordinal").limit(limit)
+def undocumented_columns(columns: DataFrame) -> DataFrame:
+    """All columns without description."""
+    return columns.filter(~non_blank("description"))
 
 
 def variant_dedup(definitions: DataFrame, supported: list[str] | None = None) -> DataFrame:
@@ -214,7 +211,7 @@ def variant_summary(variants: DataFrame) -> DataFrame:
     )
 
 
-def top_families(variants: DataFrame, limit: int = TOP_FAMILIES) -> DataFrame:
-    return (
-        variants.groupBy("family").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.asc("family")).limit(limit)
-    )
+def top_families(variants: DataFrame, limit: int | None = None) -> DataFrame:
+    """Variants in each family; with ``limit`` the families with most, ties by name."""
+    counts = variants.groupBy("family").agg(F.count(F.lit(1)).alias("n"))
+    return counts if limit is None else counts.orderBy(F.desc("n"), F.asc("family")).limit(limit)

@@ -4,10 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.functions.ordered import top_per_key
-
 FIELDS = ["name", "nodeType", "sql", "description", "config", "columnName", "columnDataType"]
-MAX_MATCHES_PER_NODE = 50
 SNIPPET_SIDE = 60
 
 
@@ -30,11 +27,10 @@ def search_content(
     node_type: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """Literal, case-insensitive substring search; one row per match.
+    """Literal, case-insensitive substring search; one row per match, all of them.
 
     ``nodes``: node_id, name, node_type, sql, description, config. ``columns``: node_id, ordinal,
-    name, data_type. Keeps the first 50 matches of a node in field order and flags the rest as
-    truncated; ``limit`` cuts the list of nodes, in id order.
+    name, data_type. ``limit``, if given, cuts the list of nodes, in id order.
     """
     if not query:
         raise ValueError("the search text must not be empty")
@@ -75,20 +71,10 @@ def search_content(
         found = columns.select("node_id", F.inline(F.array(*column_cells))).filter(hit)
         parts.append(found.join(nodes.select("node_id"), "node_id", "left_semi"))
     matches = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    totals = matches.groupBy("node_id").agg(F.count(F.lit(1)).alias("matches"))
     if limit is not None:
-        totals = totals.orderBy("node_id").limit(limit)
-    first = top_per_key(
-        matches, ["node_id"], [F.asc("field_order"), F.asc("ordinal"), F.asc("column_name")], MAX_MATCHES_PER_NODE
-    )
+        matches = matches.join(matches.select("node_id").distinct().orderBy("node_id").limit(limit), "node_id", "left_semi")
     text = F.when(F.col("whole"), F.col("text")).otherwise(snippet(F.col("text"), query))
-    return first.join(totals, "node_id").select(
-        "node_id",
-        "field",
-        "column_name",
-        text.alias("snippet"),
-        (F.col("matches") > MAX_MATCHES_PER_NODE).alias("truncated"),
-    )
+    return matches.select("node_id", "field", "column_name", text.alias("snippet"))
 
 
 def search_variants(
@@ -97,9 +83,11 @@ def search_variants(
     package: str | None = None,
     primitive: str | None = None,
     status: str | None = None,
-    limit: int = 25,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Variants that meet every given condition, in key order, at most 1 to 200 of them."""
+    """Variants that meet every given condition; with ``limit`` the first ones in key order."""
+    if limit is not None and limit < 1:
+        raise ValueError("limit must be at least 1")
 
     def holds(array: str, value: str) -> Column:
         return F.exists(array, lambda x: F.lower(x) == value.strip().lower())
@@ -112,4 +100,4 @@ def search_variants(
         variants = variants.filter(holds("primitives", primitive))
     if status:
         variants = variants.filter(F.col("support_status") == status)
-    return variants.orderBy("variant_key").limit(max(1, min(limit, 200)))
+    return variants if limit is None else variants.orderBy("variant_key").limit(limit)

@@ -250,7 +250,7 @@ def a19_workspace_profile(t):
     with_sql("nodes", "node_columns")
     + """, n AS (SELECT count(*) AS tn, count(description) AS dn FROM nodes), k AS (SELECT count(*) AS tc, count(description) AS dc FROM node_columns)
     SELECT CAST(0 AS INT) AS workspace_id, tn AS total_nodes, dn AS documented_nodes, tc AS total_columns, dc AS documented_columns,
-      round(dn / tn * 10000) / 100 AS node_percent, round(dc / tc * 10000) / 100 AS column_percent, tc - dc > 200 AS truncated FROM n, k""",
+      round(dn / tn * 10000) / 100 AS node_percent, round(dc / tc * 10000) / 100 AS column_percent FROM n, k""",
 )
 def a20_documentation_audit(t):
     nodes = c.nodes(t).withColumn("meta_description", F.lit(None).cast("string"))
@@ -265,7 +265,7 @@ def a20_undocumented_nodes(t):
 
 @query(
     "a20_undocumented_columns",
-    with_sql("node_columns") + "SELECT node_id, column_id, name FROM node_columns WHERE description IS NULL ORDER BY node_id, ordinal LIMIT 200",
+    with_sql("node_columns") + "SELECT node_id, column_id, name FROM node_columns WHERE description IS NULL",
 )
 def a20_undocumented_columns(t):
     return profile.undocumented_columns(c.node_columns(t)).select("node_id", "column_id", "name")
@@ -287,7 +287,7 @@ def a22_variant_summary(t):
     return profile.variant_summary(profile.variant_dedup(c.definitions(t)))
 
 
-@query("a22_top_families", VARIANT_SQL + "SELECT family, count(*) AS n FROM v GROUP BY 1 ORDER BY n DESC, family LIMIT 20")
+@query("a22_top_families", VARIANT_SQL + "SELECT family, count(*) AS n FROM v GROUP BY 1")
 def a22_top_families(t):
     return profile.top_families(profile.variant_dedup(c.definitions(t)))
 
@@ -335,6 +335,46 @@ def w2_ranks_split_keys(t):
     return _ranked(t, hot_rows=0)
 
 
+TEXT_RANK_SQL = """SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY 'x' || event_id DESC, value DESC) AS row_number,
+    rank() OVER (PARTITION BY event_type ORDER BY CAST(value AS DECIMAL(30, 10)) + 12345678901234567890) AS rank FROM events"""
+
+
+@query("w2_typed_split_keys", TEXT_RANK_SQL)
+def w2_typed_split_keys(t):
+    """Hot keys ordered by text, downwards, and by decimals too wide for a double."""
+    rows = t.events.selectExpr("event_type", "event_id", "value", "'x' || event_id AS o", "cast(value as decimal(30, 10)) + 12345678901234567890BD AS wide")
+    rows = ordered.numbered(rows, ["event_type"], "o", "value", "row_number", descending=True, hot_rows=0)
+    return ordered.ranked(rows, ["event_type"], "wide", hot_rows=0).select("event_type", "event_id", "row_number", "rank")
+
+
+#: Times that differ by microseconds within one second of a day; ties run against the ids.
+FINE_SQL = "SELECT *, date_trunc('day', ts) + to_microseconds(event_id // 2) AS fine, -event_id AS back FROM events"
+FINE = ["*", "cast(timestampadd(MICROSECOND, event_id div 2, cast(date_trunc('day', ts) as timestamp_ntz)) as timestamp_ntz) AS fine", "-event_id AS back"]
+
+
+@query(
+    "w3_fine_times_split_keys",
+    f"""SELECT event_type, event_id, lag(value) OVER (PARTITION BY event_type ORDER BY fine, back) AS before_value,
+    lead(value) OVER (PARTITION BY event_type ORDER BY fine, back) AS after_value FROM ({FINE_SQL})""",
+)
+def w3_fine_times_split_keys(t):
+    rows = t.events.selectExpr(*FINE).select("event_type", "event_id", "value", "fine", "back")
+    rows = ordered.neighbour(rows, ["event_type"], "fine", "back", {"value": "before_value"}, -1, hot_rows=0)
+    rows = ordered.neighbour(rows, ["event_type"], "fine", "back", {"value": "after_value"}, 1, hot_rows=0)
+    return rows.select("event_type", "event_id", "before_value", "after_value")
+
+
+@query(
+    "w4_large_integers_split_keys",
+    """SELECT event_type, event_id, CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (PARTITION BY event_type ORDER BY 9007199254740992 + event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running FROM events""",
+)
+def w4_large_integers_split_keys(t):
+    """Orders above 2^53 that differ by one."""
+    rows = t.events.selectExpr("event_type", "event_id", "value", "9007199254740992L + event_id AS o")
+    found = ordered.running_total(rows, ["event_type"], "o", "event_id", F.col("value").cast(MONEY), "running", hot_rows=0)
+    return found.select("event_type", "event_id", F.col("running").cast("double").alias("running"))
+
+
 NEAR_SQL = """SELECT event_type, event_id, lag(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS before_value,
     lead(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS after_value FROM events"""
 

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from millrace.operators import load
 from millrace.plans import catalogue as c
+from millrace.plans.aggregate_queries import FINE, FINE_SQL
 from millrace.plans.registry import query
 from millrace.plans.steps import run_steps
 from millrace.sources.scratch import Scratch
@@ -93,6 +94,16 @@ def l4_scd2_from_history_split_keys(t):
     return load.scd2_from_history(t.events, ["user_id"], ["event_type"], "ts", "event_id", hot_rows=0)
 
 
+@query(
+    "l4_fine_times_split_keys",
+    f"""WITH f AS ({FINE_SQL}), v AS (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY fine, back) AS p FROM f)
+    SELECT user_id, event_type, fine AS valid_from, lead(fine) OVER w AS valid_to, lead(fine) OVER w IS NULL AS is_current
+    FROM v WHERE p IS NULL OR p <> event_type WINDOW w AS (PARTITION BY user_id ORDER BY fine, back)""",
+)
+def l4_fine_times_split_keys(t):
+    return load.scd2_from_history(t.events.selectExpr(*FINE), ["user_id"], ["event_type"], "fine", "back", hot_rows=0)
+
+
 @query(
     "l5_fact",
     """SELECT c_nationkey AS nationkey, o_orderpriority AS priority, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
@@ -117,7 +128,7 @@ def l6_factless_fact(t):
 
 @query(
     "l7_hub",
-    """SELECT o_custkey AS custkey, sha256('' || o_custkey) AS hash_key, min(o_orderdate) AS load_ts, 'orders' AS record_source FROM orders
+    """SELECT o_custkey AS custkey, sha256(length('' || o_custkey) || ':' || o_custkey) AS hash_key, min(o_orderdate) AS load_ts, 'orders' AS record_source FROM orders
        GROUP BY 1 HAVING o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')""",
 )
 def l7_hub(t):
@@ -127,7 +138,23 @@ def l7_hub(t):
     return load.hub(rows, ["custkey"], F.col("o_orderdate"), "orders", existing)
 
 
-SATELLITE_SQL = """SELECT sha256('' || user_id) AS hash_key, user_id, event_type, ts, event_id, sha256(event_type) AS hash_diff, 'events' AS record_source
+#: Composite keys with separators inside, blanks around, nulls and empty texts.
+ODD_KEYS = """CASE o_orderkey % 5 WHEN 0 THEN 'a||b' WHEN 1 THEN 'a' WHEN 2 THEN ' a ' WHEN 3 THEN '' END AS x,
+    CASE o_orderkey % 5 WHEN 0 THEN 'c' WHEN 3 THEN '1:' WHEN 4 THEN '1:' ELSE 'b||c' END AS y"""
+
+
+@query(
+    "l7_hub_composite",
+    f"""SELECT hash_key, min(load_ts) AS load_ts, 'orders' AS record_source FROM (SELECT
+       sha256(length(coalesce(trim(x), '')) || ':' || coalesce(trim(x), '') || length(trim(y)) || ':' || trim(y)) AS hash_key, load_ts
+       FROM (SELECT {ODD_KEYS}, o_orderdate AS load_ts FROM orders)) GROUP BY 1""",
+)
+def l7_hub_composite(t):
+    rows = t.orders.selectExpr(*[k.strip() for k in ODD_KEYS.split(",\n")], "o_orderdate AS load_ts")
+    return load.hub(rows, ["x", "y"], F.col("load_ts"), "orders").drop("x", "y")
+
+
+SATELLITE_SQL = """SELECT sha256(length('' || user_id) || ':' || user_id) AS hash_key, user_id, event_type, ts, event_id, sha256(length('' || event_type) || ':' || event_type) AS hash_diff, 'events' AS record_source
     FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS NULL OR p <> event_type"""
 
 
@@ -147,8 +174,8 @@ def l8_satellite_in_two_loads(t):
 
 @query(
     "l9_link",
-    """SELECT sha256('' || l_partkey) AS part_hash, sha256('' || l_suppkey) AS supplier_hash, min(l_shipdate) AS load_ts,
-       sha256(sha256('' || l_partkey) || '||' || sha256('' || l_suppkey)) AS hash_key, 'lineitem' AS record_source FROM lineitem GROUP BY l_partkey, l_suppkey""",
+    """SELECT sha256(length('' || l_partkey) || ':' || l_partkey) AS part_hash, sha256(length('' || l_suppkey) || ':' || l_suppkey) AS supplier_hash, min(l_shipdate) AS load_ts,
+       sha256('64:' || sha256(length('' || l_partkey) || ':' || l_partkey) || '64:' || sha256(length('' || l_suppkey) || ':' || l_suppkey)) AS hash_key, 'lineitem' AS record_source FROM lineitem GROUP BY l_partkey, l_suppkey""",
 )
 def l9_link(t):
     return load.link(t.lineitem, {"part_hash": ["l_partkey"], "supplier_hash": ["l_suppkey"]}, F.col("l_shipdate"), "lineitem")
@@ -244,6 +271,25 @@ def l16_sequence_match_split_keys(t):
     return load.sequence_match(t.events, ["user_id"], "ts", "event_id", "event_type", ["view", "click", "purchase"], hot_rows=0)
 
 
+@query(
+    "l16_fine_times_split_keys",
+    f"""WITH n AS (SELECT user_id, fine, back, event_type, lead(event_type) OVER w AS b, lead(event_type, 2) OVER w AS c, lead(fine, 2) OVER w AS match_end FROM ({FINE_SQL})
+    WINDOW w AS (PARTITION BY user_id ORDER BY fine, back))
+    SELECT user_id, fine AS match_start, back AS first_row, match_end FROM n WHERE event_type = 'view' AND b = 'click' AND c = 'purchase'""",
+)
+def l16_fine_times_split_keys(t):
+    return load.sequence_match(t.events.selectExpr(*FINE), ["user_id"], "fine", "back", "event_type", ["view", "click", "purchase"], hot_rows=0)
+
+
+@query(
+    "l8_fine_times_split_keys",
+    f"""SELECT sha256(length('' || user_id) || ':' || user_id) AS hash_key, user_id, event_type, fine, back, sha256(length('' || event_type) || ':' || event_type) AS hash_diff, 'events' AS record_source
+    FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY fine, back) AS p FROM ({FINE_SQL})) WHERE p IS NULL OR p <> event_type""",
+)
+def l8_fine_times_split_keys(t):
+    return load.satellite(t.events.selectExpr(*FINE), ["user_id"], ["event_type"], "fine", "back", "events", hot_rows=0)
+
+
 @query(
     "l16_sequence_match_runs",
     """WITH n AS (SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS m FROM events),

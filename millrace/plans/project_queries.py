@@ -258,7 +258,7 @@ def searchable(t):
     h AS (SELECT *, instr(lower(text), 'at') AS p, length(text) AS n FROM m WHERE instr(lower(text), 'at') > 0)
     SELECT node_id, field, column_name, CASE WHEN whole THEN text ELSE
       CASE WHEN p > 61 THEN '…' ELSE '' END || substring(text, greatest(p - 60, 1), least(p + 61, n) - greatest(p - 60, 1) + 1) ||
-      CASE WHEN p + 61 < n THEN '…' ELSE '' END END AS snippet, FALSE AS truncated FROM h""",
+      CASE WHEN p + 61 < n THEN '…' ELSE '' END END AS snippet FROM h""",
 )
 def p12_search_content(t):
     return search.search_content(searchable(t), c.node_columns(t), "AT")
@@ -305,11 +305,11 @@ VARIANT_SQL = """WITH d AS (SELECT p_type AS family, p_brand AS package, 'size '
     "p16_search_variants",
     VARIANT_SQL
     + """SELECT variant_key, occurrences FROM v WHERE lower(family) = 'promo' AND contains(',' || prim || ',', ',textBox,') AND support_status = 'partial'
-         AND contains(',' || packages || ',', ',Brand#12,') ORDER BY variant_key LIMIT 200""",
+         AND contains(',' || packages || ',', ',Brand#12,')""",
 )
 def p16_search_variants(t):
     variants = variant_dedup(c.definitions(t))
-    return search.search_variants(variants, " Promo ", "brand#12", "TEXTBOX", "partial", 1000).select("variant_key", "occurrences")
+    return search.search_variants(variants, " Promo ", "brand#12", "TEXTBOX", "partial").select("variant_key", "occurrences")
 
 
 @query(

@@ -135,11 +135,12 @@ def test_conform_reports(spark):
     )
 
 
-def test_search_caps_matches_per_node(spark):
+def test_search_returns_every_match(spark):
     nodes = spark.createDataFrame([(1, "hit", "View", None, "x" * 100 + "HIT" + "y" * 100, None), (2, "no", "View", None, None, None)], "node_id int, name string, node_type string, sql string, description string, config string")
     columns = spark.createDataFrame([(1, i, f"hit{i}", "INT") for i in range(80)] + [(3, 0, "hit", "INT")], "node_id int, ordinal int, name string, data_type string")
     found = search.search_content(nodes, columns, "hit").collect()
-    assert len(found) == 50 and all(r["truncated"] for r in found)
+    assert len(found) == 82
+    assert {r["node_id"] for r in search.search_content(nodes, columns, "i", limit=1).collect()} == {1}
     assert [r["snippet"] for r in found if r["field"] == "description"] == ["…" + "x" * 60 + "HIT" + "y" * 60 + "…"]
     assert search.search_content(nodes, columns, "hit", ["name"], "view").count() == 1
     assert search.search_content(nodes, columns, "hit", ["name"], "table").count() == 0
@@ -285,7 +286,7 @@ def test_profile_of_empty_and_vault_workspaces(spark):
     audited = nodes.withColumn("meta_description", F.lit(None).cast("string"))
     empty = spark.createDataFrame([], "workspace_id int, description string")
     row = profile.documentation_audit(audited, empty).first()
-    assert (row["documented_nodes"], row["node_percent"], row["column_percent"], row["truncated"]) == (2, 50.0, 0.0, False)
+    assert (row["documented_nodes"], row["node_percent"], row["column_percent"]) == (2, 50.0, 0.0)
 
 
 # ---- review and runs ----------------------------------------------------------------------------------
@@ -508,3 +509,21 @@ def test_one_key_with_most_rows(spark):
     heads = spark.createDataFrame([(0, "hot"), (-1, "alone")], "run_id long, name string")
     found = run_details(heads, details)
     assert found.count() == 20_001 and found.filter("run_id = -1 AND t IS NULL").count() == 1
+
+
+def test_lists_are_whole(spark):
+    columns = spark.range(300).selectExpr("id AS node_id", "0 AS ordinal", "cast(null as string) AS description")
+    assert profile.undocumented_columns(columns).count() == 300
+    variants = spark.range(250).selectExpr("cast(id as string) AS variant_key", "'f' || (id % 30) AS family", "array('p') AS packages", "array('q') AS primitives", "'supported' AS support_status")
+    assert search.search_variants(variants, package="P").count() == 250
+    assert search.search_variants(variants, limit=3).count() == 3
+    assert profile.top_families(variants).count() == 30 and profile.top_families(variants, 2).count() == 2
+    with pytest.raises(ValueError):
+        search.search_variants(variants, limit=0)
+
+
+def test_hash_keys_do_not_collide(spark):
+    df = spark.createDataFrame([("a||b", "c", 3), ("a", "b||c", 2), ("a ", "b||c", 1), (None, "x", 5), ("", "x", 4), ("1:x", "", 6), ("1", "x", 7)], "x string, y string, t int")
+    found = load.hub(df, ["x", "y"], F.col("t"), "src").collect()
+    assert len(found) == len({r["hash_key"] for r in found}) == 5
+    assert sorted((r["y"], r["load_ts"]) for r in found) == [("", 6), ("b||c", 1), ("c", 3), ("x", 4), ("x", 7)]
