@@ -8,7 +8,8 @@ between codewords; it is the same game from either end of a pair, so only cells
 Pairs in visited cells are verified in double precision.
 
 The reach comes from the target recall: sample vectors are moved in random directions to exactly the least similarity, the
-hardest pairs there are, and the reach is the quantile of the bounds at which they are met. With ``recall`` 1 it is the distance
+hardest pairs there are, and the reach is the quantile of the bounds at which they, or the similar pairs within the first
+``PAIRED`` sample vectors, are met. With ``recall`` 1 it is the distance
 that the similarity allows, and nothing is missed, whatever the codebooks.
 
 Codebooks and reach are fitted on at most ``SAMPLE`` vectors, chosen by a hash of their id; all vectors are indexed. Equal vectors
@@ -36,6 +37,8 @@ from millrace.sources.scratch import Scratch
 SAMPLE = 10_000
 CODEWORDS = 16
 RECALL = 0.999
+#: Sample vectors that are compared with each other for the reach.
+PAIRED = 2000
 BLOCK = 2048
 #: Added to the radius, for rounding in the bounds; verification decides.
 SLACK = 1e-6
@@ -100,7 +103,15 @@ def reach_for(x: np.ndarray, one: np.ndarray, two: np.ndarray, cosine: float, re
     half, row = x.shape[1] // 2, np.arange(len(x))
     (_, b1), (_, b2) = plane_bounds(x[:, :half], one), plane_bounds(x[:, half:], two)
     met = b1[row, distances(moved[:, :half], one).argmin(axis=1)] + b2[row, distances(moved[:, half:], two).argmin(axis=1)]
-    return min(most, float(np.quantile(met, recall))) + SLACK
+    reach = float(np.quantile(met, recall))
+    # pairs of the sample itself, whose directions the codebooks may have been fitted to
+    few = x[:PAIRED]
+    i, j = np.nonzero(np.triu(few @ few.T >= cosine, 1))
+    if len(i):
+        i, j = np.concatenate([i, j]), np.concatenate([j, i])
+        met = b1[i, distances(few[:, :half], one).argmin(axis=1)[j]] + b2[i, distances(few[:, half:], two).argmin(axis=1)[j]]
+        reach = max(reach, float(np.quantile(met, recall)))
+    return min(most, reach) + SLACK
 
 
 def fitted(vectors: DataFrame, codewords: int, cosine: float, recall: float) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
