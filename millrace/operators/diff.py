@@ -129,27 +129,77 @@ def merge_schema_versions(before: DataFrame, after: DataFrame, changes: DataFram
 
 IDENT = r"\"[A-Za-z_][\w$]*\""
 NAME = r"\"([A-Za-z_][\w$]*)\""
-NESTED = r"\((?:[^()]|\((?:[^()]|\((?:[^()]|\([^()]*\))*\))*\))*\)"
+# Characters that stand for what a mask hides: a bracket with all in it, a quoted name, a literal.
+INNER, QUOTED, LITERAL = "\x01", "\x02", "\x03"
+_PIECES = r"(?s)(--[^\n]*|/\*.*?\*/|'(?:[^']|'')*'|\"[^\"]*\"|`[^`]*`|[^-/'\"`]+|.)"
+_BRACKETS = r"(?s)(\([^()]*\)|[^()]+|[()])"
+
+
+def _fill(piece: Column, with_: str) -> Column:
+    return F.repeat(F.lit(with_), F.length(piece))
+
+
+def _pieces(sql: Column, change) -> Column:
+    return F.array_join(F.transform(F.regexp_extract_all(sql, F.lit(_PIECES), F.lit(1)), change), "")
+
+
+def _is_comment(piece: Column) -> Column:
+    return piece.startswith("--") | piece.startswith("/*")
 
 
 def strip_comments(sql: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(sql, r"--[^\n]*", ""), r"(?s)/\*.*?\*/", "")
+    """Without comments; what looks like one inside quotes stays."""
+    return _pieces(sql, lambda t: F.when(_is_comment(t), "").otherwise(t))
+
+
+def masked(sql: Column, names: bool = True) -> Column:
+    """The text at the same length with comments blank and literals hidden.
 
+    Quoted names stay if ``names`` is set and they hold no keyword, bracket or comma; else they are hidden too.
+    """
+    kept = r"(?is)^(?!.*\b(?:from|join|group|order|limit|offset|having|qualify)\b)[^(),;]*$" if names else "^$"
+    return _pieces(
+        sql,
+        lambda t: F.when(_is_comment(t), _fill(t, " "))
+        .when(t.startswith("'") & (F.length(t) > 1), _fill(t, LITERAL))
+        .when((t.startswith('"') | t.startswith("`")) & (F.length(t) > 1) & ~t.rlike(kept), _fill(t, QUOTED))
+        .otherwise(t),
+    )
 
-def masked(sql: Column) -> Column:
-    """Without comments, with literals emptied."""
-    return F.regexp_replace(strip_comments(sql), r"'[^']*'", "''")
+
+def flat(sql: Column, names: bool = True) -> Column:
+    """The masked text at the same length with every bracket and all in it hidden, at any depth.
+
+    The innermost brackets are hidden again and again; a bracket that is left over has no partner.
+    """
+    text = masked(sql, names)
+    hide = lambda m: F.array_join(
+        F.transform(F.regexp_extract_all(m, F.lit(_BRACKETS), F.lit(1)), lambda t: F.when(t.startswith("(") & t.endswith(")"), _fill(t, INNER)).otherwise(t)), ""
+    )
+    count = F.size(F.split(text, r"\(")) - 1
+    rounds = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(rounds, text, lambda m, _: F.when(F.contains(m, F.lit("(")), hide(m)).otherwise(m))
 
 
 def top_level(sql: Column) -> Column:
-    """Masked text with everything in parentheses taken out (up to four levels deep)."""
-    return F.regexp_replace(masked(sql), NESTED, "()")
+    """Masked text with everything in brackets taken out, at any depth."""
+    return F.regexp_replace(F.regexp_replace(flat(sql), f"{INNER}+", "()"), f"{LITERAL}+", "''")
+
 
+def balanced(mask: Column) -> Column:
+    return ~F.coalesce(mask, F.lit("")).rlike("[()]")
 
-def from_block(sql: Column) -> Column:
-    """FROM, JOIN and WHERE of a statement; empty when it has none."""
-    pattern = r"(?is)\bfrom\b.*?(?=\bgroup\b|\border\b|\blimit\b|\bhaving\b|\bqualify\b|;|$)"
-    return F.regexp_extract(strip_comments(sql), pattern, 0)
+
+def from_block(sql: Column, mask: Column) -> Column:
+    """FROM, JOIN and WHERE of a statement's outer query; empty when it has none.
+
+    ``mask`` is ``flat(sql, names=False)``: keywords inside brackets, literals and quoted names do not end it.
+    """
+    start = F.regexp_instr(mask, F.lit(r"(?i)\bfrom\b"))
+    behind = F.substring(mask, start, F.length(mask))
+    end = F.regexp_instr(behind, F.lit(r"(?i)\b(?:group|order|limit|having|qualify)\b|;"))
+    size = F.when(end > 0, end - 1).otherwise(F.length(behind))
+    return strip_comments(F.when(start > 0, F.substring(sql, start, size)).when(sql.isNotNull(), ""))
 
 
 def as_refs(block: Column) -> Column:
@@ -171,20 +221,23 @@ def diff_sources(corpus: DataFrame, before: str = "before_sql", after: str = "af
 
     ``before`` is the stored FROM / JOIN / WHERE text or a whole statement, ``after`` the edited one.
     """
-    b, a = from_block(F.col(before)), from_block(F.col(after))
+    # A column of its own for each mask, so that it is made once.
+    texts = corpus.select("node_id", F.col(before).alias("__before"), F.col(after).alias("__sql"))
+    texts = texts.withColumns({"__mb": flat(F.col("__before"), False), "__ma": flat(F.col("__sql"), False)})
+    b, a = from_block(F.col("__before"), F.col("__mb")), from_block(F.col("__sql"), F.col("__ma"))
 
     def keys(block: Column) -> Column:
         pairs = source_names(block)
         return F.array_distinct(F.transform(pairs, lambda s: F.concat_ws("::", F.upper(s["location"]), F.upper(s["name"]))))
 
-    rows = corpus.select("node_id", F.col(after).alias("__sql"), b.alias("__b"), a.alias("__a")).withColumns(
+    rows = texts.withColumns({"__b": b, "__a": a}).withColumns(
         {"b_keys": keys(F.col("__b")), "a_keys": keys(F.col("__a"))}
     )
     rows = rows.withColumns(
         {"added": F.sort_array(F.array_except("a_keys", "b_keys")), "removed": F.sort_array(F.array_except("b_keys", "a_keys"))}
     )
     verdict = (
-        F.when(F.col("__sql").rlike(r"(?is)^\s*with\b"), "unsupported")
+        F.when(strip_comments(F.col("__sql")).rlike(r"(?is)^\s*with\b") | ~balanced(F.col("__ma")) | ~balanced(F.col("__mb")), "unsupported")
         .when(F.col("__a") == "", "identical")
         .when(F.size("added") > 0, "new_source")
         .when(F.size("removed") > 0, "removed_source")
@@ -327,8 +380,7 @@ def validate_expected(
 
 # ---- statement profile -----------------------------------------------------------------------
 
-CTE = rf"(?is)(?:\bWITH\s+(?:RECURSIVE\s+)?|\)\s*,\s*)(\w+)\s+AS\s*(?={NESTED})"
-CTE_WHOLE = rf"(?is)\b(\w+)\s+AS\s*({NESTED})"
+CTE = rf"(?is)(?:\bWITH\s+(?:RECURSIVE\s+)?|{INNER}\s*,\s*)(\w+)\s+AS\s*(?={INNER})"
 
 
 def _kind(grouped: Column, joined: Column) -> Column:
@@ -337,13 +389,14 @@ def _kind(grouped: Column, joined: Column) -> Column:
 
 def cte_profile(corpus: DataFrame, sql: str = "sql") -> DataFrame:
     """One row per CTE: its position, what it does, and which other CTEs it names."""
-    text = masked(F.col(sql))
-    names = F.transform(F.regexp_extract_all(text, F.lit(CTE), F.lit(1)), F.upper)
-    found = F.regexp_extract_all(text, F.lit(CTE_WHOLE), F.lit(0))
-    rows = corpus.filter(text.rlike(r"(?i)^\s*WITH\b")).select("node_id", names.alias("names"), F.posexplode(found).alias("position", "whole"))
-    rows = rows.withColumns(
-        {"cte": F.upper(F.regexp_extract("whole", r"^(\w+)", 1)), "body": F.regexp_extract("whole", r"(?is)\bAS\s*(\(.*)$", 1)}
-    ).filter(F.array_contains(F.col("names"), F.col("cte")))
+    text, mask = masked(F.col(sql)), flat(F.col(sql))
+    names = F.transform(F.regexp_extract_all(mask, F.lit(CTE), F.lit(1)), F.upper)
+    rows = corpus.filter(text.rlike(r"(?is)^\s*WITH\b")).select("node_id", text.alias("text"), mask.alias("mask"), names.alias("names"))
+    rows = rows.select("*", F.posexplode("names").alias("position", "cte"))
+    # The mask is as long as the text, so that a place found in one holds in the other.
+    whole = F.concat(F.lit(r"(?is)\b"), "cte", F.lit(rf"\s+AS\s*{INNER}+"))
+    rows = rows.withColumn("body", F.substring("text", F.regexp_instr("mask", whole), F.length(F.regexp_extract_all("mask", whole, F.lit(0))[0])))
+    rows = rows.withColumn("body", F.regexp_extract("body", r"(?is)\bAS\s*(\(.*)$", 1))
     words = F.transform(F.regexp_extract_all("body", F.lit(r"(\w+)"), F.lit(1)), F.upper)
     used = F.sort_array(F.array_except(F.array_intersect("names", words), F.array("cte")))
     joined, grouped = F.col("body").rlike(r"(?i)\bJOIN\b"), F.col("body").rlike(r"(?i)\bGROUP\s+BY\b")
@@ -354,16 +407,16 @@ def cte_profile(corpus: DataFrame, sql: str = "sql") -> DataFrame:
 
 def sql_profile(corpus: DataFrame, sql: str = "sql") -> DataFrame:
     """Headline facts of each statement's outer query: sources, join, grouping, number of CTEs."""
-    text, top = masked(F.col(sql)), top_level(F.col(sql))
+    text, mask, top = masked(F.col(sql)), flat(F.col(sql)), top_level(F.col(sql))
     from_part = F.regexp_extract(top, r"(?is)\bfrom\b(.*?)(?=\bwhere\b|\bgroup\b|\border\b|\blimit\b|\bhaving\b|\bqualify\b|\bunion\b|;|$)", 1)
     # Braces of ref() hold a comma of their own once parentheses are gone: {{ ref() }} has none left.
     sources = F.size(F.split(from_part, r"(?i)\bjoin\b|,"))
-    is_cte = text.rlike(r"(?i)^\s*WITH\b")
+    is_cte = text.rlike(r"(?is)^\s*WITH\b")
     joined, grouped = F.col("sources") > 1, F.col("has_group_by")
     rows = corpus.select(
         "node_id",
         F.when(F.trim(from_part) == "", 0).otherwise(sources).alias("sources"),
         top.rlike(r"(?i)\bgroup\s+by\b").alias("has_group_by"),
-        F.when(is_cte, F.size(F.regexp_extract_all(text, F.lit(CTE), F.lit(1)))).otherwise(0).alias("ctes"),
+        F.when(is_cte, F.size(F.regexp_extract_all(mask, F.lit(CTE), F.lit(1)))).otherwise(0).alias("ctes"),
     )
     return rows.select("node_id", "sources", joined.alias("has_join"), "has_group_by", "ctes", _kind(grouped, joined).alias("kind"))

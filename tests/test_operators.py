@@ -527,3 +527,33 @@ def test_hash_keys_do_not_collide(spark):
     found = load.hub(df, ["x", "y"], F.col("t"), "src").collect()
     assert len(found) == len({r["hash_key"] for r in found}) == 5
     assert sorted((r["y"], r["load_ts"]) for r in found) == [("", 6), ("b||c", 1), ("c", 3), ("x", 4), ("x", 7)]
+
+
+DEEP = "f(g(h(i(j(k(1))))))"
+
+
+@pytest.mark.parametrize(
+    "before,after,verdict,added",
+    [
+        ("FROM {{ ref('A', 'B') }}", "SELECT 1 FROM (SELECT x FROM t GROUP BY x) q JOIN {{ ref('C', 'D') }} ON 1 = 1 JOIN {{ ref('A', 'B') }}", "new_source", ["C::D"]),
+        ("SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = 'in order' AND n = 1", "SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = 'in order' AND n = 2", "where_or_join_edit", []),
+        ("SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = 'in order' AND n = 1", "SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = 'in order' AND N = 1 ORDER BY 1", "identical", []),
+        (f"SELECT 1 FROM {{{{ ref('A', 'B') }}}} WHERE {DEEP} = 1", f"SELECT 1 FROM {{{{ ref('A', 'B') }}}} WHERE {DEEP} = 2 GROUP BY 1", "where_or_join_edit", []),
+        ("SELECT 1 FROM {{ ref('A', 'B') }} WHERE \"group, (by\" = 1", "SELECT 2 FROM {{ ref('A', 'B') }} WHERE \"group, (by\" = 1 -- LIMIT (", "identical", []),
+        ("SELECT 1 FROM {{ ref('A', 'B') }} WHERE (a = 1", "SELECT 1 FROM {{ ref('A', 'B') }} WHERE a = 1", "unsupported", []),
+        ("SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = '--x' AND n = 1", "SELECT 1 FROM {{ ref('A', 'B') }} WHERE s = '--x' AND n = 2", "where_or_join_edit", []),
+    ],
+)
+def test_sources_are_compared_at_any_depth(spark, before, after, verdict, added):
+    row = diff.diff_sources(spark.createDataFrame([(1, before, after)], "node_id int, before_sql string, after_sql string")).first()
+    assert (row["verdict"], row["added"]) == (verdict, added)
+
+
+def test_profiles_at_any_depth(spark):
+    inner = f"SELECT a FROM t WHERE {DEEP} = ')' GROUP BY a"
+    texts = [(1, f"SELECT x FROM ({inner}) q"), (2, f"SELECT {DEEP} FROM t GROUP BY 1"), (3, f"WITH p AS ({inner}), q AS (SELECT * FROM p JOIN r ON {DEEP} = p.a) SELECT * FROM q")]
+    df = spark.createDataFrame(texts, "node_id int, sql string")
+    found = {r["node_id"]: (r["has_group_by"], r["kind"], r["ctes"]) for r in diff.sql_profile(df).collect()}
+    assert found == {1: (False, "staging", 0), 2: (True, "aggregation", 0), 3: (False, "staging", 2)}
+    ctes = [(r["cte"], r["kind"], r["depends_on"]) for r in diff.cte_profile(df).orderBy("position").collect()]
+    assert ctes == [("P", "aggregation", []), ("Q", "multiSource", ["P"])]
