@@ -90,6 +90,17 @@ def distinct_list(df: DataFrame, keys: list[str], value: str, name: str, separat
     return found.groupBy(*keys).agg((F.array_join(listed, separator) if separator is not None else listed).alias(name))
 
 
+def ordered_list(df: DataFrame, keys: list[str], value: str, order: str, tie: str, name: str, separator: str | None = None) -> DataFrame:
+    """LISTAGG / ARRAY_AGG of all values of a key, repeats too, by ``order`` and then ``tie``.
+
+    A list is as long as its group, as its definition has it; where groups are large and only the values
+    matter, ``distinct_list`` stays small. Null values are left out, as both functions do.
+    """
+    rows = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(F.col(order).alias("o"), F.col(tie).alias("t"), F.col(value).alias("v")))))
+    listed = F.transform(rows, lambda r: r["v"])
+    return df.groupBy(*keys).agg((F.array_join(listed, separator) if separator is not None else listed).alias(name))
+
+
 def exact_mode(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """Most frequent value per key, lowest on a tie; counted per (key, value) first."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))

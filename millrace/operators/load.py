@@ -47,13 +47,17 @@ def merge_upsert(
     keys: list[str],
     high_water: str | None = None,
     tie: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
     """Target with the source's rows put in; with ``high_water``, only newer rows, newest per key.
 
-    A column the source lacks keeps the target's value.
+    A column the source lacks keeps the target's value. Without ``high_water`` there is no order to choose
+    by, so a second source row for a key is an error; one count over the change set finds it, which ``unique`` spares a caller who knows.
     """
     if high_water:
         source = latest_per_key(newer_rows(source, target, high_water), keys, high_water, tie)
+    elif not unique and not grain_violations(source, keys).isEmpty():
+        raise ValueError(f"the source of a merge has several rows for one key of {keys}")
     missing = [c for c in target.columns if c not in source.columns]
     if missing:
         old = _semi(target, source, keys, "left_semi").select(*[F.col(k).alias(f"__{k}") for k in keys], *missing)
@@ -153,7 +157,7 @@ def fact(
     """One row per grain with aggregated measures; merged into ``target`` on the grain if given."""
     rows = join_to_aggregation(dfs, grain, measures, how)
     names = [g.split(".")[-1] for g in grain]
-    return rows if target is None else merge_upsert(target, rows, names)
+    return rows if target is None else merge_upsert(target, rows, names, unique=True)
 
 
 def grain_violations(df: DataFrame, grain: list[str]) -> DataFrame:

@@ -17,7 +17,7 @@ def qualify(df: DataFrame, window: dict[str, str], predicate: str) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, tie: str | None = None) -> DataFrame:
-    """The newest row of every key; among equal times the lowest ``tie`` (first seen).
+    """The newest row of every key; among equal times the lowest ``tie`` (first seen), null before all others.
 
     An aggregate, not a window: every task keeps one row per key before anything is shuffled.
     """
@@ -41,7 +41,8 @@ def _pick(df: DataFrame, keys: list[str], order: str, tie: str | None, newest: b
         if falling is None:
             per_time = df.groupBy(*keys, order).agg(F.min_by(row, F.struct(tie)).alias("r"))
             return per_time.groupBy(*keys).agg(F.max_by("r", F.struct(order)).alias("r")).select("r.*")
-        best = F.max_by(row, F.struct(F.col(order).alias("o"), falling.alias("t")))
+        # a null tie is the lowest, as in the other ways
+        best = F.max_by(row, F.struct(F.col(order).alias("o"), F.col(tie).isNull().alias("n"), falling.alias("t")))
     return df.groupBy(*keys).agg(best.alias("r")).select("r.*")
 
 

@@ -118,6 +118,19 @@ def a8_listagg(t):
     return aggregate.distinct_list(t.orders, ["o_custkey"], "o_orderpriority", "priorities", ", ")
 
 
+@query(
+    "a8_listagg_ordered",
+    "SELECT o_custkey, string_agg(o_orderpriority, ', ' ORDER BY o_orderdate, o_orderkey) AS priorities FROM orders GROUP BY 1",
+)
+def a8_listagg_ordered(t):
+    return aggregate.ordered_list(t.orders, ["o_custkey"], "o_orderpriority", "o_orderdate", "o_orderkey", "priorities", ", ")
+
+
+@query("a9_array_agg_ordered", "SELECT user_id, list(event_type ORDER BY ts, event_id) AS kinds FROM events GROUP BY 1")
+def a9_array_agg_ordered(t):
+    return aggregate.ordered_list(t.events, ["user_id"], "event_type", "ts", "event_id", "kinds")
+
+
 @query(
     "a9_array_agg",
     "SELECT user_id, list(DISTINCT event_type ORDER BY event_type) AS kinds FROM events GROUP BY 1",
@@ -166,6 +179,20 @@ def a12_sketches(t):
     return aggregate.sketch_counts(t.lineitem, ["l_returnflag"], "l_orderkey")
 
 
+@query(
+    "a12_sketches_are_close",
+    """SELECT l_returnflag, TRUE AS approx_close, TRUE AS hll_close, percentile_disc(0.5) WITHIN GROUP (ORDER BY l_quantity) AS middle
+       FROM lineitem GROUP BY 1""",
+)
+def a12_sketches_are_close(t):
+    """Both sketches against the exact count: within 15 %, three times their stated error; and an approximate
+    percentile whose accuracy covers all values of the column."""
+    exact = t.lineitem.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("n"), F.percentile_approx("l_quantity", 0.5, 10_000).alias("middle"))
+    both = aggregate.sketch_counts(t.lineitem, ["l_returnflag"], "l_orderkey").join(exact, "l_returnflag")
+    close = lambda c: F.abs(F.col(c) - F.col("n")) <= 0.15 * F.col("n")
+    return both.select("l_returnflag", close("approx_count").alias("approx_close"), close("hll_count").alias("hll_close"), "middle")
+
+
 @query("a13_select_distinct", "SELECT DISTINCT l_partkey, l_suppkey FROM lineitem")
 def a13_select_distinct(t):
     return aggregate.select_distinct(t.lineitem, ["l_partkey", "l_suppkey"])
@@ -621,3 +648,21 @@ def f_array(t):
         F.array_contains(words, "ring").alias("has_ring"),
         F.array_join(F.slice(words, 2, 1), " ").alias("second"),
     )
+
+
+@query(
+    "f_more_scalars",
+    """SELECT event_id, TRY_CAST('' || event_id || '.5' AS DECIMAL(12, 1)) AS number, upper(event_type[1]) || lower(event_type[2:]) AS capital,
+       ts + to_hours(CAST(event_id AS INTEGER) % 50) AS later,
+       date_diff('month', date_trunc('month', ts), TIMESTAMP '2025-06-01') * 1.0 AS months, TRUE AS now_is_known FROM events""",
+)
+def f_more_scalars(t):
+    """TO_NUMBER, INITCAP, DATEADD, MONTHS_BETWEEN, and the clock functions, of which only the kind is certain."""
+    return t.events.select(
+        "event_id",
+        dialect.to_decimal(F.concat(F.col("event_id").cast("string"), F.lit(".5")), 12, 1).alias("number"),
+        F.initcap("event_type").alias("capital"),
+        dialect.dateadd("HOUR", F.col("event_id") % 50, F.col("ts")).alias("later"),
+        F.months_between(F.lit("2025-06-01").cast("date"), F.trunc(F.col("ts").cast("date"), "month")).alias("months"),
+        (F.to_date(F.current_timestamp()) == F.current_date()).alias("now_is_known"),
+    )

@@ -130,7 +130,9 @@ def read_run_status(spark: SparkSession, sink: str, schema: T.StructType) -> Dat
 
 def with_timeout(states: DataFrame, as_of: str, timeout_seconds: int = WAIT_SECONDS) -> DataFrame:
     """Add ``terminal`` and ``timed_out``: still unfinished when start plus timeout has passed."""
-    seconds = max(WAIT_LEAST, min(timeout_seconds, WAIT_MOST))
+    if not WAIT_LEAST <= timeout_seconds <= WAIT_MOST:
+        raise ValueError(f"the timeout must be from {WAIT_LEAST} to {WAIT_MOST} seconds")
+    seconds = timeout_seconds
     terminal = F.col("status").isin(*TERMINAL)
     deadline = F.col("started") + F.expr(f"INTERVAL '{seconds}' SECOND")
     now = F.expr(f"TIMESTAMP_NTZ '{as_of}'")

@@ -557,3 +557,23 @@ def test_profiles_at_any_depth(spark):
     assert found == {1: (False, "staging", 0), 2: (True, "aggregation", 0), 3: (False, "staging", 2)}
     ctes = [(r["cte"], r["kind"], r["depends_on"]) for r in diff.cte_profile(df).orderBy("position").collect()]
     assert ctes == [("P", "aggregation", []), ("Q", "multiSource", ["P"])]
+
+
+def test_a_merge_needs_one_source_row_for_each_key(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    with pytest.raises(ValueError):
+        load.merge_upsert(target, spark.createDataFrame([(1, "x"), (1, "y")], "k int, v string"), ["k"])
+    found = load.merge_upsert(target, spark.createDataFrame([(1, "x"), (3, "z")], "k int, v string"), ["k"])
+    assert sorted(map(tuple, found.collect())) == [(1, "x"), (2, "b"), (3, "z")]
+
+
+@pytest.mark.parametrize("tie", ["int", "double", "string"])
+def test_a_null_tie_comes_first_for_every_type(spark, tie):
+    df = spark.createDataFrame([(1, 5, None), (1, 5, 2), (1, 4, 1)], "k int, ts int, t int").withColumn("t", F.col("t").cast(tie))
+    assert windows.latest_per_key(df, ["k"], "ts", "t").first()["t"] is None
+
+
+def test_ordered_lists_keep_repeats(spark):
+    df = spark.createDataFrame([(1, 2, 1, "b"), (1, 1, 2, "a"), (1, 1, 1, "b"), (1, 3, 1, None), (2, 1, 1, None)], "k int, o int, t int, v string")
+    found = {r["k"]: r["l"] for r in aggregate.ordered_list(df, ["k"], "v", "o", "t", "l").collect()}
+    assert found == {1: ["b", "a", "b"], 2: []}

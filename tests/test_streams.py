@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.streaming import streams
@@ -75,5 +76,8 @@ def test_run_status_over_batches_and_timeout(spark, tmp_path):
     states = streams.read_run_status(spark, sink, streams.run_status(rows).schema)
     found = {r["run_id"]: (r["status"], r["terminal"], r["timed_out"]) for r in streams.with_timeout(states, "2024-01-01 11:00:00").collect()}
     assert found == {1: ("completed", True, False), 2: ("running", False, True), 3: ("waitingToRun", False, False)}
-    short = streams.with_timeout(states, "2024-01-01 11:00:00", timeout_seconds=1)  # at least 30 seconds
+    short = streams.with_timeout(states, "2024-01-01 11:00:00", timeout_seconds=30)
     assert short.filter("run_id = 3 AND timed_out").count() == 1
+    for seconds in (29, 3601):
+        with pytest.raises(ValueError):
+            streams.with_timeout(states, "2024-01-01 11:00:00", timeout_seconds=seconds)
