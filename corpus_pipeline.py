@@ -34,8 +34,10 @@ def language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The first document of every group of near duplicates; of rows with one doc_id, one."""
-    groups = Scratch(spark, "groups").write(jaccard.near_duplicates(docs), "groups")
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    scratch = Scratch(spark, "groups")
+    groups = scratch.write(jaccard.near_duplicates(docs), "groups")
+    # written, so that its size is known when the join with the texts is planned
+    gone = scratch.write(groups.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
     kept = docs.join(gone, "doc_id", "left_anti")
     again = groups.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id")
     if again.isEmpty():
@@ -47,17 +49,16 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def without_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents without the passages that an earlier one has; those of which nothing is left go."""
     passages = chains.shared_passages(docs)
-    cut = chains.cut_passages(docs, passages)
     changed = unused(docs.columns, "changed")
-    touched = passages.select("doc_id").distinct().withColumn(changed, F.lit(True))
-    kept = cut.join(touched, "doc_id", "left").where(F.col(changed).isNull() | (F.col("text") != ""))
+    kept = chains.cut_passages(docs, passages, changed=changed).where(~F.col(changed) | (F.col("text") != ""))
     return kept.withColumn("n_chars", F.when(F.col(changed), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     found = templates.contaminated(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    gone = Scratch(spark, "leaks").write(found.select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -12,7 +12,7 @@ an end-of-word suffix, and the normalisers NFC, Lowercase and Replace of white s
 Defined cases: a null or empty text has no ids and decodes to the empty text; null ids decode to the empty text; a
 text of special tokens only gives those ids; repeated rows are encoded alike; an empty table gives an empty table;
 other columns are kept as they are, but for one of an output's name, which is
-replaced. The column that is read comes first in the result.
+replaced.
 """
 
 from __future__ import annotations
@@ -30,9 +30,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from millrace.llm.textops import unused
+
 #: Words remembered between batches by one Python worker; beyond this the memory is emptied and filled anew.
 REMEMBERED = 400_000
 #: Bytes of text handled at once.
@@ -259,24 +261,27 @@ def pieces(column: pa.Array) -> Iterator[tuple[int, int]]:
         row = to
 
 
-def with_columns(df: DataFrame, column: str, kinds: dict[str, T.DataType], made) -> DataFrame:
-    """``df`` with columns that ``made(array)`` computes from one column, batch by batch.
+def with_columns(df: DataFrame, column: Column | str, kinds: dict[str, T.DataType], made) -> DataFrame:
+    """``df`` with columns that ``made(array)`` computes from one column, run of rows by run of rows.
 
-    They replace columns of the same name.
+    They replace columns of the same name. Only the one column goes to Python and only the new ones come back.
     """
-    taken = {k.lower() for k in kinds} - {column.lower()}
-    df = df.select(column, *[c for c in df.columns if c != column and c.lower() not in taken])
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, k) for n, k in kinds.items())])
-    where = df.columns.index(column)
-
-    def run(batches):
-        for b in batches:
-            for lo, hi in pieces(b.column(where)) if pa.types.is_string(b.column(where).type) or pa.types.is_large_string(b.column(where).type) else [(0, b.num_rows)] * (b.num_rows > 0):
-                part = b.slice(lo, hi - lo)
-                new = made(part.column(where))
-                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *kinds])
-
-    return df.mapInArrow(run, schema)
+    shape = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+    def run(values: pa.Array) -> pa.Array:
+        if isinstance(values, pa.ChunkedArray):
+            values = values.combine_chunks()
+        text = pa.types.is_string(values.type) or pa.types.is_large_string(values.type)
+        parts = [made(values.slice(lo, hi - lo)) for lo, hi in pieces(values)] if text and len(values) else [made(values)]
+        return pa.StructArray.from_arrays([pa.concat_arrays(list(x)) for x in zip(*parts, strict=True)], names=list(kinds))
+
+    # counted as nondeterministic, so that it runs once for all the columns and filters made from it
+    computed = F.arrow_udf(run, shape).asNondeterministic()
+    taken = {k.lower() for k in kinds}
+    kept = [c for c in df.columns if c.lower() not in taken]
+    new = unused([*df.columns, *kinds], "computed")
+    found = df.select(*[F.col(f"`{c}`") for c in kept], computed(column).alias(new))
+    return found.select(*[F.col(f"`{c}`") for c in kept], *[F.col(new)[n].alias(n) for n in kinds])
 
 
 def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -93,7 +93,7 @@ def frequent_shingles(docs: DataFrame, scratch: Scratch) -> np.ndarray:
                     yield pa.RecordBatch.from_arrays([pa.array(x) for x in rows], ["h", "times", "docs"])
                     part, held = [], 0
 
-    seen = docs.select("text").mapInArrow(count, "h long, times long, docs long")
+    seen = docs.select("text").mapInArrow(textops.tidy(count), "h long, times long, docs long")
     totals = scratch.write(seen.groupBy("h").agg(F.sum("times").alias("times"), F.sum("docs").alias("docs")), "frequent")
     n = totals.agg(F.sum("docs")).first()[0] or 0
     rows = totals.where(F.col("times") >= max(3, FREQUENT * n)).select("h").toPandas()["h"].to_numpy(np.int64)
@@ -150,7 +150,7 @@ def signatures(docs: DataFrame, frequent, percent: int) -> DataFrame:
                 ["id", "n", "node", "keys", "point"],
             )
 
-    return docs.select("id", "text").mapInArrow(sign, "id long, n long, node long, keys array<long>, point binary")
+    return docs.select("id", "text").mapInArrow(textops.tidy(sign), "id long, n long, node long, keys array<long>, point binary")
 
 
 def needed(na, nb, percent: int):
@@ -237,6 +237,7 @@ def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, sets,
 
     def look(pdf: pd.DataFrame) -> pd.DataFrame:
         both = {x for pair in survivors(pdf, percent) for x in pair}
+        textops.give_back()
         return pdf.iloc[sorted(both)][["center", "rep"]]
 
     seen = tiles(apart).groupBy("place", "parts", "lo", "hi").applyInPandas(look, "center long, rep long").distinct()
@@ -257,6 +258,7 @@ def links_across(postings: DataFrame, points: DataFrame, comps: DataFrame, sets,
             if cx != cy and overlap(sets_[x], sets_[y]) >= needed(n[x], n[y], percent):
                 root[max(cx, cy)] = min(cx, cy)
                 found.append((rep[x], rep[y]))
+        textops.give_back()
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     placed = tiles(close).join(sets(seen.select("rep").distinct()), "rep")
@@ -334,7 +336,7 @@ def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
             yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
     both = pairs.join(left, "a").join(right, "b").where(sizes).select("a", "b", "na", "nb", "pa", "pb")
-    return both.mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(textops.tidy(run), "a long, b long").distinct()
 
 
 def set_table(docs: DataFrame) -> DataFrame:
@@ -345,4 +347,4 @@ def set_table(docs: DataFrame) -> DataFrame:
             sets = list(shingle_sets(b.column(1)))
             yield pa.RecordBatch.from_arrays([pa.array(signed(np.array([digest(s) for s in sets], np.uint64))), lists([signed(s) for s in sets], pa.int64())], ["rep", "hashes"])
 
-    return docs.select("id", "text").mapInArrow(run, "rep long, hashes array<long>")
+    return docs.select("id", "text").mapInArrow(textops.tidy(run), "rep long, hashes array<long>")

@@ -27,6 +27,7 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from millrace.llm import textops
 from millrace.llm.bpe import with_columns
 
 UNKNOWN = "und"
@@ -154,7 +155,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str
             part = b.select([0, 1, 2]).take(pa.array(ok, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(bits, pa.binary())], ["id", "lang", "place", "bits"])
 
-    found = kept.mapInArrow(read, "id string, lang string, place long, bits binary").toPandas()
+    found = kept.mapInArrow(textops.tidy(read), "id string, lang string, place long, bits binary").toPandas()
     found = found.sort_values(["lang", "place", "id"], kind="stable").groupby("lang", sort=False).head(sample)
     width = sum(SLOTS)
     present = np.stack([np.unpackbits(np.frombuffer(x, np.uint8), count=width) for x in found["bits"]]) if len(found) else np.zeros((0, width), np.uint8)

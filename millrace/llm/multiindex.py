@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.llm import textops
 from millrace.llm.components import components
 from millrace.sources.scratch import Scratch
 
@@ -156,7 +157,7 @@ def cells(vectors: DataFrame, books) -> DataFrame:
 
     placed = vectors.select("rep", "weight", "label", "embedding")
     label = dict(placed.dtypes)["label"]
-    return placed.mapInArrow(run, f"rep long, weight long, label {label}, size int, cell int, home boolean, embedding {dict(placed.dtypes)['embedding']}")
+    return placed.mapInArrow(textops.tidy(run), f"rep long, weight long, label {label}, size int, cell int, home boolean, embedding {dict(placed.dtypes)['embedding']}")
 
 
 def compared(visitors: pd.DataFrame, members: pd.DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:

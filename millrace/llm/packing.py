@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from millrace.llm import textops
 from millrace.llm.bpe import loaded, pieces
 
 LENGTH = 2048
@@ -129,7 +130,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, pad: int = 0, id_col:
             yield _block(held, ids, sizes, length, pad)
 
     kinds = "doc_ids array<long>, starts array<long>, cu_seqlens array<long>, n_tokens long, input_ids binary, positions binary"
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, kinds)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(textops.tidy(run), kinds)
 
 
 def _block(held, ids, sizes, length, pad) -> pa.RecordBatch:

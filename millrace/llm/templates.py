@@ -126,7 +126,7 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
                         rows = _emitted(ids, w.row0 + row[mine], position[mine], h[mine], at[mine], size, values, slots)
                         yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.full(rows.num_rows, size, np.int32))], [*rows.schema.names, "size"])
 
-    return items.select("id", "text").where("id is not null").mapInArrow(run, _HITS + ", size int")
+    return items.select("id", "text").where("id is not null").mapInArrow(textops.tidy(run), _HITS + ", size int")
 
 
 def bit_filter(hashes: DataFrame) -> np.ndarray:
@@ -152,7 +152,7 @@ def document_hits(docs: DataFrame, sizes: list[int], shared) -> DataFrame:
                     if ok.any():
                         yield _emitted(ids, w.row0 + row[ok], position[ok], h[ok], at[ok], size, values, slots)
 
-    return docs.select("id", "text").where("id is not null").mapInArrow(run, _HITS)
+    return docs.select("id", "text").where("id is not null").mapInArrow(textops.tidy(run), _HITS)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -6,7 +6,8 @@ that are not separators. Slices of about one megabyte keep the temporary arrays
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -133,3 +134,22 @@ def unused(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def give_back() -> None:
+    """Return memory that is no longer used to the system, so that a worker that waits for its next task is small."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` over the batches of a task, then ``give_back``."""
+
+    def tidied(batches):
+        yield from run(batches)
+        give_back()
+
+    return tidied
