@@ -24,7 +24,6 @@ FUNCTION_NAMES = [
     "ROUND", "TRUNC", "ABS", "CEIL", "FLOOR",
     "NULLIF", "IFNULL", "TRY_CAST",
 ]
-CHAIN_CAP = 20
 
 
 def pack(df: DataFrame, **vertices: list[str]) -> DataFrame:
@@ -224,26 +223,52 @@ def critical_path(edges: DataFrame, roots: DataFrame) -> DataFrame:
     return spark.read.schema(here.schema).parquet(*names)
 
 
+def _followed(up: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, bool]:
+    """(node_id, at, hops, low, done) after following ``up(node_id, up)`` to its end, and whether all nodes got there.
+
+    Every round doubles the way, and is a written table. Nodes that are not done after as many hops as there are nodes
+    are in a cycle or lead into one; low is the least node of the way.
+    """
+    end = F.coalesce("up", "node_id")
+    rows = up.select("node_id", end.alias("at"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("hops"), F.least("node_id", end).alias("low"), F.col("up").isNull().alias("done"))
+    rows, reach, most = scratch.write(rows, f"{name}/0"), 1, up.count()
+    while True:
+        if rows.filter("not done").isEmpty():
+            return rows, True
+        if reach > most:
+            return rows, False
+        far = rows.select(F.col("node_id").alias("at"), *[F.col(c).alias(f"far_{c}") for c in ("at", "hops", "low", "done")])
+        moved = rows.filter("not done").join(far, "at", "left").select(
+            "node_id",
+            F.coalesce("far_at", "at").alias("at"),
+            (F.col("hops") + F.coalesce("far_hops", F.lit(0))).alias("hops"),
+            F.least("low", "far_low").alias("low"),
+            F.coalesce("far_done", F.lit(True)).alias("done"),
+        )
+        reach *= 2
+        rows = scratch.write(rows.filter("done").unionByName(moved), f"{name}/{reach}")
+
+
 def chain_depth(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Hops along the first predecessor only, at most 20; a chain that repeats a node stops there.
+    """Hops along the first predecessor only, however many; a chain that repeats a node counts its different nodes.
 
     ``edges`` hold src, dst and pos (lowest pos is the first predecessor; without it the greatest src).
-    Five self-joins double the known path from 1 hop to 32; each path is a list of at most 33 ids.
     """
     rank = F.min_by("src", "pos") if "pos" in edges.columns else F.max("src")
     first = edges.groupBy(F.col("dst").alias("node_id")).agg(rank.alias("up"))
-    known = nodes.select("node_id").distinct()
-    hops = known.join(first, "node_id", "left").select("node_id", F.array_compact(F.array("up")).alias("path"))
-    for _ in range(5):
-        far = hops.select(F.col("node_id").alias("end"), F.col("path").alias("rest"))
-        end = F.when(F.size("path") > 0, F.element_at("path", -1))
-        hops = hops.withColumn("end", end).join(far, "end", "left").select(
-            "node_id", F.concat("path", F.coalesce("rest", F.array().cast(hops.schema["path"].dataType))).alias("path")
-        )
-    whole = F.concat(F.array("node_id"), F.col("path"))
-    fresh = F.size(F.array_distinct(whole))
-    length = F.when(fresh < F.size(whole), fresh).otherwise(F.size("path"))
-    return hops.select("node_id", F.least(length, F.lit(CHAIN_CAP)).alias("chain_depth"))
+    scratch = Scratch(nodes.sparkSession, "chain")
+    up = scratch.write(nodes.select("node_id").distinct().join(first, "node_id", "left"), "up")
+    rows, ended = _followed(up, scratch, "way")
+    depth = rows.select("node_id", F.col("hops").cast("int").alias("chain_depth"))
+    if ended:
+        return depth
+    lost = rows.filter("not done")
+    cycle = scratch.write(lost.join(lost.select(F.col("at").alias("node_id")).distinct(), "node_id", "left_semi").select("node_id", "low"), "cycles")
+    sizes = cycle.join(cycle.groupBy("low").agg(F.count(F.lit(1)).alias("size")), "low").select(F.col("node_id").alias("at"), "size")
+    # with the cycles' own steps taken out, what leads into them ends there
+    cut = up.join(cycle.select("node_id", F.lit(True).alias("in_cycle")), "node_id", "left")
+    into, _ = _followed(cut.select("node_id", F.when(F.col("in_cycle").isNull(), F.col("up")).alias("up")), scratch, "into")
+    return into.join(sizes, "at", "left").select("node_id", (F.col("hops") + F.coalesce("size", F.lit(0))).cast("int").alias("chain_depth"))
 
 
 def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:

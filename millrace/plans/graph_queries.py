@@ -182,7 +182,7 @@ def g7_critical_path(t):
 
 
 CHAIN = with_sql("edges", "nodes").replace("WITH", "WITH RECURSIVE", 1) + """, up AS (SELECT dst, max(src) AS src FROM edges GROUP BY 1),
-    chain(node_id, at_, depth) AS (SELECT node_id, node_id, 0 FROM nodes UNION ALL SELECT node_id, src, depth + 1 FROM chain JOIN up ON dst = at_ WHERE depth < 20),
+    chain(node_id, at_, depth) AS (SELECT node_id, node_id, 0 FROM nodes UNION ALL SELECT node_id, src, depth + 1 FROM chain JOIN up ON dst = at_),
     deep AS (SELECT node_id, CAST(max(depth) AS INT) AS chain_depth FROM chain GROUP BY 1)
 """
 
