@@ -100,6 +100,7 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
         known = seen.join(reached, ["root", "node"], "left_semi")
         fresh = reached.join(known, ["root", "node"], "left_anti")
         frontier = scratch.write(fresh, f"reached/depth={depth}")
+    scratch.keep_only("reached")
     full = T.StructType([*shape.fields, T.StructField("depth", T.IntegerType())])
     return spark.read.schema(full).parquet(f"{scratch.path}/reached").filter("depth > 0")
 

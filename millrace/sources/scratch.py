@@ -43,13 +43,23 @@ class Scratch:
         df.write.mode("overwrite").parquet(where)
         return self.spark.read.schema(df.schema).parquet(where)
 
+    def keep_only(self, *names: str) -> None:
+        """Remove all tables of the folder but these; nothing that is still read may depend on the others."""
+        files, target = self._folder()
+        if files.exists(target):
+            for found in files.listStatus(target):
+                if found.getPath().getName() not in names:
+                    files.delete(found.getPath(), True)
+
     def release(self) -> None:
         if self in Scratch.opened:
             Scratch.opened.remove(self)
-        jvm = self.spark._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        conf = self.spark._jsc.hadoopConfiguration()
-        target.getFileSystem(conf).delete(target, True)
+        files, target = self._folder()
+        files.delete(target, True)
+
+    def _folder(self):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
 
 
 def release_all() -> None:
