@@ -319,7 +319,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = sigs.select("id", "n", "node").join(classes, "node", "left").join(named, "node", "left")
     alone = F.when(F.col("n") > 0, F.coalesce("least", "first"))
     component = F.when(F.col("id").isNotNull(), F.coalesce(alone, "id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"))
+    result = scratch.write(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
+    scratch.keep_only("result")
+    return result
 
 
 def bounded(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:

@@ -224,4 +224,7 @@ def near_duplicates(
     labelled = labelled.select("label", "embedding", (F.col("weight") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component"))
     out = rows.withColumn("key", F.when(sound, F.struct("label", "embedding"))).join(labelled.withColumn("key", F.struct("label", "embedding")).drop("label", "embedding"), "key", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    result = out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    result = scratch.write(result, "result")
+    scratch.keep_only("result")
+    return result
