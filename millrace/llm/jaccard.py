@@ -300,9 +300,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # trees of two or more points; those of one center are one from here on
     keyed = sound.select(F.col("node").alias("rep"), F.explode("keys").alias("key"))
     trees = keyed.groupBy("key").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last").select("key", "center")
+    trees = scratch.write(trees, "trees")  # a join of two shuffled sides can split a large key
     postings = scratch.write(keyed.join(trees, "key").select("center", "rep").distinct(), "postings")
     met = postings.select("rep").distinct()
-    points = sound.select(F.col("node").alias("rep"), "n", "point").join(met, "rep", "left_semi").dropDuplicates(["rep"])
+    points = sound.groupBy(F.col("node").alias("rep")).agg(F.first("n").alias("n"), F.first("point").alias("point")).join(met, "rep", "left_semi")
     points = scratch.write(points, "points")
 
     # the first point of each tree against the others
@@ -315,10 +316,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # a component is named by the smallest id of its classes
     every = comps.unionByName(comps.select(F.col("component").alias("id"), "component").distinct()).withColumnRenamed("id", "node")
     names = every.join(classes, "node").groupBy("component").agg(F.min("first").alias("least"))
-    named = scratch.write(every.join(names, "component").select("node", "least"), "named")
-    out = sigs.select("id", "n", "node").join(classes, "node", "left").join(named, "node", "left")
-    alone = F.when(F.col("n") > 0, F.coalesce("least", "first"))
-    component = F.when(F.col("id").isNotNull(), F.coalesce(alone, "id"))
+    named = every.join(names, "component").select("node", "least")
+    labels = scratch.write(classes.join(named, "node", "left").select("node", F.coalesce("least", "first").alias("label")), "labels")
+    out = sigs.select("id", "n", "node").join(labels, "node", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("label")), "id"))
     result = scratch.write(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")), "result")
     scratch.keep_only("result")
     return result
