@@ -334,7 +334,8 @@ def recursive_expand(seed: DataFrame, edges: DataFrame, max_depth: int | None =
     """UNION ALL recursion from (root, node): (root, node, depth, paths).
 
     The bag is kept as a count of paths, so a node reached many ways is one row per depth. Without
-    ``max_depth`` the edges must be free of cycles, as for any such recursion.
+    ``max_depth`` the edges must be free of cycles, as for any such recursion: a path of more steps than
+    there are nodes with a successor has met one, and raises.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "expand")
@@ -342,8 +343,11 @@ def recursive_expand(seed: DataFrame, edges: DataFrame, max_depth: int | None =
     start = seed.groupBy("root", "node").agg(F.count(F.lit(1)).alias("paths"))
     level, depth = scratch.write(start.withColumn("depth", F.lit(0)), "level/0"), 0
     names = [f"{scratch.path}/level/0"]
+    longest = step.select("node").distinct().count() if max_depth is None else max_depth
     while max_depth is None or depth < max_depth:
         depth += 1
+        if depth > longest + 1:
+            raise ValueError("the edges have a cycle; give max_depth")
         grown = level.join(step, "node").groupBy("root", F.col("next").alias("node")).agg(F.sum("paths").alias("paths"))
         level = scratch.write(grown.withColumn("depth", F.lit(depth)), f"level/{depth}")
         if level.isEmpty():

@@ -147,6 +147,8 @@ def test_recursive_expand_counts_paths(spark):
     seed = spark.createDataFrame([("a", "a")], "root string, node string")
     found = load.recursive_expand(seed, edge_frame(spark, DIAMOND))
     assert rows(found, "node", "depth", "paths") == [("a", 0, 1), ("b", 1, 1), ("c", 1, 1), ("d", 2, 2), ("e", 3, 2)]
+    with pytest.raises(ValueError):
+        load.recursive_expand(seed, edge_frame(spark, [("a", "b"), ("b", "a")]))
     cyclic = load.recursive_expand(seed, edge_frame(spark, [("a", "b"), ("b", "a")]), max_depth=3)
     assert rows(cyclic, "node", "depth") == [("a", 0), ("a", 2), ("b", 1), ("b", 3)]
 
