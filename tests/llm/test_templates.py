@@ -42,6 +42,32 @@ def test_short_items_and_items_that_are_too_short(spark):
     assert set(found(spark, lower, items)) == {(10, 1)}
 
 
+SOLD = "{0} has {2} apples. {0} gives {3} to {1}. {1} eats {4} and sells the rest at the market. How many did {1} sell?"
+
+
+def test_names_that_open_sentences_and_other_case(spark):
+    items = [(1, SOLD.format("Tom", "Mary", 15, 4, 2)), (2, "What is the boiling point of lead")]
+    docs = [
+        (10, SOLD.format("Lucy", "Peter", 23, 9, 5)), (11, SOLD.format("Tom", "Mary", 15, 4, 2).lower()), (12, SOLD.format("Tom", "Mary", 15, 4, 2).upper()),
+        (13, "So they asked, What is the boiling point of lead?"), (14, "so: what is the boiling point of lead"), (15, "The boiling point of lead is what it is"),
+    ]
+    assert set(found(spark, docs, items)) == {(10, 1), (11, 1), (12, 1), (13, 2), (14, 2)}
+
+
+def test_parts_of_items_and_edited_items(spark):
+    pick = random.Random(2)
+    words = [["".join(pick.choice("abcdefghij") for _ in range(7)) for _ in range(n)] for n in (59, 38, 15)]
+    edited = [[*words[0][20:53]], [w if k not in (13, 26) else "other" for k, w in enumerate(words[1])], [w if k != 7 else "other" for k, w in enumerate(words[2])]]
+    docs = [(10 + k, "before it " + " ".join(w) + " and after") for k, w in enumerate(edited)] + [(20, " ".join(words[0][:25])), (21, " ".join(words[2][:6]))]
+    assert set(found(spark, docs, [(k, " ".join(w)) for k, w in enumerate(words)])) == {(10, 0), (11, 1), (12, 2)}
+
+
+def test_items_rich_in_numbers_match_word_for_word(spark):
+    items = [(3, "5 kg 7 lb 9 oz 3 g 4 m 8 s 1 h")]
+    docs = [(10, "Take 5 kg 7 lb 9 oz 3 g 4 m 8 s 1 h of it"), (11, "6 kg 2 lb 1 oz 7 g 9 m 3 s 2 h")]
+    assert found(spark, docs, items) == {(10, 3): True}
+
+
 def test_the_filter_passes_all_that_it_was_built_from(spark):
     pick = random.Random(7)
     hashes = [pick.randint(-(2**63), 2**63 - 1) for _ in range(500)]
