@@ -214,7 +214,7 @@ def j9_fuzzy_verdicts(t):
          FROM hit JOIN cnt ON hit.query_id = cnt.query_id) WHERE (n = 1 AND rn <= 5) OR (n > 1 AND score = best)""",
 )
 def j9_fuzzy_candidates(t):
-    return resolve.fuzzy_match_entities(entity_queries(t), c.nodes(t))[1]
+    return resolve.fuzzy_match_entities(entity_queries(t), c.nodes(t), keep=5)[1]
 
 
 @query(

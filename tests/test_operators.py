@@ -577,3 +577,10 @@ def test_ordered_lists_keep_repeats(spark):
     df = spark.createDataFrame([(1, 2, 1, "b"), (1, 1, 2, "a"), (1, 1, 1, "b"), (1, 3, 1, None), (2, 1, 1, None)], "k int, o int, t int, v string")
     found = {r["k"]: r["l"] for r in aggregate.ordered_list(df, ["k"], "v", "o", "t", "l").collect()}
     assert found == {1: ["b", "a", "b"], 2: []}
+
+
+def test_fuzzy_matches_keep_all_candidates_unless_told(spark):
+    nodes = spark.createDataFrame([(0, "ORDERS")] + [(k, f"ORDERS_{k}") for k in range(1, 9)], "node_id long, name string")
+    queries = spark.createDataFrame([(1, "ORDERS")], "query_id long, name string")
+    assert resolve.fuzzy_match_entities(queries, nodes)[1].count() == 9
+    assert resolve.fuzzy_match_entities(queries, nodes, keep=5)[1].count() == 5
