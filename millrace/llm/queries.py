@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.llm import bpe, chains, jaccard, langid, licences, multiindex, packing, preference, templates, urlfilter
+from millrace.llm import bpe, chains, jaccard, langid, licences, manifest, multiindex, packing, preference, resample, templates, toxicity, urlfilter
 
 TOKENIZER_FOLDER = "/opt/tokenizers"
 WORD_BPE = f"{TOKENIZER_FOLDER}/word_bpe_49k.json"
@@ -93,3 +93,26 @@ def op9(spark, folder):
     """The packed rows of all documents: pieces, cumulative lengths, and digests of the id and position rows."""
     rows = packing.pack(table(spark, folder, "documents"), BYTE_BPE)
     return rows.select("doc_ids", "starts", "cu_seqlens", "n_tokens", F.sha2("input_ids", 256).alias("ids_sha256"), F.sha2("positions", 256).alias("positions_sha256"))
+
+
+@query("op11_toxicity")
+def op11(spark, folder):
+    """The toxicity of every document; the quarter with held_out was not learned from."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = toxicity.judge(docs.select("doc_id", "text", "lang", toxicity.held_out().alias("held_out")), model)
+    scored = toxicity.flagged(scored, model, flag="flagged_by_language")
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int")).drop("text", "lang")
+
+
+@query("op12_importance_resampling")
+def op12(spark, folder):
+    """Weight, score and rank of every document in a draw of a tenth that resembles the benchmark."""
+    return resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("n_words")
+
+
+@query("op13_merkle_manifest")
+def op13(spark, folder):
+    """Leaf, roots and proof of every document; half of the documents are folded from texts without line ends."""
+    bare = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return manifest.proofs(table(spark, folder, "documents"), tampered=bare, when=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
