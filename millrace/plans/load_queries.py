@@ -399,7 +399,7 @@ def x3_rolling_aggregate(t):
     folder = Scratch(t.spark, "rolling").path
     aggs = {"n": "count(*)", "total": "cast(sum(cast(value as decimal(18,2))) as double)"}
     rolling = streams.rolling_aggregate(event_stream(t), "ts", ["event_type"], aggs, "2 hours", "1 hour")
-    streams.stream_rolling_aggregate(rolling, f"{folder}/sink", f"{folder}/checkpoint").awaitTermination()
+    streams.stream_rolling_aggregate(rolling, f"{folder}/sink", f"{folder}/checkpoint", ["event_type"]).awaitTermination()
     return streams.read_rolling(t.spark, f"{folder}/sink", rolling.schema, ["event_type"])
 
 
@@ -412,8 +412,43 @@ def x3_rolling_aggregate(t):
 def x4_run_status(t):
     folder = Scratch(t.spark, "status").path
     status = "CASE event_type WHEN 'signup' THEN 'waitingToRun' WHEN 'view' THEN 'running' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'odd' END AS status"
-    rows = event_stream(t).selectExpr("user_id AS run_id", "ts", status)
-    streams.stream_run_status(rows, f"{folder}/sink", f"{folder}/checkpoint").awaitTermination()
-    kept = T.StructType(streams.run_status(rows).schema.fields)
-    states = streams.read_run_status(t.spark, f"{folder}/sink", kept)
-    return streams.with_timeout(states, "2024-01-31 00:00:00").select("run_id", "started", "status", "terminal", "timed_out")
+    states = streams.run_states(event_stream(t).selectExpr("user_id AS run_id", "ts", status))
+    streams.stream_run_status(states, f"{folder}/sink", f"{folder}/checkpoint").awaitTermination()
+    found = streams.read_run_status(t.spark, f"{folder}/sink", states.schema)
+    return streams.with_timeout(found, "2024-01-31 00:00:00").select("run_id", "started", "status", "terminal", "timed_out")
+
+
+def batched_events(t, folder, batches, *columns):
+    """The events in the order of their ids, as a stream of that many files, one to a batch."""
+    last = t.events.agg(F.max("event_id")).first()[0] or 0
+    number = F.floor(F.col("event_id") * batches / F.lit(last + 1)).cast("int").alias("batch")
+    t.events.select(*columns, number).repartition("batch").write.partitionBy("batch").parquet(f"{folder}/in")
+    return streams.file_stream(t.spark, f"{folder}/in/*", t.events.select(*columns).schema, files_per_batch=1)
+
+
+@query(
+    "x2_merge_of_many_batches",
+    """SELECT user_id, event_type, ts, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) = 1""",
+)
+def x2_merge_of_many_batches(t):
+    """Twenty batches, merged into a few runs as they come."""
+    folder = Scratch(t.spark, "merge").path
+    rows = batched_events(t, folder, 20, "user_id", "event_type", "ts", "event_id")
+    streams.stream_deferred_merge(rows, f"{folder}/target", ["user_id"], "ts", "event_id", f"{folder}/checkpoint").awaitTermination()
+    return streams.read_merged(t.spark, f"{folder}/target", rows.schema, ["user_id"], "ts", "event_id")
+
+
+@query(
+    "x4_timed_out_runs",
+    """WITH s AS (SELECT event_id // 3 AS run_id, ts, CASE event_type WHEN 'signup' THEN 'waitingToRun' WHEN 'view' THEN 'running' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' END AS status FROM events WHERE event_type <> 'click'),
+    l AS (SELECT run_id, min(ts) AS started, max(ts) AS updated, arg_max(status, struct_pack(a := ts, b := status)) AS status FROM s GROUP BY 1),
+    w AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR AS mark FROM s)
+    SELECT run_id, started, updated, status, status IN ('completed', 'failed') AS terminal, status NOT IN ('completed', 'failed') AND date_trunc('millisecond', started + INTERVAL 600 SECOND) < mark AS timed_out FROM l, w""",
+)
+def x4_timed_out_runs(t):
+    """Timers end the runs that said nothing more: no moment is given from outside."""
+    folder = Scratch(t.spark, "status").path
+    status = "CASE event_type WHEN 'signup' THEN 'waitingToRun' WHEN 'view' THEN 'running' WHEN 'purchase' THEN 'completed' WHEN 'error' THEN 'failed' ELSE 'odd' END AS status"
+    states = streams.run_states(event_stream(t).selectExpr("event_id div 3 AS run_id", "ts", status), timeout_seconds=600)
+    streams.stream_run_status(states, f"{folder}/sink", f"{folder}/checkpoint").awaitTermination()
+    return streams.read_run_status(t.spark, f"{folder}/sink", states.schema)

@@ -131,23 +131,27 @@ def s8_drop_credentials(t):
 
 @query(
     "s9_redact_sensitive",
-    """SELECT event_id, CASE event_id % 6
+    """SELECT event_id, CASE event_id % 8
          WHEN 0 THEN '{"api_key":"<redacted>","n":' || user_id || '}'
          WHEN 1 THEN '{"checks":[{"name":"access-token","detail":""}],"n":' || user_id || '}'
          WHEN 2 THEN '{"name":"Refresh_Token","more":{"a":[1.50,{"b":"}"}]},"detail":"<redacted>"}'
          WHEN 3 THEN '{"detail" : "<redacted>", "name" : "PAT"}'
          WHEN 4 THEN '{"outer":{"PASSWORD": "<redacted>","n":1e2,"cut off'
+         WHEN 5 THEN repeat('{"a":[', 10) || '{"detail":"<redacted>","b":' || repeat('{"c":[', 10) || '{"detail":"' || event_type || '"}' || repeat(']}', 10) || ',"name":"secret"}' || repeat(']}', 10)
+         WHEN 6 THEN '{"name":"token","v":[' || repeat('1,', 200 * CAST(event_id % 11 AS INTEGER)) || user_id || '],"detail":"<redacted>"}'
          ELSE '{"name":"token count","detail":"' || event_type || '","text":"\\"token\\":\\"x\\""}' END AS doc,
-       event_id % 6 NOT IN (1, 5) AS did_redact FROM events""",
+       event_id % 8 NOT IN (1, 7) AS did_redact FROM events""",
 )
 def s9_redact_sensitive(t):
-    """Keys in several spellings, the pair of name and detail in both orders, broken JSON, and what must stay."""
-    doc = r"""CASE event_id % 6
+    """Keys in several spellings, the pair of name and detail in both orders and at any depth, long lists, broken JSON, and what must stay."""
+    doc = r"""CASE event_id % 8
          WHEN 0 THEN concat('{"api_key":"', event_type, '","n":', user_id, '}')
          WHEN 1 THEN concat('{"checks":[{"name":"access-token","detail":""}],"n":', user_id, '}')
          WHEN 2 THEN concat('{"name":"Refresh_Token","more":{"a":[1.50,{"b":"}"}]},"detail":"', event_type, '"}')
          WHEN 3 THEN concat('{"detail" : "', event_type, '", "name" : "PAT"}')
          WHEN 4 THEN concat('{"outer":{"PASSWORD": "', event_type, '\\"","n":1e2,"cut off')
+         WHEN 5 THEN concat(repeat('{"a":[', 10), '{"detail":"', user_id, '","b":', repeat('{"c":[', 10), '{"detail":"', event_type, '"}', repeat(']}', 10), ',"name":"secret"}', repeat(']}', 10))
+         WHEN 6 THEN concat('{"name":"token","v":[', repeat('1,', 200 * cast(event_id % 11 as int)), user_id, '],"detail":"', event_type, '"}')
          ELSE concat('{"name":"token count","detail":"', event_type, '","text":"\\"token\\":\\"x\\""}') END AS doc"""
     return secrets.redact_sensitive(t.events.selectExpr("event_id", doc), "doc")
 

@@ -1,17 +1,21 @@
 """Continuous loads: incremental append, deferred merge, rolling aggregates, run status.
 
-Every sink is idempotent per batch: a batch writes its own folder in overwrite mode, so a replay after
-a failure gives the same files.
+Every sink is idempotent per batch: a manifest names the last batch of each writer (its checkpoint folder), so a replay after
+a failure adds nothing twice. Sinks that keep states merge their runs as they grow (``levels``).
 """
 
 from __future__ import annotations
 
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.runs import KNOWN_STATUSES, TERMINAL
 from millrace.operators.windows import latest_per_key
+from millrace.streaming.levels import Levels
 
 # Bounds of the wait for a run, in seconds.
 WAIT_SECONDS, WAIT_LEAST, WAIT_MOST = 1800, 30, 3600
@@ -39,22 +43,29 @@ def stream_incremental(stream: DataFrame, sink: str, checkpoint: str) -> Streami
 def stream_deferred_merge(
     stream: DataFrame, target: str, keys: list[str], ts: str, tie: str | None, checkpoint: str
 ) -> StreamingQuery:
-    """Each batch stores only its newest row per key; the merge itself is deferred to reading.
+    """Each batch stores only its newest row per key; the merge with the target is deferred to reading.
 
-    So a batch costs what it holds, whatever the size of the target.
+    So a batch costs what it holds, and its share of merging runs of its own size: a row is rewritten about as often as
+    the logarithm of the rows that came, whatever the size of the target.
     """
 
+    levels = _merged(stream.sparkSession, target, stream.schema, keys, ts, tie)
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        latest_per_key(batch, keys, ts, tie).write.mode("overwrite").parquet(f"{target}/deltas/batch={batch_id}")
+        levels.append(latest_per_key(batch, keys, ts, tie), checkpoint, batch_id)
 
     return stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _merged(spark: SparkSession, target: str, schema: T.StructType, keys: list[str], ts: str, tie: str | None) -> Levels:
+    return Levels(spark, target, schema, lambda rows: latest_per_key(rows, keys, ts, tie))
+
+
 def read_merged(
     spark: SparkSession, target: str, schema: T.StructType, keys: list[str], ts: str, tie: str | None, base: DataFrame | None = None
 ) -> DataFrame:
-    """Newest row per key over the base and all deltas."""
-    rows = spark.read.schema(schema).parquet(f"{target}/deltas").select(*schema.names)
+    """Newest row per key over the base and all live runs."""
+    rows = _merged(spark, target, schema, keys, ts, tie).read()
     if base is not None:
         rows = base.select(*schema.names).unionByName(rows)
     return latest_per_key(rows, keys, ts, tie)
@@ -75,11 +86,39 @@ def rolling_aggregate(
     return out.select(*[c.alias(n) for n, c in names.items()], *keys, *aggs)
 
 
-def stream_rolling_aggregate(aggregate: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Update mode: each batch stores the windows it changed; ``read_rolling`` takes the newest state."""
+def _windows(spark: SparkSession, sink: str, schema: T.StructType, keys: list[str]) -> Levels:
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return Levels(spark, sink, full, lambda rows: latest_per_key(rows, ["window_start", *keys], "batch"))
+
+
+def stream_rolling_aggregate(aggregate: DataFrame, sink: str, checkpoint: str, keys: list[str], late: str = "1 hour") -> StreamingQuery:
+    """Update mode: each batch stores the windows it changed; ``read_rolling`` takes the newest state.
+
+    Windows that may still change stay in one small table, rewritten by each batch. Those that ended ``late`` before the
+    beginning of the newest window of earlier batches move to closed runs, which later batches do not touch. ``late`` should be that
+    of the aggregate; if it is less, a window that changes after it was closed is stored again, and the newest state still counts.
+    """
+    spark = aggregate.sparkSession
+    levels = _windows(spark, sink, aggregate.schema, keys)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        if levels.has(checkpoint, batch_id):
+            return
+        state = levels.state()
+        # batches are numbered on across writers, so that the newest state of a window is that stored last
+        number = state.get("number", -1) + 1
+        now = levels.open([state["open"]]) if state.get("open") else None
+        new = batch.withColumn("batch", F.lit(number).cast("long")).select(*levels.schema.names)
+        rows = latest_per_key(now.unionByName(new) if now is not None else new, ["window_start", *keys], "batch")
+        until = F.expr(f"TIMESTAMP_NTZ '{state['newest']}' - INTERVAL {late}") if state.get("newest") else F.lit(None).cast("timestamp_ntz")
+        path = f"runs/{uuid.uuid4().hex}"
+        rows.withColumn("closed", F.coalesce(F.col("window_end") <= until, F.lit(False))).write.partitionBy("closed").parquet(f"{sink}/{path}")
+        stored = spark.read.schema(T.StructType([*levels.schema.fields, T.StructField("closed", T.BooleanType())])).parquet(f"{sink}/{path}")
+        n_open, n_closed, newest = stored.agg(F.count_if(~F.col("closed")), F.count_if("closed"), F.max("window_start").cast("string")).first()
+        run = {"path": f"{path}/closed=true", "rows": n_closed}
+        newest = max(x for x in (newest, state.get("newest"), "") if x is not None) or None
+        levels.commit(checkpoint, batch_id, run, open=f"{path}/closed=false" if n_open else None, number=number, newest=newest)
+        levels.compact()
 
     return (
         aggregate.writeStream.foreachBatch(store)
@@ -90,50 +129,93 @@ def stream_rolling_aggregate(aggregate: DataFrame, sink: str, checkpoint: str) -
     )
 
 
-def read_rolling(spark: SparkSession, sink: str, schema: T.StructType, keys: list[str]) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    rows = spark.read.schema(full).parquet(sink)
-    return latest_per_key(rows, ["window_start", *keys], "batch").drop("batch")
+def read_rolling(spark: SparkSession, sink: str, schema: T.StructType, keys: list[str], closed: bool = True) -> DataFrame:
+    """The newest state of every window; without ``closed`` only of those that may still change, from their one table."""
+    levels = _windows(spark, sink, schema, keys)
+    state = levels.state()
+    paths = [r["path"] for r in state["runs"]] if closed else []
+    return latest_per_key(levels.open([*paths, *([state["open"]] if state.get("open") else [])]), ["window_start", *keys], "batch").drop("batch")
+
+
+STATES = "run_id {key}, started timestamp_ntz, updated timestamp_ntz, status string, terminal boolean, timed_out boolean"
 
 
-def run_status(status_stream: DataFrame) -> DataFrame:
-    """Latest known status per run with its start; for a stream or a plain frame of (run_id, ts, status).
+def run_states(status_stream: DataFrame, timeout_seconds: int = WAIT_SECONDS, late: str = "1 hour") -> DataFrame:
+    """States of runs as they change, from a stream of (run_id, ts, status): run_id, started, updated, status, terminal, timed_out.
 
-    The state per run is one small row: three aggregates that merge map-side.
+    A run that has not ended when the watermark passes its start plus the timeout gives one row with ``timed_out``, by a timer and
+    without a further event. What is kept of a run ends with that row, or, after a terminal status, as soon as the watermark has
+    passed it, when no earlier event can come any more. So the kept runs are those of the last ``late`` and those
+    that wait. Equal times go to the greater status. Unknown statuses are not read; a null run is a run of its own.
     """
-    known = status_stream.filter(F.col("status").isin(*KNOWN_STATUSES))
-    return known.groupBy("run_id").agg(
-        F.min("ts").alias("started"), F.max("ts").alias("updated"), F.max_by("status", F.col("ts")).alias("status")
+    _check_timeout(timeout_seconds)
+    known = status_stream.filter(F.col("status").isin(*KNOWN_STATUSES)).select("run_id", F.col("ts").cast("timestamp").alias("ts"), "status").withColumn("at", F.unix_micros("ts"))
+    kind = known.schema["run_id"].dataType.simpleString()
+
+    def advance(key, batches, state):
+        if state.hasTimedOut:
+            started, updated, status = state.get
+            state.remove()
+            if status not in TERMINAL:
+                yield _state_row(key[0], started, updated, status, True)
+            return
+        started, updated, status = state.get if state.exists else (None, None, "")
+        for rows in batches:
+            for at, new in zip(rows["at"].tolist(), rows["status"].tolist(), strict=True):
+                started = at if started is None else min(started, at)
+                if updated is None or (at, new) > (updated, status):
+                    updated, status = at, new
+        state.update((started, updated, status))
+        due = updated if status in TERMINAL else started + timeout_seconds * 1_000_000
+        state.setTimeoutTimestamp(max(due // 1000, state.getCurrentWatermarkMs() + 1))
+        yield _state_row(key[0], started, updated, status, False)
+
+    out = known.withWatermark("ts", late).groupBy("run_id").applyInPandasWithState(
+        advance, STATES.format(key=kind).replace("timestamp_ntz", "long"), "started long, updated long, status string", "update", "EventTimeTimeout"
     )
+    time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz").alias(c)
+    return out.select("run_id", time("started"), time("updated"), "status", "terminal", "timed_out")
+
+
+def _state_row(run, started: int, updated: int, status: str, timed_out: bool) -> pd.DataFrame:
+    return pd.DataFrame({"run_id": [run], "started": [started], "updated": [updated], "status": [status], "terminal": [status in TERMINAL], "timed_out": [timed_out]})
+
+
+def _states(spark: SparkSession, sink: str, schema: T.StructType) -> Levels:
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return Levels(spark, sink, full, _newest_state)
+
+
+def _newest_state(rows: DataFrame) -> DataFrame:
+    """One row of each run: its first start and what was said last."""
+    last = F.max_by(F.struct("updated", "status", "terminal", "timed_out", "batch"), F.struct("updated", "batch"))
+    return rows.groupBy("run_id").agg(F.min("started").alias("started"), last.alias("s")).select("run_id", "started", "s.*")
 
 
-def stream_run_status(status_stream: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    """Keep the state of every run; each batch stores the runs it changed."""
+def stream_run_status(states: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
+    """Store what ``run_states`` gives; each batch adds the runs it changed."""
+    levels = _states(states.sparkSession, sink, states.schema)
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
+        levels.append(batch.withColumn("batch", F.lit(batch_id).cast("long")), checkpoint, batch_id)
 
-    return (
-        run_status(status_stream)
-        .writeStream.foreachBatch(store)
-        .outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return states.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_run_status(spark: SparkSession, sink: str, schema: T.StructType) -> DataFrame:
-    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-    return latest_per_key(spark.read.schema(full).parquet(sink), ["run_id"], "batch").drop("batch")
+    return _newest_state(_states(spark, sink, schema).read()).drop("batch")
 
 
 def with_timeout(states: DataFrame, as_of: str, timeout_seconds: int = WAIT_SECONDS) -> DataFrame:
-    """Add ``terminal`` and ``timed_out``: still unfinished when start plus timeout has passed."""
-    if not WAIT_LEAST <= timeout_seconds <= WAIT_MOST:
-        raise ValueError(f"the timeout must be from {WAIT_LEAST} to {WAIT_MOST} seconds")
+    """Set ``terminal`` and ``timed_out`` as of a moment: still unfinished when start plus timeout has passed."""
+    _check_timeout(timeout_seconds)
     seconds = timeout_seconds
     terminal = F.col("status").isin(*TERMINAL)
     deadline = F.col("started") + F.expr(f"INTERVAL '{seconds}' SECOND")
     now = F.expr(f"TIMESTAMP_NTZ '{as_of}'")
     return states.withColumns({"terminal": terminal, "timed_out": ~terminal & (deadline < now)})
+
+
+def _check_timeout(seconds: int) -> None:
+    if not WAIT_LEAST <= seconds <= WAIT_MOST:
+        raise ValueError(f"the timeout must be from {WAIT_LEAST} to {WAIT_MOST} seconds")

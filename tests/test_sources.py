@@ -1,6 +1,7 @@
 """Snapshots, redaction, reshaping and listings."""
 
 import json
+import random
 from datetime import datetime
 
 import pytest
@@ -64,6 +65,56 @@ def test_redaction(spark):
     assert out[3]["doc"] == "not json" and out[4]["doc"] is None
 
 
+def redacted(value):
+    """The rules on parsed JSON, as a plain walk."""
+    if isinstance(value, list):
+        return [redacted(v) for v in value]
+    if not isinstance(value, dict):
+        return value
+    plain = lambda k: k.lower().replace("_", "").replace("-", "")
+    named = isinstance(value.get("name"), str) and plain(value["name"]) in secrets.SENSITIVE_KEYS
+    hit = lambda k, v: isinstance(v, str) and v and (plain(k) in secrets.SENSITIVE_KEYS or (named and k == "detail"))
+    return {k: secrets.REDACTED if hit(k, v) else redacted(v) for k, v in value.items()}
+
+
+def test_redaction_of_long_deep_and_random_documents(spark):
+    pick = random.Random(4)
+
+    def made(depth):
+        if depth == 0 or pick.random() < 0.2:
+            return pick.choice([1, None, "x", "", 'a "quoted" {text}', "\\", "token", True, "naïve"])
+        if pick.random() < 0.3:
+            return [made(depth - 1) for _ in range(pick.randint(0, 4))]
+        keys = pick.sample(["name", "detail", "token", "API-Key", "other", "more", "names", 'de"tail'], pick.randint(0, 6))
+        return {k: pick.choice(["token", "PAT", "plain", ""]) if k == "name" and pick.random() < 0.7 else made(depth - 1) for k in keys}
+
+    deep = {"detail": "gone", "inner": {"detail": "kept", "name": "plain"}}
+    for k in range(12):
+        deep = {"detail": f"secret {k}", "x": [deep, {"y": "}"}], "name": "Pass-Phrase" if k % 2 else "open"}
+    docs = [
+        {"name": "token", "v": [1] * 200_000, "detail": "x"}, {"detail": "x", "v": ["}"] * 50_000, "name": "token"},
+        {"name": "token", "v": [{"name": "pat", "detail": "y"}] * 3000, "detail": "x" * 100_000}, deep, *[made(6) for _ in range(300)],
+    ]
+    rows = [(i, json.dumps(d, indent=i % 3 or None, ensure_ascii=bool(i % 2))) for i, d in enumerate(docs)]
+    out = {r["id"]: r for r in secrets.redact_sensitive(spark.createDataFrame(rows, "id int, doc string"), "doc").collect()}
+    for i, d in enumerate(docs):
+        assert json.loads(out[i]["doc"]) == redacted(d), i
+        assert out[i]["did_redact"] == (redacted(d) != d)
+        if not out[i]["did_redact"]:
+            assert out[i]["doc"] == rows[i][1]
+
+
+def test_redaction_of_parts_of_documents(spark):
+    parts = [
+        ('"x":1},{"detail":"a","name":"token","v":{"n', '"x":1},{"detail":"<redacted>","name":"token","v":{"n'),
+        ('"name":"pat"}, "detail":"b"', '"name":"pat"}, "detail":"<redacted>"'),
+        ('{"name":"token","detail":"cut', '{"name":"token","detail":"cut'),
+        ('}}{"name":"secret"}{"detail":"c"}', '}}{"name":"secret"}{"detail":"c"}'),
+    ]
+    df = spark.createDataFrame([(i, p[0]) for i, p in enumerate(parts)], "id int, doc string")
+    assert [r["doc"] for r in secrets.redact_sensitive(df, "doc").orderBy("id").collect()] == [p[1] for p in parts]
+
+
 def test_reshape_rejects_other_directions(spark):
     with pytest.raises(ValueError):
         reshape.reshape_nodes(spark.range(1), "sideways")
