@@ -18,6 +18,8 @@ as ``hot``, and nothing is measured twice.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
@@ -231,6 +233,163 @@ def _unpack(rows: DataFrame, columns: dict[str, str], present: str | None) -> Da
     return rows.withColumns({out: F.col(f"__near.{c}") for c, out in columns.items()}).drop("__near")
 
 
+# ---- frames ----------------------------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Frame:
+    """A window function over ROWS BETWEEN ``preceding`` AND ``following``; None stands for UNBOUNDED.
+
+    ``function`` is sum, count, min, max, avg (a double), first or last; ``count`` without a column counts rows.
+    """
+
+    function: str
+    column: str | None
+    keys: tuple[str, ...]
+    order: str
+    tie: str | None = None
+    preceding: int | None = None
+    following: int | None = 0
+    descending: bool = False
+
+    def __post_init__(self):
+        if self.function not in _PARTS:
+            raise ValueError(f"no such function: {self.function}")
+        if min(self.preceding or 0, self.following or 0) < 0:
+            raise ValueError("a frame holds the current row")
+
+    @property
+    def group(self) -> tuple:
+        return self.keys, self.order, self.tie, self.descending
+
+
+#: What each function is put together from.
+_PARTS = {"sum": ("sum",), "count": ("count",), "min": ("min",), "max": ("max",), "avg": ("sum", "count"), "first": ("first",), "last": ("last",)}
+
+
+def _part(part: str, value: Column) -> Column:
+    if part == "first":
+        return F.first(value, ignorenulls=True)
+    return F.last(value, ignorenulls=True) if part == "last" else {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[part](value)
+
+
+def _value(frame: Frame, part: str, counted: Column | None = None) -> Column:
+    """What a part aggregates: null where a row does not count. First and last keep nulls, so they take a row of one."""
+    value = F.lit(1) if frame.column is None else F.col(frame.column)
+    value = F.struct(value.alias("v")) if part in ("first", "last") else value
+    return value if counted is None else F.when(counted, value)
+
+
+def _joined(part: str, before: Column | None, inside: Column, after: Column | None) -> Column:
+    """The part over what lies before, inside and after."""
+    parts = [x for x in (before, inside, after) if x is not None]
+    if len(parts) == 1:
+        return inside
+    if part in ("first", "last"):
+        return F.coalesce(*(parts if part == "first" else reversed(parts)))
+    if part in ("min", "max"):
+        return (F.least if part == "min" else F.greatest)(*parts)
+    total = parts[0]
+    for x in parts[1:]:
+        total = F.coalesce(total + x, total, x)
+    return total
+
+
+def _made(frame: Frame, parts: dict[str, Column]) -> Column:
+    if frame.function == "avg":
+        return parts["sum"].cast("double") / parts["count"]
+    only = parts[frame.function]
+    return only["v"] if frame.function in ("first", "last") else only
+
+
+def framed(df: DataFrame, frames: dict[str, Frame], hot_rows: int = HOT_ROWS, block_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``df`` with a column for each frame, in plans that no single key can hold up.
+
+    Keys of up to ``hot_rows`` rows are plain windows. The rows of larger ones are numbered and cut into blocks of ``block_rows``
+    consecutive rows; a block also gets the rows of its neighbours that its frames reach. What an unbounded side takes from farther
+    blocks is one aggregate for each block, summed along the blocks. Frames of one partitioning and order share all that.
+    """
+    for frame in dict.fromkeys(f.group for f in frames.values()):
+        df = _framed(df, {n: f for n, f in frames.items() if f.group == frame}, hot_rows, block_rows)
+    return df
+
+
+def _framed(df: DataFrame, frames: dict[str, Frame], hot_rows: int, block_rows: int) -> DataFrame:
+    keys, order, tie, descending = next(iter(frames.values())).group
+    keys = list(keys)
+    _check(df, order, tie)
+    hot = hot_keys(df, keys, hot_rows)
+
+    def plain(rows: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*_order(order, tie, descending))
+        made = {}
+        for name, f in frames.items():
+            ends = Window.unboundedPreceding if f.preceding is None else -f.preceding, Window.unboundedFollowing if f.following is None else f.following
+            made[name] = _made(f, {p: _part(p, _value(f, p)).over(w.rowsBetween(*ends)) for p in _PARTS[f.function]})
+        return rows.withColumns(made)
+
+    if hot.keys is None:
+        return plain(df)
+    marks = hot.keys.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)])
+    on = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)] or F.lit(True)
+    cold = df.join(marks, on, "left_anti") if keys else df.limit(0)
+    large = df.join(marks, on, "left_semi") if keys else df
+    return plain(cold).unionByName(_in_blocks(large, frames, hot, block_rows))
+
+
+def _in_blocks(df: DataFrame, frames: dict[str, Frame], hot: Hot, block_rows: int) -> DataFrame:
+    keys, order, tie, descending = next(iter(frames.values())).group
+    keys = list(keys)
+    before, after = max(f.preceding or 0 for f in frames.values()), max(f.following or 0 for f in frames.values())
+    size = max(block_rows, before, after, 1)
+    scratch = Scratch(df.sparkSession, "frames")
+    rows = scratch.write(numbered(df, keys, order, tie, "__at", descending, hot=hot).withColumn("__at", F.col("__at") - 1), "rows")
+    block, place = F.floor(F.col("__at") / size), F.col("__at") % size
+    rows = rows.withColumn("__block", block)
+    blocks = F.array_compact(F.array(block, F.when(place >= size - before, block + 1), F.when(place < after, block - 1)))
+    placed = rows.withColumn("__for", F.explode(blocks)).withColumn("__own", F.col("__for") == F.col("__block"))
+
+    w = Window.partitionBy(*keys, "__for").orderBy("__at")
+    far = {}  # aggregates of whole blocks, for unbounded sides
+    inside, parts = {}, {}
+    for n, (name, f) in enumerate(frames.items()):
+        parts[name] = {}
+        for p in _PARTS[f.function]:
+            column = f"__f{n}_{p}"
+            ends = Window.unboundedPreceding if f.preceding is None else -f.preceding, Window.unboundedFollowing if f.following is None else f.following
+            # rows of the block before belong to what lies before, if that side is unbounded, and likewise behind
+            counted = None
+            if f.preceding is None:
+                counted = F.col("__block") >= F.col("__for")
+            if f.following is None:
+                counted = (F.col("__block") <= F.col("__for")) & (F.lit(True) if counted is None else counted)
+            inside[column] = _part(p, _value(f, p, counted)).over(w.rowsBetween(*ends))
+            sides = [None, None]
+            for side, open_ in enumerate((f.preceding is None, f.following is None)):
+                if open_:
+                    sides[side] = f"{column}_{side}"
+                    far[sides[side]] = (f, p, side)
+            parts[name][p] = (column, *sides)
+    out = placed.withColumns(inside).where("__own")
+    if far:
+        along = {"first": lambda v: F.min_by(v, "__at"), "last": lambda v: F.max_by(v, "__at")}
+        sums = rows.groupBy(*keys, "__block").agg(*[along.get(p, lambda v, p=p: _part(p, v))(_value(f, p)).alias(c) for c, (f, p, _) in far.items()])
+        line = Window.partitionBy(*keys).orderBy("__block")
+        ends = [(Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)]
+        more = lambda c, p: F.sum(c) if p == "count" else _part(p, F.col(c))
+        sums = scratch.write(sums.withColumns({c: more(c, p).over(line.rowsBetween(*ends[side])) for c, (_, p, side) in far.items()}), "blocks")
+        right = sums.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__block").alias("__b"), *far)
+        on = (F.col("__block") == F.col("__b"))
+        for i, k in enumerate(keys):
+            on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        out = out.join(right, on)
+    made = {}
+    for name, f in frames.items():
+        whole = {p: _joined(p, F.col(b) if b else None, F.col(c), F.col(a) if a else None) for p, (c, b, a) in parts[name].items()}
+        made[name] = _made(f, whole)
+    return out.withColumns(made).select(*df.columns, *frames)
+
+
 def top_per_key(df: DataFrame, keys: list[str], ordering: list[Column], k: int, name: str | None = None) -> DataFrame:
     """The first ``k`` rows of every key, chosen in two steps: inside salts, then among winners.
 

@@ -38,8 +38,8 @@ def extract_edges(nodes: DataFrame, rule: str = "lineage", refs: DataFrame | Non
     """(workspaceID, src, dst) of parsed node documents under one of four rules.
 
     ``lineage``: alias values and dependencies, inside the workspace. ``health``: those and the listed
-    predecessors, inside the workspace. ``review``: the listed predecessors only, wherever they are.
-    ``join``: alias values; a node without any uses its column references (give ``refs``).
+    predecessors, inside the workspace. ``review``: the listed predecessors only, wherever they are, with ``pos``, their place in
+    the list; a node that lists none has those of an object-shaped source mapping. ``join``: alias values; a node without any uses its column references (give ``refs``).
     """
     ws, dst = F.col("workspaceID"), F.col("id").alias("dst")
     mapping = nodes.select(ws, dst, F.explode("metadata.sourceMapping").alias("m"))
@@ -53,7 +53,9 @@ def extract_edges(nodes: DataFrame, rule: str = "lineage", refs: DataFrame | Non
     elif rule == "health":
         found, inside = aliases.unionByName(deps).unionByName(listed), True
     elif rule == "review":
-        found, inside = listed, False
+        own = F.coalesce("predecessorNodeIDs", "mappedSources") if "mappedSources" in nodes.columns else F.col("predecessorNodeIDs")
+        placed = nodes.select(ws, dst, F.posexplode(own).alias("pos", "src")).where("src IS NOT NULL")
+        return placed.groupBy("workspaceID", "src", "dst").agg(F.min("pos").alias("pos"))
     elif rule == "join":
         named = aliases.filter("src <> ''")
         found, inside = named, False
@@ -76,10 +78,17 @@ def column_edges(refs: DataFrame) -> DataFrame:
 # ---- traversal -----------------------------------------------------------------------------
 
 
+#: Roots that share a row: one bit each.
+ROOT_BITS = 64
+
+
 def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None, reverse: bool = False) -> DataFrame:
     """(root, node, depth) of everything reached from the (root, node) starts; starts are left out.
 
     Depth is the fewest hops. Cycles end by themselves: a vertex is reached once per root.
+
+    Roots advance in blocks of ``ROOT_BITS``: a row is a node, a block and a mask of the block's roots that reach the node, and
+    masks meet by ``bit_or``. Pairs of root and node are made only where the result is read, without a shuffle.
     """
     spark = edges.sparkSession
     scratch = Scratch(spark, "traverse")
@@ -87,22 +96,31 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
     # Written as it comes, not partitioned by node: a hub with a great share of the edges would make
     # one huge partition. A small frontier is broadcast to it, a large one joins with skew handling.
     step = scratch.write(edges.select(F.col(here).alias("node"), F.col(there).alias("next")).distinct(), "edges")
-    frontier = scratch.write(starts.select("root", "node").distinct(), "reached/depth=0")
+    starts = scratch.write(starts.select("root", "node").distinct(), "starts")
+    # neighbours in order share a block: they tend to reach the same nodes. A row's number counts within its partition.
+    roots = starts.where("root IS NOT NULL").select("root").distinct().repartitionByRange("root").sortWithinPartitions("root")
+    roots = scratch.write(roots.withColumn("number", F.monotonically_increasing_id()), "roots")
+    roots = roots.select("root", F.shiftright("number", 6).alias("block"), (F.col("number") % ROOT_BITS).cast("int").alias("bit"))
+    one = F.expr("shiftleft(1L, bit)")
+    masks = lambda df, node: df.groupBy(F.col(node).alias("node"), "block").agg(F.bit_or("mask").alias("mask"))
+    frontier = scratch.write(masks(starts.join(roots, "root").withColumn("mask", one), "node"), "reached/depth=0")
     shape = frontier.schema
     depth = 0
     while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
         depth += 1
         seen = spark.read.schema(shape).parquet(*[f"{scratch.path}/reached/depth={d}" for d in range(depth)])
-        reached = frontier.join(step, "node").select("root", F.col("next").alias("node")).distinct()
-        reached = scratch.write(reached, f"candidates/{depth}")
+        reached = scratch.write(masks(frontier.join(step, "node"), "next"), f"candidates/{depth}")
         # Only what was seen among the candidates matters: late rounds have few of them, so they are
-        # broadcast against the seen pairs, which then need no shuffle.
-        known = seen.join(reached, ["root", "node"], "left_semi")
-        fresh = reached.join(known, ["root", "node"], "left_anti")
-        frontier = scratch.write(fresh, f"reached/depth={depth}")
-    scratch.keep_only("reached")
+        # broadcast against the seen masks, which then need no shuffle.
+        known = masks(seen.join(reached.select("node", "block"), ["node", "block"], "left_semi"), "node").withColumnRenamed("mask", "old")
+        fresh = reached.join(known, ["node", "block"], "left").withColumn("mask", F.expr("mask & ~coalesce(old, 0L)")).where("mask <> 0")
+        frontier = scratch.write(fresh.select(*shape.names), f"reached/depth={depth}")
+    members = scratch.write(roots.groupBy("block").agg(F.collect_list(F.struct("bit", "root")).alias("roots")), "members")
+    scratch.keep_only("reached", "members")
     full = T.StructType([*shape.fields, T.StructField("depth", T.IntegerType())])
-    return spark.read.schema(full).parquet(f"{scratch.path}/reached").filter("depth > 0")
+    found = spark.read.schema(full).parquet(f"{scratch.path}/reached").where("depth > 0").join(members, "block")
+    held = F.filter("roots", lambda r: F.getbit("mask", r["bit"]) == 1)
+    return found.select(F.explode(F.transform(held, lambda r: r["root"])).alias("root"), "node", "depth")
 
 
 def upstream(edges: DataFrame, roots: DataFrame, max_depth: int | None = None) -> DataFrame:

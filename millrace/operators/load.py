@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.ordered import HOT_ROWS, hot_keys, neighbour, numbered
+from millrace.operators import patterns
 from millrace.operators.aggregate import join_to_aggregation
 from millrace.operators.windows import latest_per_key
 from millrace.sources.scratch import Scratch
@@ -287,14 +288,19 @@ def date_dimension(df: DataFrame, column: str) -> DataFrame:
 
 
 def sequence_match(
-    df: DataFrame, keys: list[str], ts: str, tie: str, column: str, pattern: list[str], **options: int
+    df: DataFrame, keys: list[str], ts: str, tie: str, column: str, pattern: list[str] | str, **options: int
 ) -> DataFrame:
     """Where consecutive rows of a key follow the pattern: one row per match, by its first row.
 
+    A text is a pattern with alternatives, options and counts, as ``signup (view | click){1,3} purchase? error*``: one row
+    for every row with which a match ends, with the longest one (see ``patterns``). A list is one step after the other:
+
     A step with a trailing ``+`` stands for one or more equal rows; such patterns are matched over runs
     of equal values, and neighbouring steps must then differ. Rows look at their neighbours only, so no
     key is gathered into one list.
     """
+    if isinstance(pattern, str):
+        return patterns.matches(df, keys, ts, tie, column, pattern, **options)
     options = _measured(df, keys, options)
     steps = [(p.removesuffix("+"), p.endswith("+")) for p in pattern]
     if not any(many for _, many in steps):

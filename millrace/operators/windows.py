@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.ordered import Frame, framed
 
-def qualify(df: DataFrame, window: dict[str, str], predicate: str) -> DataFrame:
+
+def qualify(df: DataFrame, window: dict[str, str | Frame], predicate: str, **options: int) -> DataFrame:
     """QUALIFY: keep the rows whose window results meet the predicate.
 
-    ``window`` maps a name to a window expression. For a hot partition use the helpers in
-    ``functions.ordered`` (or ``top_k_per_key``), which split the key.
+    ``window`` maps a name to a window expression, or to a ``Frame``, whose plan splits keys that are too large for one task
+    (``options`` go to ``ordered.framed``).
     """
-    out = df.withColumns({n: F.expr(e) for n, e in window.items()}).filter(predicate)
+    frames = {n: w for n, w in window.items() if isinstance(w, Frame)}
+    out = framed(df, frames, **options) if frames else df
+    out = out.withColumns({n: F.expr(w) for n, w in window.items() if n not in frames}).filter(predicate)
     return out.drop(*window)
 
 

@@ -433,6 +433,46 @@ def w4_running_total(t):
     return found.select("user_id", "event_id", F.col("running").cast("double").alias("running"))
 
 
+FRAME_SQL = """SELECT event_type, event_id, CAST(sum(v) OVER (w ROWS BETWEEN 3 PRECEDING AND 2 FOLLOWING) AS DOUBLE) AS near, min(value) OVER (w ROWS UNBOUNDED PRECEDING) AS least,
+    max(value) OVER (w ROWS BETWEEN 2 PRECEDING AND UNBOUNDED FOLLOWING) AS most, first_value(user_id) OVER (w ROWS BETWEEN 200 PRECEDING AND CURRENT ROW) AS first_user,
+    last_value(user_id) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 4 FOLLOWING) AS last_user, count(*) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS n,
+    avg(event_id) OVER (w ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS mean FROM (SELECT *, CAST(value AS DECIMAL(18,2)) AS v FROM events)
+    WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)"""
+
+
+def _frames(t, **options):
+    at = lambda function, column, before, after: ordered.Frame(function, column, ("event_type",), "ts", "event_id", before, after)
+    frames = {
+        "near": at("sum", "v", 3, 2), "least": at("min", "value", None, 0), "most": at("max", "value", 2, None), "first_user": at("first", "user_id", 200, 0),
+        "last_user": at("last", "user_id", None, 4), "n": at("count", None, None, None), "mean": at("avg", "event_id", 7, 0),
+    }
+    rows = t.events.select("event_type", "event_id", "user_id", "ts", "value", F.col("value").cast(MONEY).alias("v"))
+    return ordered.framed(rows, frames, **options).withColumn("near", F.col("near").cast("double")).drop("user_id", "ts", "value", "v")
+
+
+@query("w4_frames", FRAME_SQL)
+def w4_frames(t):
+    return _frames(t)
+
+
+@query("w4_frames_split_keys", FRAME_SQL)
+def w4_frames_split_keys(t):
+    """The same with every key cut into blocks of a thousand rows."""
+    return _frames(t, hot_rows=0, block_rows=1000)
+
+
+@query(
+    "w1_qualify_split_keys",
+    """SELECT event_id, event_type, value FROM events QUALIFY value > avg(event_id) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 5 PRECEDING AND 5 FOLLOWING) / 100
+       AND count(*) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) > 10""",
+)
+def w1_qualify_split_keys(t):
+    at = lambda function, column, before, after: ordered.Frame(function, column, ("event_type",), "ts", "event_id", before, after)
+    window = {"mean": at("avg", "event_id", 5, 5), "n": at("count", None, None, 0)}
+    kept = windows.qualify(t.events, window, "value > mean / 100 AND n > 10", hot_rows=0, block_rows=700)
+    return kept.select("event_id", "event_type", "value")
+
+
 @query(
     "w4_first_last_value",
     """SELECT DISTINCT user_id, first_value(event_type) OVER w AS first_value, last_value(event_type) OVER w AS last_value FROM events

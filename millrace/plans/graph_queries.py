@@ -9,6 +9,7 @@ from millrace.plans.project_queries import LAYER_SQL
 from millrace.plans.registry import query
 from millrace.plans.source_queries import node_documents
 from millrace.sources import catalog
+from millrace.sources.scratch import Scratch
 
 # ---- edges ------------------------------------------------------------------------------------
 
@@ -192,6 +193,40 @@ def g8_chain_depth(t):
     return graph.chain_depth(c.nodes(t), c.edges(t))
 
 
+def workspace_files(t):
+    """Node documents of two workspaces that share node ids, as files of lines. B lists predecessors the other way round and lacks
+    some nodes; nodes with odd ids list their predecessors in an object-shaped source mapping."""
+    ups = c.edges(t).groupBy(F.col("dst").alias("node_id")).agg(F.sort_array(F.collect_set("src")).alias("ups"))
+    nodes = c.nodes(t).select("node_id", "name", "node_type").join(ups, "node_id", "left")
+    folder = Scratch(t.spark, "files").path
+    for ws, order in (("A", F.col("ups")), ("B", F.reverse("ups"))):
+        own = nodes.where("node_id % 5 <> 0") if ws == "B" else nodes
+        listed = F.transform(order, lambda u: u.cast("string"))
+        even = F.col("node_id") % 2 == 0
+        mapping = F.struct(F.struct(F.transform(F.when(~even, listed), lambda u: F.struct(u.alias("nodeID"))).alias("sources")).alias("sourceMapping"))
+        doc = F.struct(F.lit(ws).alias("workspaceID"), F.col("node_id").cast("string").alias("id"), "name", F.col("node_type").alias("nodeType"), F.when(even, listed).alias("predecessorNodeIDs"), mapping.alias("metadata"))
+        own.select(F.to_json(doc)).write.mode("append").text(folder)
+    return folder
+
+
+@query(
+    "g8_chains_of_files",
+    with_sql("edges").replace("WITH", "WITH RECURSIVE", 1)
+    + """, n AS (SELECT 'A' AS ws, p_partkey AS node FROM part UNION ALL SELECT 'B', p_partkey FROM part WHERE p_partkey % 5 <> 0),
+    f AS (SELECT 'A' AS ws, dst AS node, min(src) AS up FROM edges GROUP BY 2 UNION ALL SELECT 'B', dst, max(src) FROM edges GROUP BY 2),
+    walk(ws, node, at, d) AS (SELECT ws, node, node, 0 FROM n UNION ALL
+      SELECT walk.ws, walk.node, f.up, d + 1 FROM walk JOIN n ON n.ws = walk.ws AND n.node = walk.at JOIN f ON f.ws = walk.ws AND f.node = walk.at)
+    SELECT ws AS workspace_id, CAST(node AS VARCHAR) AS node_id, max(d) AS chain_depth FROM walk GROUP BY 1, 2""",
+)
+def g8_chains_of_files(t):
+    """First predecessors by their place in the list, from files, for workspaces that share node ids."""
+    vertex = lambda node: F.struct(F.col("workspaceID").alias("workspace_id"), node.alias("node_id"))
+    nodes = catalog.read_nodes(t.spark, workspace_files(t))
+    edges = graph.extract_edges(nodes, "review").select(*[vertex(F.col(e)).alias(e) for e in ("src", "dst")], "pos")
+    found = graph.chain_depth(nodes.select(vertex(F.col("id")).alias("node_id")), edges)
+    return found.select("node_id.workspace_id", "node_id.node_id", "chain_depth")
+
+
 @query(
     "g9_graph_stats",
     LONGEST

@@ -210,11 +210,10 @@ def j9_fuzzy_verdicts(t):
 @query(
     "j9_fuzzy_candidates",
     SCORE_SQL
-    + """SELECT query_id, node_id, score FROM (SELECT hit.*, n, best, row_number() OVER (PARTITION BY hit.query_id ORDER BY score DESC, hit.node_id) AS rn
-         FROM hit JOIN cnt ON hit.query_id = cnt.query_id) WHERE (n = 1 AND rn <= 5) OR (n > 1 AND score = best)""",
+    + """SELECT hit.query_id, node_id, score FROM hit JOIN cnt ON hit.query_id = cnt.query_id WHERE n = 1 OR score = best""",
 )
 def j9_fuzzy_candidates(t):
-    return resolve.fuzzy_match_entities(entity_queries(t), c.nodes(t), keep=5)[1]
+    return resolve.fuzzy_match_entities(entity_queries(t), c.nodes(t))[1]
 
 
 @query(

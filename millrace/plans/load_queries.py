@@ -301,6 +301,24 @@ def l16_sequence_match_runs(t):
     return load.sequence_match(t.events, ["user_id"], "ts", "event_id", "event_type", ["view", "click+", "error"])
 
 
+PATTERN = "signup? (view | click){2,3} purchase* error"
+PATTERN_SQL = """WITH n AS (SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n, left(event_type, 1) AS a FROM events),
+    s AS (SELECT user_id, string_agg(a, '' ORDER BY n) AS t FROM n GROUP BY 1),
+    m AS (SELECT n.*, length(regexp_extract(substr(t, 1, n), 's?(?:v|c){2,3}p*e$')) AS size FROM n JOIN s USING (user_id))
+    SELECT m.user_id, b.ts AS match_start, b.event_id AS first_row, m.ts AS match_end, m.event_id AS last_row FROM m JOIN n b ON b.user_id = m.user_id AND b.n = m.n - size + 1 WHERE size > 0"""
+
+
+@query("l16_pattern", PATTERN_SQL)
+def l16_pattern(t):
+    return load.sequence_match(t.events, ["user_id"], "ts", "event_id", "event_type", PATTERN)
+
+
+@query("l16_pattern_split_keys", PATTERN_SQL)
+def l16_pattern_split_keys(t):
+    """The same with every key cut into buckets, whose effects are composed."""
+    return load.sequence_match(t.events, ["user_id"], "ts", "event_id", "event_type", PATTERN, hot_rows=0)
+
+
 @query(
     "l17_recursive_expand",
     """WITH RECURSIVE e AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey > 0),

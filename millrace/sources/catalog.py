@@ -75,9 +75,14 @@ def read_nodes(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_nodes(df: DataFrame, json_column: str) -> DataFrame:
-    """Parse node documents; a record without id, name or type is dropped."""
+    """Parse node documents; a record without id, name or type is dropped.
+
+    ``mappedSources`` are the node ids that a source mapping lists which is one object instead of a list of mappings.
+    """
     doc = F.from_json(F.col(json_column), NODE)
-    out = df.select(F.col(json_column).alias("raw"), doc.alias("doc")).select("raw", "doc.*")
+    listed = F.from_json(F.get_json_object("raw", "$.metadata.sourceMapping.sources"), "array<struct<nodeID:string>>")
+    mapped = F.when(F.col("doc.metadata.sourceMapping").isNull(), F.filter(listed["nodeID"], lambda i: i.isNotNull()))
+    out = df.select(F.col(json_column).alias("raw"), doc.alias("doc")).select("raw", "doc.*", mapped.alias("mappedSources"))
     return out.filter((F.col("id") != "") & (F.col("name") != "") & (F.col("nodeType") != ""))
 
 

@@ -1,5 +1,6 @@
 """Edge cases of the operators on small literal frames."""
 
+import random
 from datetime import datetime
 
 import pytest
@@ -9,6 +10,7 @@ from millrace.functions import dialect, rules
 from millrace.functions.names import norm_expression, norm_identifier
 from millrace.operators import aggregate, classify, diff, joins, load, project, profile, resolve, review, runs, search, sorting, windows
 from millrace.plans.steps import run_steps, step_kind, step_order
+from millrace.sources.scratch import Scratch
 
 
 def rows(df, *cols):
@@ -584,3 +586,24 @@ def test_fuzzy_matches_keep_all_candidates_unless_told(spark):
     queries = spark.createDataFrame([(1, "ORDERS")], "query_id long, name string")
     assert resolve.fuzzy_match_entities(queries, nodes)[1].count() == 9
     assert resolve.fuzzy_match_entities(queries, nodes, keep=5)[1].count() == 5
+
+
+def test_fuzzy_matches_equal_trying_all_pairs(spark):
+    pick = random.Random(5)
+    words = ["ORDERS", "ORDER", "CUSTOMER", "STG", "DIM", "X", "ÄÖ", "S", "LINE ITEM", "😀"]
+    made = lambda: "_".join(pick.choices(words, k=pick.randint(1, 4)))[pick.randint(0, 2) :]
+    nodes = spark.createDataFrame([(k, made()) for k in range(120)] + [(500, ""), (501, None)], "node_id long, name string")
+    queries = spark.createDataFrame([(k, made()) for k in range(80)] + [(500, ""), (501, None)], "query_id long, name string")
+    q = queries.select("query_id", norm_identifier("name").alias("q")).where("q <> ''")
+    n = nodes.select("node_id", norm_identifier("name").alias("c")).where("c <> ''")
+    want = q.crossJoin(n).withColumn("score", resolve.entity_score(F.col("q"), F.col("c"))).where("score > 0").select("query_id", "node_id", "score")
+    assert sorted(resolve.fuzzy_matches(queries, nodes).collect()) == sorted(want.collect())
+
+
+def test_equal_texts_and_names_are_scored_once(spark):
+    nodes = spark.range(1000).selectExpr("id AS node_id", "concat('ORDERS_', id) AS name")
+    queries = spark.range(300).selectExpr("id AS query_id", "'ORDERS' AS name")
+    q, n = resolve._normalised(queries, nodes)
+    assert resolve._scored_texts(q, n, Scratch(spark, "test")).count() == 1000
+    verdict, candidates = resolve.fuzzy_match_entities(queries.limit(2), nodes)
+    assert {r["confidence"] for r in verdict.collect()} == {"unresolved"} and candidates.count() == 2000

@@ -1,5 +1,7 @@
 """Both ways of every ordered helper must agree with a plain window."""
 
+import random
+
 import pytest
 from pyspark.sql import Window, functions as F
 
@@ -130,3 +132,28 @@ def test_null_keys_and_orders(spark):
 def test_no_keys_at_all(rows):
     w = Window.orderBy("o", "t")
     same(ordered.numbered(rows, [], "o", "t", "n", hot_rows=0), rows.withColumn("n", F.row_number().over(w).cast("long")))
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_frames_equal_plain_windows_whatever_the_blocks(spark, block):
+    pick = random.Random(block)
+    data = [(pick.choice([None, "a", "b", "c"]), pick.randint(0, 30), k, pick.choice([None, *range(9)])) for k in range(120)]
+    df = spark.createDataFrame([r for r in data if r[0] != "c"] + [("c", 1, 999, None)], "k string, o int, t int, v int")
+    ends = [(None, 0), (None, None), (0, None), (2, 3), (0, 0), (5, 0), (None, 2), (4, None)]
+    frames = {
+        f"{f}_{i}": ordered.Frame(f, None if f == "count" and i == 1 else "v", ("k",), "o", "t", *e, descending=i % 2 == 1)
+        for f in ("sum", "count", "min", "max", "avg", "first", "last") for i, e in enumerate(ends)
+    }
+    plain = ordered.framed(df, frames).collect()
+    split = ordered.framed(df, frames, hot_rows=0, block_rows=block).collect()
+    assert len(plain) == df.count()
+    assert sorted(split, key=str) == sorted(plain, key=str)
+    some = ordered.framed(df, {"n": ordered.Frame("count", None, ("k",), "o", "t")}, hot_rows=5, block_rows=block)
+    assert sorted(some.select("k", "t", "n").collect(), key=str) == sorted([(r["k"], r["t"], r["n"]) for r in ordered.framed(df, {"n": ordered.Frame("count", None, ("k",), "o", "t")}).collect()], key=str)
+
+
+def test_frames_ask_for_what_they_can_give(spark):
+    with pytest.raises(ValueError):
+        ordered.Frame("median", "v", ("k",), "o")
+    with pytest.raises(ValueError):
+        ordered.Frame("sum", "v", ("k",), "o", None, -1, 3)

@@ -2,12 +2,14 @@
 
 import json
 import random
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.sources import catalog, reshape, secrets, snapshots
+from millrace.sources.manifests import Conflict
 from millrace.sources.scratch import Scratch, checkpoint_root
 
 NOON = datetime(2024, 1, 1, 12, 0)
@@ -40,6 +42,49 @@ def test_failed_publish_leaves_the_old_generation(spark, tmp_path):
     assert snapshots.snapshot_meta(spark, folder).count() == 1
 
 
+def test_publishers_at_once_do_not_mix(spark, tmp_path):
+    folder = str(tmp_path / "snap")
+    snapshots.publish_snapshot(spark.range(1), folder, NOON)
+
+    def publish(k):
+        return snapshots.publish_snapshot(spark.range(10 * k, 10 * k + 10), folder, NOON)
+
+    with ThreadPoolExecutor(3) as pool:
+        versions = list(pool.map(publish, [1, 2, 3]))
+    found = snapshots.generations(spark, folder)
+    assert [g["number"] for g in found] == [0, 1, 2, 3] and {g["version"] for g in found[1:]} == set(versions)
+    rows = sorted(r["id"] for r in snapshots.load_snapshot(spark, folder, NOON, 60).collect())
+    assert rows in [list(range(10 * k, 10 * k + 10)) for k in (1, 2, 3)]
+    assert rows[0] // 10 == versions.index(found[-1]["version"]) + 1
+
+
+def test_a_publisher_that_read_an_older_generation_is_refused(spark, tmp_path):
+    folder = str(tmp_path / "snap")
+    snapshots.publish_snapshot(spark.range(1), folder, NOON, after=-1)
+    seen = snapshots.generations(spark, folder)[-1]["number"]
+    snapshots.publish_snapshot(spark.range(2), folder, NOON, after=seen)
+    with pytest.raises(Conflict):
+        snapshots.publish_snapshot(spark.range(3), folder, NOON, after=seen)
+    assert snapshots.load_snapshot(spark, folder, NOON, 60).count() == 2
+    assert len(list((tmp_path / "snap" / "items").iterdir())) == 2
+
+
+def test_expiry_spares_readers_and_the_newest(spark, tmp_path):
+    folder = str(tmp_path / "snap")
+    publish = lambda hour, detail: snapshots.publish_snapshot(spark.range(hour), folder, datetime(2024, 1, 1, hour), detail=detail)
+    for hour, detail in ((1, False), (2, True), (3, True)):
+        publish(hour, detail)
+    reader = snapshots.load_snapshot(spark, folder, datetime(2024, 1, 1, 3), 60)
+    publish(4, False)
+    publish(11, True)
+    snapshots.expire_snapshots(spark, folder, datetime(2024, 1, 1, 10))
+    assert [g["total_items"] for g in snapshots.generations(spark, folder)] == [4, 11]
+    assert reader.count() == 3
+    snapshots.expire_snapshots(spark, folder, datetime(2024, 1, 1, 10), spare_seconds=0)
+    assert len(list((tmp_path / "snap" / "items").iterdir())) == 2
+    assert snapshots.load_snapshot(spark, folder, NOON, 7200).count() == 11
+
+
 def test_credentials_go_at_any_depth(spark):
     df = spark.sql(
         """SELECT 1 AS id, 'x' AS gitToken, named_struct('accessToken', 'x', 'keep', array(named_struct('snowflakePassword', 'x', 'b', 2))) AS s,
