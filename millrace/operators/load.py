@@ -260,6 +260,61 @@ def refresh_aggregate(stored: DataFrame, new_rows: DataFrame, keys: list[str], m
     return parts.groupBy(*keys).agg(*[MERGE_WITH[m.function](n).alias(n) for n, m in measures.items()])
 
 
+def signed_aggregate(df: DataFrame, keys: list[str], measures: dict[str, Measure]) -> DataFrame:
+    """A materialised aggregate that changes and deletions can be applied to: with the rows of each group, and with the values that
+    are not null of each measure."""
+    held = [F.count(m.column).alias(f"{n}__held") for n, m in measures.items()]
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"), *held, *[getattr(F, m.function)(m.column).alias(n) for n, m in measures.items()])
+
+
+def apply_signed(stored: DataFrame, changes: DataFrame, keys: list[str], measures: dict[str, Measure], rows_now: DataFrame, sign: str = "sign") -> DataFrame:
+    """The aggregate of ``signed_aggregate`` after ``changes``: rows with a sign, 1 for one that came and -1 for one that went; an
+    update is one of each.
+
+    Rows that came and went again are taken off each other first. Counts and sums add up by sign. A least or greatest value
+    is read again from ``rows_now`` only for the groups that lost a row with it; ``rows_now`` holds the rows after the changes. Groups
+    without rows end.
+    """
+    columns = sorted({m.column for m in measures.values()} - set(keys))
+    net = changes.groupBy(*keys, *columns).agg(F.sum(F.col(sign).cast("long")).alias("__by")).where("__by <> 0")
+    by, came = F.col("__by"), F.col("__by") > 0
+    parts = [F.sum(by).alias("__rows")]
+    for n, m in measures.items():
+        value = F.col(m.column)
+        parts.append(F.sum(F.when(value.isNotNull(), by).otherwise(0)).alias(f"{n}__held"))
+        if m.function in ("min", "max"):
+            pick = getattr(F, m.function)
+            parts += [pick(F.when(came, value)).alias(n), pick(F.when(~came, value)).alias(f"{n}__gone")]
+        elif m.function == "sum":
+            parts.append(F.sum(value * by).alias(n))
+        else:
+            parts.append(F.sum(F.when(value.isNotNull(), by).otherwise(0)).alias(n))
+    delta = net.groupBy(*keys).agg(*parts)
+    kinds = dict(stored.dtypes)
+    both = stored.unionByName(delta.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in delta.columns]), allowMissingColumns=True)
+    merged = [F.sum("__rows").alias("__rows")]
+    for n, m in measures.items():
+        merged.append(F.sum(f"{n}__held").alias(f"{n}__held"))
+        if m.function in ("min", "max"):
+            pick = getattr(F, m.function)
+            merged += [pick(n).alias(n), pick(f"{n}__gone").alias(f"{n}__gone")]
+        else:
+            merged.append(F.sum(n).alias(n))
+    scratch = Scratch(stored.sparkSession, "signed")
+    groups = scratch.write(both.groupBy(*keys).agg(*merged).where("__rows > 0"), "groups")
+    extremes = {n: m for n, m in measures.items() if m.function in ("min", "max")}
+    lost = {n: F.coalesce(F.col(f"{n}__gone") <= F.col(n) if m.function == "min" else F.col(f"{n}__gone") >= F.col(n), F.lit(False)) for n, m in extremes.items()}
+    out = groups.withColumns({n: F.when(F.col(f"{n}__held") > 0, F.col(n)).cast(kinds[n]) for n in measures if measures[n].function == "sum"})
+    if extremes:
+        some = reduce(Column.__or__, lost.values())
+        again = scratch.write(groups.where(some).select(*keys), "lost")
+        found = _semi(rows_now, again, keys, "left_semi").groupBy(*keys).agg(*[getattr(F, m.function)(m.column).alias(f"{n}__new") for n, m in extremes.items()])
+        right = found.select(*[F.col(k).alias(f"__{k}") for k in keys], *[f"{n}__new" for n in extremes])
+        out = out.join(right, reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys]), "left")
+        out = out.withColumns({n: F.when(lost[n], F.col(f"{n}__new")).otherwise(F.col(n)) for n in extremes})
+    return out.select(*stored.columns)
+
+
 def pivot(df: DataFrame, keys: list[str], column: str, values: list[object], agg: Column) -> DataFrame:
     """Rows to columns; the values are given, so no extra pass looks for them."""
     return df.groupBy(*keys).pivot(column, values).agg(agg)
@@ -387,6 +442,65 @@ def profile(df: DataFrame, columns: list[str] | None = None, exact: bool = False
     return df.agg(F.array(*parts).alias("p")).select(F.inline("p"))
 
 
+#: Values of a column that a stored profile keeps track of as frequent ones.
+TRACKED = 100
+
+
+def _is_number(kind: str) -> bool:
+    return kind.startswith(("int", "bigint", "smallint", "tinyint", "double", "float", "decimal"))
+
+
+def profile_parts(df: DataFrame, part: str, columns: list[str]) -> DataFrame:
+    """What is to be stored of each part of a table, so that its profile can be made again when parts come or change.
+
+    One row for each value of ``part``: counts, extremes, sums, and mergeable sketches of distinct values, quantiles and
+    frequent values. A part that changed is profiled again alone.
+    """
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for c, kind in ((c, dict(df.dtypes)[c]) for c in columns):
+        col = F.col(f"`{c}`")
+        counted = col if kind in ("int", "bigint", "string", "binary") else col.cast("string")
+        aggs += [
+            F.count_if(col.isNull()).alias(f"{c}__nulls"), F.min(col).alias(f"{c}__least"), F.max(col).alias(f"{c}__greatest"),
+            F.hll_sketch_agg(counted, F.lit(14)).alias(f"{c}__distinct"), F.expr(f"approx_top_k_accumulate(cast(`{c}` as string), {TRACKED})").alias(f"{c}__frequent"),
+        ]
+        if _is_number(kind):
+            aggs += [F.sum(col.cast("double")).alias(f"{c}__total"), F.kll_sketch_agg_double(col.cast("double")).alias(f"{c}__quantiles")]
+    return df.groupBy(F.col(part).alias("part")).agg(*aggs)
+
+
+def profile_of_parts(parts: DataFrame, columns: list[str], quantiles: tuple[float, ...] = (0.25, 0.5, 0.75), frequent: int = 5) -> DataFrame:
+    """The profile of a table from the stored rows of its parts alone: one row for each column.
+
+    Rows, nulls, extremes and means are exact; distinct_values, quantiles and frequent (value and count) are as near as their
+    sketches. Columns of other types than numbers have no mean and quantiles.
+    """
+    names = set(parts.columns)
+    merged = [F.sum("__rows").alias("__rows")]
+    for c in columns:
+        merged += [
+            F.sum(f"{c}__nulls").alias(f"{c}__nulls"), F.min(f"{c}__least").alias(f"{c}__least"), F.max(f"{c}__greatest").alias(f"{c}__greatest"),
+            F.hll_union_agg(f"{c}__distinct").alias(f"{c}__distinct"), F.expr(f"approx_top_k_combine(`{c}__frequent`, {TRACKED})").alias(f"{c}__frequent"),
+        ]
+        if f"{c}__total" in names:
+            merged += [F.sum(f"{c}__total").alias(f"{c}__total"), F.kll_merge_agg_double(f"{c}__quantiles").alias(f"{c}__quantiles")]
+    rows = []
+    for c in columns:
+        held = F.col("__rows") - F.col(f"{c}__nulls")
+        number = f"{c}__total" in names
+        mean = F.when(held > 0, F.col(f"{c}__total") / held) if number else F.lit(None).cast("double")
+        cuts = F.kll_sketch_get_quantile_double(f"{c}__quantiles", F.array(*[F.lit(float(q)) for q in quantiles])) if number else F.lit(None).cast("array<double>")
+        top = F.expr(f"approx_top_k_estimate(`{c}__frequent`, {frequent})")
+        rows.append(
+            F.struct(
+                F.lit(c).alias("column_name"), F.col("__rows").alias("rows"), F.col(f"{c}__nulls").alias("nulls"), F.hll_sketch_estimate(f"{c}__distinct").alias("distinct_values"),
+                F.col(f"{c}__least").cast("string").alias("least"), F.col(f"{c}__greatest").cast("string").alias("greatest"), mean.alias("mean"),
+                F.when(held > 0, cuts).alias("quantiles"), F.transform(top, lambda x: F.struct(x["item"].alias("value"), x["count"].alias("n"))).alias("frequent"),
+            )
+        )
+    return parts.agg(*merged).select(F.inline(F.array(*rows)))
+
+
 def split_tested(df: DataFrame, checks: dict[str, str]) -> tuple[DataFrame, DataFrame]:
     """(passed, failed); a failed row lists its failed checks. An unknown outcome is a failure."""
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(F.expr(c), F.lit(False)), F.lit(n)) for n, c in checks.items()]))

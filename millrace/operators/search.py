@@ -2,44 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from millrace.operators import textindex
 
 FIELDS = ["name", "nodeType", "sql", "description", "config", "columnName", "columnDataType"]
 SNIPPET_SIDE = 60
 
 
-def snippet(text: Column, query: str) -> Column:
+def snippet(text: Column, query: str | Column) -> Column:
     """The hit with 60 characters on each side; an ellipsis marks a cut."""
-    at = F.instr(F.lower(text), query.lower())
+    query = F.lit(query) if isinstance(query, str) else query
+    at = F.instr(F.lower(text), F.lower(query))
     start = F.greatest(at - SNIPPET_SIDE, F.lit(1))
-    end = F.least(at - 1 + len(query) + SNIPPET_SIDE, F.length(text))
+    end = F.least(at - 1 + F.length(query) + SNIPPET_SIDE, F.length(text))
     body = F.substring(text, start, end - start + 1)
     head = F.when(start > 1, "…").otherwise("")
     tail = F.when(end < F.length(text), "…").otherwise("")
     return F.concat(head, body, tail)
 
 
-def search_content(
-    nodes: DataFrame,
-    columns: DataFrame,
-    query: str,
-    fields: list[str] | None = None,
-    node_type: str | None = None,
-    limit: int | None = None,
-) -> DataFrame:
-    """Literal, case-insensitive substring search; one row per match, all of them.
-
-    ``nodes``: node_id, name, node_type, sql, description, config. ``columns``: node_id, ordinal,
-    name, data_type. ``limit``, if given, cuts the list of nodes, in id order.
-    """
-    if not query:
-        raise ValueError("the search text must not be empty")
-    wanted = fields or FIELDS
-    if node_type:
-        nodes = nodes.filter(F.lower("node_type") == node_type.lower())
+def _cells(wanted: list[str]) -> tuple[list[Column], list[Column]]:
+    """The searched fields of a node and of a column, as structs with their texts."""
     sources = {"name": "name", "nodeType": "node_type", "sql": "sql", "description": "description", "config": "config"}
-    # The node fields go through one pass over the nodes, the column fields through one over columns.
-    cells = [
+    node_cells = [
         F.struct(
             F.lit(FIELDS.index(f)).alias("field_order"),
             F.lit(0).alias("ordinal"),
@@ -63,10 +49,32 @@ def search_content(
         for f, src in {"columnName": "name", "columnDataType": "data_type"}.items()
         if f in wanted
     ]
+    return node_cells, column_cells
+
+
+def search_content(
+    nodes: DataFrame,
+    columns: DataFrame,
+    query: str,
+    fields: list[str] | None = None,
+    node_type: str | None = None,
+    limit: int | None = None,
+) -> DataFrame:
+    """Literal, case-insensitive substring search; one row per match, all of them.
+
+    ``nodes``: node_id, name, node_type, sql, description, config. ``columns``: node_id, ordinal,
+    name, data_type. ``limit``, if given, cuts the list of nodes, in id order.
+    """
+    if not query:
+        raise ValueError("the search text must not be empty")
+    wanted = fields or FIELDS
+    if node_type:
+        nodes = nodes.filter(F.lower("node_type") == node_type.lower())
+    node_cells, column_cells = _cells(wanted)
     hit = F.instr(F.lower("text"), query.lower()) > 0
     parts = []
-    if cells:
-        parts.append(nodes.select("node_id", F.inline(F.array(*cells))).filter(hit))
+    if node_cells:
+        parts.append(nodes.select("node_id", F.inline(F.array(*node_cells))).filter(hit))
     if column_cells:
         found = columns.select("node_id", F.inline(F.array(*column_cells))).filter(hit)
         parts.append(found.join(nodes.select("node_id"), "node_id", "left_semi"))
@@ -77,6 +85,21 @@ def search_content(
     return matches.select("node_id", "field", "column_name", text.alias("snippet"))
 
 
+def index_content(nodes: DataFrame, columns: DataFrame, folder: str) -> None:
+    """Store an index of what ``search_content`` searches, for ``search_indexed``."""
+    node_cells, column_cells = _cells(FIELDS)
+    own = nodes.select("node_id", F.inline(F.array(*node_cells)))
+    others = columns.select("node_id", F.inline(F.array(*column_cells))).join(nodes.select("node_id"), "node_id", "left_semi")
+    textindex.build(own.unionByName(others).select("node_id", "field", "column_name", "whole", "text"), folder)
+
+
+def search_indexed(spark: SparkSession, folder: str, queries: DataFrame) -> DataFrame:
+    """What ``search_content`` finds for every text of ``queries(query_id, query)``, in one job and from the index alone."""
+    found = textindex.search(spark, folder, queries)
+    text = F.when(F.col("whole"), F.col("text")).otherwise(snippet(F.col("text"), F.col("query")))
+    return found.select("query_id", "node_id", "field", "column_name", text.alias("snippet"))
+
+
 def search_variants(
     variants: DataFrame,
     family: str | None = None,

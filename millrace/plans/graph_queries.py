@@ -214,8 +214,8 @@ def workspace_files(t):
     with_sql("edges").replace("WITH", "WITH RECURSIVE", 1)
     + """, n AS (SELECT 'A' AS ws, p_partkey AS node FROM part UNION ALL SELECT 'B', p_partkey FROM part WHERE p_partkey % 5 <> 0),
     f AS (SELECT 'A' AS ws, dst AS node, min(src) AS up FROM edges GROUP BY 2 UNION ALL SELECT 'B', dst, max(src) FROM edges GROUP BY 2),
-    walk(ws, node, at, d) AS (SELECT ws, node, node, 0 FROM n UNION ALL
-      SELECT walk.ws, walk.node, f.up, d + 1 FROM walk JOIN n ON n.ws = walk.ws AND n.node = walk.at JOIN f ON f.ws = walk.ws AND f.node = walk.at)
+    walk(ws, node, here, d) AS (SELECT ws, node, node, 0 FROM n UNION ALL
+      SELECT walk.ws, walk.node, f.up, d + 1 FROM walk JOIN n ON n.ws = walk.ws AND n.node = walk.here JOIN f ON f.ws = walk.ws AND f.node = walk.here)
     SELECT ws AS workspace_id, CAST(node AS VARCHAR) AS node_id, max(d) AS chain_depth FROM walk GROUP BY 1, 2""",
 )
 def g8_chains_of_files(t):

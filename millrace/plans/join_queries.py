@@ -210,7 +210,7 @@ def j9_fuzzy_verdicts(t):
 @query(
     "j9_fuzzy_candidates",
     SCORE_SQL
-    + """SELECT hit.query_id, node_id, score FROM hit JOIN cnt ON hit.query_id = cnt.query_id WHERE n = 1 OR score = best""",
+    + """SELECT hit.query_id, hit.node_id, hit.score FROM hit JOIN cnt ON hit.query_id = cnt.query_id WHERE n = 1 OR score = best""",
 )
 def j9_fuzzy_candidates(t):
     return resolve.fuzzy_match_entities(entity_queries(t), c.nodes(t))[1]

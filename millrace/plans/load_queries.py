@@ -231,6 +231,24 @@ def l13_materialised_aggregate(t):
     return fresh.withColumn("total", F.col("total").cast("double"))
 
 
+@query(
+    "l13_signed_changes",
+    """WITH r AS (SELECT user_id % 40 AS k, ts, CASE WHEN event_id % 7 = 0 THEN value + 5 ELSE value END AS value FROM events WHERE event_id % 5 <> 0 AND user_id % 40 <> 3)
+    SELECT k, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total, min(ts) AS first_ts, max(CAST(value AS DECIMAL(18,2))) AS most FROM r GROUP BY 1""",
+)
+def l13_signed_changes(t):
+    """Rows that go, rows that change, rows that come and groups that end, without reading what stays."""
+    measures = {"n": load.Measure("count", "ts"), "total": load.Measure("sum", "amount"), "first_ts": load.Measure("min", "ts"), "most": load.Measure("max", "amount")}
+    rows = t.events.selectExpr("user_id % 40 AS k", "event_id", "ts", "cast(value as decimal(18,2)) AS amount")
+    stays, changed = "event_id % 5 <> 0 AND k <> 3", F.when(F.expr("event_id % 7 = 0"), F.col("amount") + 5).otherwise(F.col("amount")).cast("decimal(18,2)")
+    before = rows.where("event_id % 10 <> 1")
+    after = rows.where(stays).withColumn("amount", changed)
+    went = before.where(f"NOT ({stays}) OR event_id % 7 = 0").withColumn("sign", F.lit(-1))
+    came = after.where("event_id % 10 = 1 OR event_id % 7 = 0").withColumn("sign", F.lit(1))
+    state = load.apply_signed(load.signed_aggregate(before, ["k"], measures), went.unionByName(came), ["k"], measures, after)
+    return state.select("k", "n", F.col("total").cast("double").alias("total"), "first_ts", F.col("most"))
+
+
 @query(
     "l14_pivot",
     """SELECT o_custkey, nullif(count(*) FILTER (o_orderstatus = 'F'), 0) AS F, nullif(count(*) FILTER (o_orderstatus = 'O'), 0) AS O, nullif(count(*) FILTER (o_orderstatus = 'P'), 0) AS P FROM orders GROUP BY 1""",
@@ -339,6 +357,30 @@ def l18_profile(t):
     return load.profile(t.orders, ["o_custkey", "o_orderstatus"], exact=True)
 
 
+@query(
+    "l18_profile_of_parts",
+    """SELECT 'o_custkey' AS column_name, count(*) AS rows, count(*) - count(o_custkey) AS nulls, '' || min(o_custkey) AS least, '' || max(o_custkey) AS greatest, avg(o_custkey) AS mean, TRUE AS distinct_close, TRUE AS quantiles_close, CAST(NULL AS VARCHAR) AS most FROM orders
+       UNION ALL SELECT 'o_orderstatus', count(*), count(*) - count(o_orderstatus), min(o_orderstatus), max(o_orderstatus), NULL, TRUE, NULL, (SELECT o_orderstatus FROM orders GROUP BY 1 ORDER BY count(*) DESC LIMIT 1) FROM orders""",
+)
+def l18_profile_of_parts(t):
+    """Stored profiles of years, one of them made again, against exact counts and ranks."""
+    folder = Scratch(t.spark, "profile").path
+    rows = t.orders.withColumn("year", F.year("o_orderdate"))
+    last = rows.agg(F.max("year")).first()[0]
+    columns = ["o_custkey", "o_orderstatus"]
+    for some in (F.col("year") < last, F.col("year") == last):
+        load.profile_parts(rows.where(some), "year", columns).write.mode("append").parquet(folder)
+    found = load.profile_of_parts(t.spark.read.parquet(folder), columns)
+    exact = [rows.agg(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n")) for c in columns]
+    cuts = found.where("quantiles is not null").select("quantiles").first()[0]  # three numbers
+    near = [F.abs(F.count_if(F.col("o_custkey") <= cut) / F.count("*") - (k + 1) / 4) <= 0.03 for k, cut in enumerate(cuts)]
+    near = rows.agg(F.lit("o_custkey").alias("column_name"), (near[0] & near[1] & near[2]).alias("quantiles_close"))
+    out = found.join(exact[0].unionByName(exact[1]), "column_name").join(near, "column_name", "left")
+    close = F.abs(F.col("distinct_values") - F.col("n")) <= 0.05 * F.col("n")
+    most = F.when(F.col("column_name") == "o_orderstatus", F.col("frequent")[0]["value"])
+    return out.select("column_name", "rows", "nulls", "least", "greatest", "mean", close.alias("distinct_close"), "quantiles_close", most.alias("most"))
+
+
 CHECKS = {"positive": "value > 1", "known": "event_type IN ('view', 'click', 'purchase', 'signup')", "early": "ts < TIMESTAMP_NTZ '2024-01-25'"}
 
 

@@ -7,6 +7,7 @@ from millrace.operators.profile import variant_dedup
 from millrace.plans import catalogue as c
 from millrace.plans.catalogue import with_sql
 from millrace.plans.registry import query
+from millrace.sources.scratch import Scratch
 
 
 @query(
@@ -264,6 +265,37 @@ def p12_search_content(t):
     return search.search_content(searchable(t), c.node_columns(t), "AT")
 
 
+#: A hundred search texts of two to six characters, a tenth of which nothing holds.
+SEARCHES = """SELECT p_partkey AS query_id, CASE WHEN p_partkey % 10 = 9 THEN '#' ELSE '' END || substr(upper(p_type) || '_' || p_partkey, CAST(2 + p_partkey % 3 AS INT), CAST(2 + p_partkey % 5 AS INT)) AS query FROM part WHERE p_partkey < 100"""
+
+
+@query(
+    "p12_search_many",
+    with_sql("nodes", "node_columns")
+    + """, s AS (SELECT n.node_id, n.name, n.node_type,
+       'SELECT "A"."ID" FROM {{ ref(''L' || (n.node_id % 3) || ''', ''' || upper(p_type) || ''') }} "A"' ||
+        CASE WHEN n.node_id % 2 = 0 THEN ' JOIN "DB"."L' || (n.node_id % 5) || '"."T' || (n.node_id % 9) || '" "B" ON "A"."ID" = "B"."ID"' ELSE '' END ||
+        CASE WHEN n.node_id % 3 = 0 THEN ' GROUP BY "A"."ID"' ELSE '' END || CASE WHEN n.node_id % 4 = 0 THEN ' ORDER BY "A"."ID" DESC' ELSE '' END ||
+        CASE WHEN n.node_id % 5 = 0 THEN ' LIMIT 10' ELSE '' END AS sql, coalesce(d.text, n.description) AS description
+       FROM nodes n JOIN part ON p_partkey = n.node_id LEFT JOIN documents d ON d.doc_id = n.node_id),
+    m AS (SELECT node_id, 'name' AS field, CAST(NULL AS VARCHAR) AS column_name, name AS text, TRUE AS whole FROM s
+      UNION ALL SELECT node_id, 'nodeType', NULL, node_type, TRUE FROM s UNION ALL SELECT node_id, 'sql', NULL, sql, FALSE FROM s
+      UNION ALL SELECT node_id, 'description', NULL, description, FALSE FROM s
+      UNION ALL SELECT node_id, 'columnName', name, name, TRUE FROM node_columns
+      UNION ALL SELECT node_id, 'columnDataType', name, data_type, TRUE FROM node_columns),
+    q AS ("""
+    + SEARCHES
+    + """), h AS (SELECT q.query_id, length(query) AS size, m.*, instr(lower(text), lower(query)) AS p, length(text) AS n FROM m, q WHERE instr(lower(text), lower(query)) > 0)
+    SELECT query_id, node_id, field, column_name, CASE WHEN whole THEN text ELSE
+      CASE WHEN p > 61 THEN '…' ELSE '' END || substr(text, greatest(p - 60, 1), least(p - 1 + size + 60, n) - greatest(p - 60, 1) + 1) || CASE WHEN p - 1 + size + 60 < n THEN '…' ELSE '' END END AS snippet FROM h""",
+)
+def p12_search_many(t):
+    """From an index of the catalogue's texts, built once for all searches."""
+    folder = Scratch(t.spark, "textindex").path
+    search.index_content(searchable(t), c.node_columns(t), folder)
+    return search.search_indexed(t.spark, folder, t.part.where("p_partkey < 100").selectExpr("p_partkey AS query_id", SEARCHES.split("query_id, ")[1].split(" AS query FROM")[0] + " AS query"))
+
+
 @query(
     "p13_classify_node_family",
     with_sql("nodes")

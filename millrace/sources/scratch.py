@@ -6,6 +6,7 @@ executors, and gives the next round a scan whose size Catalyst knows.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -44,12 +45,22 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(where)
 
     def keep_only(self, *names: str) -> None:
-        """Remove all tables of the folder but these; nothing that is still read may depend on the others."""
+        """Remove all tables of the folder but these, and the shuffles of what has been written.
+
+        Nothing that is still read may depend on the others.
+        """
         files, target = self._folder()
         if files.exists(target):
             for found in files.listStatus(target):
                 if found.getPath().getName() not in names:
                     files.delete(found.getPath(), True)
+        self.free_shuffles()
+
+    def free_shuffles(self) -> None:
+        """Let go of finished steps: their shuffle files stay on the executors' disks until the driver's JVM finds that
+        nothing refers to them, which it does only when it collects garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def release(self) -> None:
         if self in Scratch.opened:
