@@ -59,11 +59,12 @@ _BINDS = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
 
 
-def postfix(text: str) -> list[str]:
-    """The longest leading expression of a line in postfix order; empty if there is none."""
-    out, stack, tokens, at, operand = [], [], [], 0, True
+def postfix(text: str, at: int = 0, end: int | None = None) -> list[str]:
+    """The longest expression that begins at a place of the text and stays on its line, in postfix order; empty if there is none."""
+    out, stack, tokens, operand = [], [], [], True
     depth, whole = 0, 0
-    while m := _TOKEN.match(text, at):
+    end = len(text) if end is None else end
+    while m := _TOKEN.match(text, at, end):
         token, low = m[1], m[1].lower()
         if operand != (token == "(" or token not in "()" and low not in _BINDS) or token == ")" and not depth:
             break
@@ -126,6 +127,7 @@ def scanned(texts: pa.Array) -> list[tuple]:
     rows, automaton = [], _automaton()
     for w in textops.words(texts, WORD):
         text, begins = _spaced(w)
+        raw = w.raw.tobytes().decode("latin-1")  # one character a byte; expressions are ASCII
         for r in range(len(w.first) - 1):
             lo, hi = int(w.first[r]), int(w.first[r + 1])
             base, labels, places, tags, free = [], set(), 0, 0, None
@@ -134,8 +136,8 @@ def scanned(texts: pa.Array) -> list[tuple]:
                 at = int(np.searchsorted(own, end - len(phrase) - 1))
                 if phrase == TAG:
                     last = lo + at + len(TAG.split()) - 1
-                    line = w.raw[w.ends[last] : w.offsets[r + 1]].tobytes().split(b"\n", 1)[0].decode("utf-8", "replace")
-                    if line.startswith(":") and (tokens := postfix(line[1:])):
+                    after = int(w.ends[last])
+                    if raw.startswith(":", after) and (tokens := postfix(raw, after + 1, int(w.offsets[r + 1]))):
                         names, ok = evaluated(tokens)
                         labels |= names
                         tags, free = tags + 1, ok and free is not False

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pyarrow as pa
 import pytest
@@ -61,6 +62,18 @@ def test_tags_are_read_to_the_end_of_their_line():
     assert row[5:] == ("isc,mit", 1 - 0.5**4, 2, True)
 
 
+def test_many_tags_in_one_text_take_time_in_proportion():
+    def seconds(n, between):
+        start = time.process_time()
+        row = licences.scanned(pa.array([f"SPDX-License-Identifier: MIT OR ISC{between}" * n]))[0]
+        assert row[7] == n and row[5] == "isc,mit"
+        return time.process_time() - start
+
+    for between in ("\n", " ; "):
+        seconds(1000, between)
+        assert seconds(80_000, between) < 30 * max(seconds(8_000, between), 0.05)
+
+
 def test_odd_rows_clashing_names_and_empty_tables(spark):
     docs = with_clashes(documents(spark, ODD))
     rows = licences.scan(docs).collect()
