@@ -12,7 +12,7 @@ hardest pairs there are, and the reach is the quantile of the bounds at which th
 ``PAIRED`` sample vectors, are met. With ``recall`` 1 it is the distance
 that the similarity allows, and nothing is missed, whatever the codebooks.
 
-Codebooks and reach are fitted on at most ``SAMPLE`` vectors, chosen by a hash of their id; all vectors are indexed. Equal vectors
+The number of codewords follows from the number of different vectors, so that the vectors of a cell stay as many. Codebooks and reach are fitted on at most ``SAMPLE`` vectors, chosen by a hash of their id; all vectors are indexed. Equal vectors
 count as one with a weight, so copies are never compared with each other. A cell is compared in blocks of at most ``BLOCK`` members and
 ``BLOCK`` visitors; a block returns sums for its visitors and a spanning forest of its links, never the pairs.
 
@@ -36,7 +36,9 @@ from millrace.llm.components import components
 from millrace.sources.scratch import Scratch
 
 SAMPLE = 10_000
-CODEWORDS = 16
+#: Codewords of each half: as many as leave about ``OCCUPANCY`` vectors in a cell of the grid, within these bounds.
+OCCUPANCY = 64
+CODEWORDS = (16, 512)
 RECALL = 0.999
 #: Sample vectors that are compared with each other for the reach.
 PAIRED = 2000
@@ -115,9 +117,16 @@ def reach_for(x: np.ndarray, one: np.ndarray, two: np.ndarray, cosine: float, re
     return min(most, reach) + SLACK
 
 
-def fitted(vectors: DataFrame, codewords: int, cosine: float, recall: float) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+def codewords_for(n: int) -> int:
+    """The grid grows with the vectors, so that a cell does not."""
+    least, most = CODEWORDS
+    return min(most, max(least, round((n / OCCUPANCY) ** 0.5)))
+
+
+def fitted(vectors: DataFrame, codewords: int | None, cosine: float, recall: float) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """Codebooks of both halves and the squared reach for each vector length, from a bounded sample."""
     n = vectors.count()
+    codewords = codewords or codewords_for(n)
     share = F.pmod(F.xxhash64("rep"), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SAMPLE / max(n, 1)))
     rows = vectors.where(share).select("embedding").toPandas()["embedding"]
     books = {}
@@ -190,7 +199,7 @@ def compared(visitors: pd.DataFrame, members: pd.DataFrame, least: float) -> tup
 
 def near_duplicates(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
-    cosine: float = 0.98, codewords: int = CODEWORDS, recall: float = RECALL,
+    cosine: float = 0.98, codewords: int | None = None, recall: float = RECALL,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``vectors``."""
     scratch = Scratch(vectors.sparkSession, "multiindex")

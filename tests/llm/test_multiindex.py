@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import multiindex
+from tests.llm.helpers import FOLDER
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -53,6 +54,28 @@ def test_recall_of_the_query_s_parameters(spark):
     assert sum(v[0] for v in found.values()) >= 0.99 * sum(v[0] for v in want.values()) > 0
 
 
+def test_query_s_table_with_planted_pairs(spark):
+    """The given vectors hold hardly a pair, so that copies turned by just under and just over the limit are added."""
+    given = spark.read.parquet(f"{FOLDER}/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    pick, rows = np.random.default_rng(7), [(r["vec_id"], r["embedding"], r["label"]) for r in given]
+    planted = 100_000
+    for k, (_, v, label) in enumerate(rows[:600]):
+        x = np.array(v, float)
+        away = pick.normal(size=len(x))
+        away -= (away @ x) / (x @ x) * x
+        cos = (0.9995, 0.985, 0.9801, 0.9799, 0.97)[k % 5]
+        turned = cos * x / np.sqrt(x @ x) + np.sqrt(1 - cos**2) * away / np.sqrt(away @ away)
+        rows.append((planted + k, [float(c) for c in np.float32(turned * 3)], label))
+    found, want = result(multiindex.near_duplicates(spark.createDataFrame(rows, SCHEMA))), brute(rows)
+    total = sum(v[0] for v in want.values())
+    assert total >= 2 * 300 and all(found[i][0] <= want[i][0] for i in want)
+    assert sum(v[0] for v in found.values()) >= 0.98 * total
+
+
+def test_cells_stay_as_full_as_the_vectors_grow():
+    assert [multiindex.codewords_for(n) for n in (0, 100, 64 * 40**2, 64 * 160**2, 10**12)] == [16, 16, 40, 160, 512]
+
+
 def test_traversal_visits_cells_in_ascending_order():
     pick = np.random.default_rng(5)
     one, two = pick.random(7), pick.random(9)
