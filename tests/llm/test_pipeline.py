@@ -1,5 +1,7 @@
 """Each stage on its own input against what it must keep."""
 
+import random
+
 import pytest
 
 import corpus_pipeline
@@ -37,6 +39,32 @@ def test_language_keeps_all_texts_with_letters(kept):
     assert ids(after) == ids(before.where(r"text rlike '\\p{L}'"))
 
 
+def test_language_rejects_scripts_and_letters_that_no_language_has(spark):
+    pick = random.Random(3)
+    given = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    scripts = {"a-z": (97, 123), "cyrillic": (0x430, 0x450), "greek": (0x3B1, 0x3C9), "arabic": (0x627, 0x64A), "cjk": (0x4E00, 0x5E00), "kana": (0x3042, 0x3090)}
+    rows = []
+    for name, (lo, hi) in scripts.items():
+        # three words of random letters a-z cannot be told from words of a language
+        for n in (40, 300, 3000) if name == "a-z" else (3, 40, 300, 3000):
+            words = ["".join(chr(pick.randrange(lo, hi)) for _ in range(pick.randint(2, 9))) for _ in range(n)]
+            rows.append((10_000 + len(rows), " ".join(words), None, "s", n))
+    clean = given.where("lang is not null and n_chars > 100").limit(40).collect()
+    # a very long text of one language, and one whose lang is missing
+    long = " ".join(r["text"] for r in given.where("lang = 'en'").limit(60).collect()) + " "
+    rows += [(20_000, long * 12, None, "s", 1), *[(20_001 + k, r["text"], None, "s", 1) for k, r in enumerate(clean)]]
+    found = corpus_pipeline.language(spark, given.unionByName(spark.createDataFrame(rows, given.schema)), FOLDER)
+    kept = {r["doc_id"]: r["lang"] for r in found.where("doc_id >= 10000").collect()}
+    assert kept == {20_000: "en"} | {20_001 + k: r["lang"] for k, r in enumerate(clean)}
+
+
+def test_rows_of_one_id_are_kept_by_their_texts(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1), None, None, 1), (1, text(2), None, None, 2), (1, text(2), None, None, 3), (2, text(1) + " more", None, None, 4), (3, text(3), None, None, 5), (None, text(1), None, None, 6), (4, None, None, None, 7), (4, "", None, None, 8)]
+    kept = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), FOLDER).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in kept) == sorted([(1, text(1)), (1, text(2)), (3, text(3)), (0, text(1)), (4, ""), (4, "")])
+
+
 def test_one_of_each_group_stays(kept):
     _, before, after = kept[1]
     want = brute([(r["doc_id"], r["text"]) for r in before.collect()])
