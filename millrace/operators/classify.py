@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import rules
 from millrace.functions.names import base_type
+from millrace.functions.spread import spread
 
 
 def infer_types(columns: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def infer_column_roles(columns: DataFrame) -> DataFrame:
         F.bool_or(marked_key).alias("__any_key"), F.bool_or(marked_track).alias("__any_track")
     )
     return (
-        columns.join(marks, "node_id")
+        columns.join(spread(marks), "node_id")
         .withColumns(
             {
                 "is_timestamp": name.rlike(rules.TIMESTAMP_NAME),
