@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.names import norm
+from millrace.functions.spread import spread
 
 JOIN_TYPES = ("inner", "left", "right", "full")
 
@@ -35,7 +36,7 @@ def suggest_joins(columns: DataFrame) -> DataFrame:
     holders = key_holders(columns)
     first = holders.groupBy("node_id", "key").agg(F.min("pos").alias("first_pos"))
     partner = (
-        holders.join(first, ["node_id", "key"])
+        holders.join(spread(first), ["node_id", "key"])
         .filter(F.col("first_pos") < F.col("pos"))
         .groupBy("node_id", "pos")
         .agg(F.min("first_pos").alias("left_pos"))
@@ -52,7 +53,7 @@ def common_columns(holders: DataFrame, pairs: DataFrame) -> DataFrame:
     right = holders.select(
         "node_id", F.col("pos").alias("right_pos"), F.col("pred_id").alias("right_id"), "key", F.col("name").alias("right_name")
     )
-    return pairs.join(right, ["node_id", "right_pos"]).join(left, ["node_id", "left_pos", "key"]).select(
+    return pairs.join(spread(right), ["node_id", "right_pos"]).join(spread(left), ["node_id", "left_pos", "key"]).select(
         "node_id", "left_pos", "right_pos", "left_id", "right_id", "key", "left_name", "right_name"
     )
 

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.functions import ordered
+from millrace.functions.spread import spread
 from millrace.operators import joins, resolve
 from millrace.plans import catalogue as c
 from millrace.plans.catalogue import with_sql
@@ -31,7 +32,7 @@ def j1_suggest_joins(t):
     edges = c.edges(t).selectExpr("dst AS node_id", "src AS pred_id")
     placed = ordered.numbered(edges, ["node_id"], "pred_id", None, "pos")
     cols = c.node_columns(t).selectExpr("node_id AS pred_id", "ordinal", "name")
-    return joins.suggest_joins(placed.join(cols, "pred_id"))
+    return joins.suggest_joins(placed.join(spread(cols), "pred_id"))
 
 
 @query(
