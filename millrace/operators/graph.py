@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import norm, trim
+from millrace.functions.spread import spread
 from millrace.sources.scratch import Scratch
 
 # Function names that look like an alias in ``NAME.COLUMN`` text.
@@ -61,12 +62,12 @@ def extract_edges(nodes: DataFrame, rule: str = "lineage", refs: DataFrame | Non
         found, inside = named, False
         if refs is not None:
             other = refs.select("workspaceID", F.col("src_node").alias("src"), F.col("dst_node").alias("dst"))
-            found = named.unionByName(other.join(named.select("workspaceID", "dst").distinct(), ["workspaceID", "dst"], "left_anti"))
+            found = named.unionByName(other.join(spread(named.select("workspaceID", "dst").distinct()), ["workspaceID", "dst"], "left_anti"))
     else:
         raise ValueError("rule is lineage, health, review or join")
     found = found.filter("src IS NOT NULL").distinct()
     if inside:
-        found = found.join(nodes.select(ws, F.col("id").alias("src")), ["workspaceID", "src"], "left_semi")
+        found = found.join(spread(nodes.select(ws, F.col("id").alias("src"))), ["workspaceID", "src"], "left_semi")
     return found.select("workspaceID", "src", "dst")
 
 
@@ -78,6 +79,15 @@ def column_edges(refs: DataFrame) -> DataFrame:
 # ---- traversal -----------------------------------------------------------------------------
 
 
+#: Rows of a written round that are still sent to every executor; more are joined by a shuffle.
+SMALL_ROUND = 100_000
+
+
+def _small_or_spread(df: DataFrame) -> DataFrame:
+    """A written table, measured by its number of rows: its files are far smaller than what they hold."""
+    return df if df.count() <= SMALL_ROUND else spread(df)
+
+
 #: Roots that share a row: one bit each.
 ROOT_BITS = 64
 
@@ -109,11 +119,11 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
     while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
         depth += 1
         seen = spark.read.schema(shape).parquet(*[f"{scratch.path}/reached/depth={d}" for d in range(depth)])
-        reached = scratch.write(masks(frontier.join(step, "node"), "next"), f"candidates/{depth}")
+        reached = scratch.write(masks(_small_or_spread(frontier).join(step, "node"), "next"), f"candidates/{depth}")
         # Only what was seen among the candidates matters: late rounds have few of them, so they are
         # broadcast against the seen masks, which then need no shuffle.
-        known = masks(seen.join(reached.select("node", "block"), ["node", "block"], "left_semi"), "node").withColumnRenamed("mask", "old")
-        fresh = reached.join(known, ["node", "block"], "left").withColumn("mask", F.expr("mask & ~coalesce(old, 0L)")).where("mask <> 0")
+        known = masks(seen.join(_small_or_spread(reached).select("node", "block"), ["node", "block"], "left_semi"), "node").withColumnRenamed("mask", "old")
+        fresh = _small_or_spread(reached).join(known, ["node", "block"], "left").withColumn("mask", F.expr("mask & ~coalesce(old, 0L)")).where("mask <> 0")
         frontier = scratch.write(fresh.select(*shape.names), f"reached/depth={depth}")
     members = scratch.write(roots.groupBy("block").agg(F.collect_list(F.struct("bit", "root")).alias("roots")), "members")
     scratch.keep_only("reached", "members")
@@ -147,7 +157,7 @@ def column_lineage(col_edges: DataFrame, roots: DataFrame, columns: DataFrame) -
 
 def _known_columns(reached: DataFrame, columns: DataFrame) -> DataFrame:
     flat = reached.withColumns({"node_id": F.col("node.p0"), "column_id": F.col("node.p1")}).drop("node")
-    return flat.join(columns.select("node_id", "column_id", "name"), ["node_id", "column_id"])
+    return flat.join(spread(columns.select("node_id", "column_id", "name")), ["node_id", "column_id"])
 
 
 def impact_nodes(edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -162,7 +172,7 @@ def impact_columns(col_edges: DataFrame, columns: DataFrame, roots: DataFrame) -
     """
     own = columns.select(F.col("node_id").alias("root"), "column_id")
     keys = ["root", "column_id"] if "column_id" in roots.columns else ["root"]
-    start = own.join(roots.select(*keys).distinct(), keys, "left_semi")
+    start = own.join(spread(roots.select(*keys).distinct()), keys, "left_semi")
     start = start.select("root", F.struct(F.col("root").alias("p0"), F.col("column_id").alias("p1")).alias("node"))
     return _known_columns(traverse(col_edges, start), columns)
 
@@ -171,7 +181,7 @@ def impact_summary(nodes_hit: DataFrame, columns_hit: DataFrame) -> DataFrame:
     """Per root: how many nodes and columns are hit, and how deep it goes."""
     n = nodes_hit.groupBy("root").agg(F.count(F.lit(1)).alias("impacted_nodes"), F.max("depth").alias("deepest"))
     c = columns_hit.groupBy("root").agg(F.count(F.lit(1)).alias("impacted_columns"))
-    return n.join(c, "root", "full").fillna(0, ["impacted_nodes", "impacted_columns", "deepest"])
+    return n.join(spread(c), "root", "full").fillna(0, ["impacted_nodes", "impacted_columns", "deepest"])
 
 
 def impact_by_depth(nodes_hit: DataFrame) -> DataFrame:
@@ -192,10 +202,10 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
     starts = scratch.write(starts.select("root", "node").distinct(), "starts")
     reach = traverse(edges, starts).select("root", "node").unionByName(starts)
     step = edges.select(F.col("src").alias("node"), F.col("dst").alias("next")).distinct()
-    inner = scratch.write(reach.join(step, "node").select("root", "node", "next"), "inner")
+    inner = scratch.write(reach.join(spread(step), "node").select("root", "node", "next"), "inner")
     need = scratch.write(inner.groupBy("root", F.col("next").alias("node")).agg(F.count(F.lit(1)).alias("need")), "need")
     kind = edges.schema["src"].dataType
-    first = starts.join(need, ["root", "node"], "left_anti")
+    first = starts.join(spread(need), ["root", "node"], "left_anti")
     ready = scratch.write(
         first.select("root", "node", F.lit(0).alias("neg"), F.lit(None).cast(kind).alias("prev")), "ready/round=0"
     )
@@ -203,13 +213,13 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
     waiting, rnd = None, 0
     while not ready.isEmpty():
         rnd += 1
-        sent = ready.join(inner, ["root", "node"]).groupBy("root", F.col("next").alias("node")).agg(
+        sent = _small_or_spread(ready).join(inner, ["root", "node"]).groupBy("root", F.col("next").alias("node")).agg(
             F.count(F.lit(1)).alias("got"), F.min(F.struct((F.col("neg") - 1).alias("neg"), F.col("node").alias("prev"))).alias("best")
         )
         if waiting is not None:
             sent = waiting.unionByName(sent).groupBy("root", "node").agg(F.sum("got").alias("got"), F.min("best").alias("best"))
         state = scratch.write(
-            sent.join(need, ["root", "node"]).select("root", "node", "got", "best", (F.col("got") == F.col("need")).alias("full")),
+            sent.join(spread(need), ["root", "node"]).select("root", "node", "got", "best", (F.col("got") == F.col("need")).alias("full")),
             f"state/{rnd}",
         )
         ready = scratch.write(state.filter("full").select("root", "node", "best.neg", "best.prev"), f"ready/round={rnd}")
@@ -218,7 +228,7 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
     if waiting is not None:
         done = done.unionByName(waiting.select("root", "node", "best.neg", "best.prev"))
     out = done.select("root", "node", (-F.col("neg")).alias("dist"), "prev")
-    stuck = starts.join(out, ["root", "node"], "left_anti")
+    stuck = starts.join(spread(out), ["root", "node"], "left_anti")
     return out.unionByName(stuck.select("root", "node", F.lit(0).alias("dist"), F.lit(None).cast(kind).alias("prev")))
 
 
@@ -234,7 +244,7 @@ def critical_path(edges: DataFrame, roots: DataFrame) -> DataFrame:
     names = [f"{scratch.path}/walk/0"]
     while True:
         rnd += 1
-        moved = here.join(back, ["root", "node"]).select("root", (F.col("position") - 1).alias("position"), F.col("prev").alias("node"))
+        moved = _small_or_spread(here).join(back, ["root", "node"]).select("root", (F.col("position") - 1).alias("position"), F.col("prev").alias("node"))
         here = scratch.write(moved, f"walk/{rnd}")
         if here.isEmpty():
             break
@@ -257,7 +267,7 @@ def _followed(up: DataFrame, scratch: Scratch, name: str) -> tuple[DataFrame, bo
         if reach > most:
             return rows, False
         far = rows.select(F.col("node_id").alias("at"), *[F.col(c).alias(f"far_{c}") for c in ("at", "hops", "low", "done")])
-        moved = rows.filter("not done").join(far, "at", "left").select(
+        moved = rows.filter("not done").join(spread(far), "at", "left").select(
             "node_id",
             F.coalesce("far_at", "at").alias("at"),
             (F.col("hops") + F.coalesce("far_hops", F.lit(0))).alias("hops"),
@@ -276,7 +286,7 @@ def chain_depth(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     rank = F.min_by("src", "pos") if "pos" in edges.columns else F.max("src")
     first = edges.groupBy(F.col("dst").alias("node_id")).agg(rank.alias("up"))
     scratch = Scratch(nodes.sparkSession, "chain")
-    up = scratch.write(nodes.select("node_id").distinct().join(first, "node_id", "left"), "up")
+    up = scratch.write(nodes.select("node_id").distinct().join(spread(first), "node_id", "left"), "up")
     rows, ended = _followed(up, scratch, "way")
     depth = rows.select("node_id", F.col("hops").cast("int").alias("chain_depth"))
     if ended:
@@ -294,7 +304,7 @@ def graph_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """One row per workspace: roots, leaves, mean fan-out to one decimal, greatest depth."""
     out_deg = edges.groupBy(F.col("src").alias("node_id")).agg(F.count(F.lit(1)).alias("out"))
     in_deg = edges.groupBy(F.col("dst").alias("node_id")).agg(F.count(F.lit(1)).alias("in"))
-    deg = nodes.select("workspace_id", "node_id").join(out_deg, "node_id", "left").join(in_deg, "node_id", "left")
+    deg = nodes.select("workspace_id", "node_id").join(spread(out_deg), "node_id", "left").join(spread(in_deg), "node_id", "left")
     stats = deg.groupBy("workspace_id").agg(
         F.count_if(F.col("in").isNull()).alias("root_nodes"),
         F.count_if(F.col("out").isNull()).alias("leaf_nodes"),
@@ -323,8 +333,8 @@ def propagate_column_change(columns: DataFrame, col_edges: DataFrame, changes: D
     )
     new = nearest.select(
         F.col("node.p0").alias("node_id"), F.col("node.p1").alias("column_id"), F.col("m.root").alias("root")
-    ).join(named, "root").drop("root")
-    both = columns.join(new.withColumn("changed", F.lit(True)), ["node_id", "column_id"], "left")
+    ).join(spread(named), "root").drop("root")
+    both = columns.join(spread(new.withColumn("changed", F.lit(True))), ["node_id", "column_id"], "left")
     after = both.withColumns(
         {
             "name": F.coalesce("new_name", "name"),
@@ -454,6 +464,6 @@ def preserve_lineage(new_columns: DataFrame, old_columns: DataFrame) -> DataFram
     Both: node_id, name, refs (array, may be null or empty).
     """
     old = old_columns.filter(F.size("refs") > 0).groupBy("node_id", norm("name").alias("__key")).agg(F.max("refs").alias("__old"))
-    joined = new_columns.withColumn("__key", norm("name")).join(old, ["node_id", "__key"], "left")
+    joined = new_columns.withColumn("__key", norm("name")).join(spread(old), ["node_id", "__key"], "left")
     own = F.coalesce(F.size("refs") > 0, F.lit(False))
     return joined.withColumn("refs", F.when(own, F.col("refs")).otherwise(F.coalesce("__old", "refs"))).drop("__key", "__old")

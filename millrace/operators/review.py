@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions import rules
 from millrace.functions.names import base_type, non_blank, norm
+from millrace.functions.spread import spread
 from millrace.operators import graph
 from millrace.operators.profile import detect_methodology
 from millrace.operators.sets import union_all
@@ -46,8 +47,8 @@ def _column_counts(columns: DataFrame, refs: DataFrame | None) -> DataFrame:
     own = columns.select("node_id", "column_id", norm("name").alias("key"), through.alias("passes"))
     unused = F.lit(None).cast("long")
     if refs is not None:
-        used = refs.select(F.col("src_node").alias("node_id"), F.col("src_column").alias("column_id")).distinct().join(own, ["node_id", "column_id"])
-        own = own.join(used.select("node_id", "key").distinct().withColumn("used", F.lit(1)), ["node_id", "key"], "left")
+        used = refs.select(F.col("src_node").alias("node_id"), F.col("src_column").alias("column_id")).distinct().join(spread(own), ["node_id", "column_id"])
+        own = own.join(spread(used.select("node_id", "key").distinct().withColumn("used", F.lit(1))), ["node_id", "key"], "left")
         unused = F.count_if(F.col("used").isNull())
     return own.groupBy("node_id").agg(F.count(F.lit(1)).alias("n"), F.bool_and("passes").alias("all_pass"), unused.alias("unused"))
 
@@ -62,11 +63,11 @@ def facts(nodes: DataFrame, edges: DataFrame | None = None, columns: DataFrame |
         kimball = detect_methodology(nodes).filter("methodology = 'kimball'").select("workspace_id", F.lit(True).alias("kimball"))
         out = out.join(kimball, "workspace_id", "left")
     if edges is not None:
-        out = out.join(_degrees(edges), "node_id", "left").fillna(0, ["succs", "preds"])
+        out = out.join(spread(_degrees(edges)), "node_id", "left").fillna(0, ["succs", "preds"])
     if joins is not None:
-        out = out.join(joins.filter(non_blank("join_condition")).select("node_id").distinct().withColumn("joined", F.lit(True)), "node_id", "left")
+        out = out.join(spread(joins.filter(non_blank("join_condition")).select("node_id").distinct().withColumn("joined", F.lit(True))), "node_id", "left")
     if columns is not None:
-        out = out.join(_column_counts(columns, refs), "node_id", "full")
+        out = out.join(spread(_column_counts(columns, refs)), "node_id", "full")
     return out
 
 
@@ -142,7 +143,7 @@ def _skipped(known: DataFrame, edges: DataFrame) -> DataFrame:
     layered = known.where("is_node").select("node_id", "name", "layer", rules.layer_rank(F.col("layer")).alias("rank"))
     down = layered.filter("rank > 0").select(F.col("node_id").alias("dst"), F.col("layer").alias("d_layer"), F.col("rank").alias("d_rank"))
     up = layered.filter("rank >= 0").select(F.col("node_id").alias("src"), "name", F.col("layer").alias("s_layer"), F.col("rank").alias("s_rank"))
-    hit = edges.join(down, "dst").join(up, "src").filter("d_rank - s_rank > 1").withColumnRenamed("dst", "node_id")
+    hit = edges.join(spread(down), "dst").join(spread(up), "src").filter("d_rank - s_rank > 1").withColumnRenamed("dst", "node_id")
     message = _text(F.col("d_layer"), " node reads ", F.col("name"), " in ", F.col("s_layer"))
     return _finding(hit, "suggestion", "layer_violation", message)
 

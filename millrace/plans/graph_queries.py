@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from millrace.functions.spread import spread
 from millrace.operators import graph, review, runs, sorting
 from millrace.plans import catalogue as c
 from millrace.plans.catalogue import AS_OF, with_sql
@@ -164,7 +165,7 @@ LONGEST = with_sql("edges").replace("WITH", "WITH RECURSIVE", 1) + """, walk(nod
 )
 def g7_longest_paths(t):
     e = c.edges(t)
-    starts = all_roots(t).join(e.select(F.col("dst").alias("root")), "root", "left_anti")
+    starts = all_roots(t).join(spread(e.select(F.col("dst").alias("root"))), "root", "left_anti")
     return graph.longest_paths(e, starts.select(F.lit(0).alias("root"), F.col("root").alias("node"))).select("node", "dist", "prev")
 
 
@@ -178,7 +179,7 @@ def g7_longest_paths(t):
 )
 def g7_critical_path(t):
     e = c.edges(t)
-    roots = all_roots(t).join(e.select(F.col("dst").alias("root")), "root", "left_anti")
+    roots = all_roots(t).join(spread(e.select(F.col("dst").alias("root"))), "root", "left_anti")
     return graph.critical_path(e, roots)
 
 
@@ -379,7 +380,7 @@ def wide_columns(t):
 def narrow_refs(t):
     """References to identifiers and codes only."""
     read = c.node_columns(t).filter("name IN ('ID', 'CODE')").selectExpr("column_id AS src_column")
-    return c.column_refs(t).join(read, "src_column", "left_semi")
+    return c.column_refs(t).join(spread(read), "src_column", "left_semi")
 
 
 @query(
