@@ -371,14 +371,14 @@ def l18_profile_of_parts(t):
     for some in (F.col("year") < last, F.col("year") == last):
         load.profile_parts(rows.where(some), "year", columns).write.mode("append").parquet(folder)
     found = load.profile_of_parts(t.spark.read.parquet(folder), columns)
-    exact = [rows.agg(F.lit(c).alias("column_name"), F.count_distinct(c).alias("n")) for c in columns]
     cuts = found.where("quantiles is not null").select("quantiles").first()[0]  # three numbers
     near = [F.abs(F.count_if(F.col("o_custkey") <= cut) / F.count("*") - (k + 1) / 4) <= 0.03 for k, cut in enumerate(cuts)]
-    near = rows.agg(F.lit("o_custkey").alias("column_name"), (near[0] & near[1] & near[2]).alias("quantiles_close"))
-    out = found.join(exact[0].unionByName(exact[1]), "column_name").join(near, "column_name", "left")
+    near = rows.agg(near[0] & near[1] & near[2]).first()[0]  # one flag; joined by its literal name, it would leave no key to join by
+    exact = [rows.select(c).distinct().agg(F.lit(c).alias("column_name"), F.count(c).alias("n")) for c in columns]
+    out = found.join(exact[0].unionByName(exact[1]), "column_name")
     close = F.abs(F.col("distinct_values") - F.col("n")) <= 0.05 * F.col("n")
-    most = F.when(F.col("column_name") == "o_orderstatus", F.col("frequent")[0]["value"])
-    return out.select("column_name", "rows", "nulls", "least", "greatest", "mean", close.alias("distinct_close"), "quantiles_close", most.alias("most"))
+    most = F.when(F.col("column_name") == "o_orderstatus", F.get("frequent", F.lit(0))["value"])
+    return out.select("column_name", "rows", "nulls", "least", "greatest", "mean", close.alias("distinct_close"), F.when(F.col("column_name") == "o_custkey", F.lit(near)).cast("boolean").alias("quantiles_close"), most.alias("most"))
 
 
 CHECKS = {"positive": "value > 1", "known": "event_type IN ('view', 'click', 'purchase', 'signup')", "early": "ts < TIMESTAMP_NTZ '2024-01-25'"}
