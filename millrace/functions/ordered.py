@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from pyspark.sql import types as T
 
 from millrace.sources.scratch import Scratch
@@ -295,6 +295,16 @@ def _joined(part: str, before: Column | None, inside: Column, after: Column | No
     return total
 
 
+def _over(frame: Frame, part: str, value: Column, ahead: WindowSpec, back: WindowSpec) -> Column:
+    """The part over the frame's rows. ``back`` orders as ``ahead`` does, from the other end: what runs from near a row to the end is
+    made again for every row in Spark's frames, but going back it is one running aggregate."""
+    if frame.following is None and frame.preceding is not None:
+        turned = {"first": "last", "last": "first"}.get(part, part)
+        return _part(turned, value).over(back.rowsBetween(Window.unboundedPreceding, frame.preceding))
+    ends = Window.unboundedPreceding if frame.preceding is None else -frame.preceding, Window.unboundedFollowing if frame.following is None else frame.following
+    return _part(part, value).over(ahead.rowsBetween(*ends))
+
+
 def _made(frame: Frame, parts: dict[str, Column]) -> Column:
     if frame.function == "avg":
         return parts["sum"].cast("double") / parts["count"]
@@ -322,11 +332,12 @@ def _framed(df: DataFrame, frames: dict[str, Frame], hot_rows: int, block_rows:
 
     def plain(rows: DataFrame) -> DataFrame:
         w = Window.partitionBy(*keys).orderBy(*_order(order, tie, descending))
-        made = {}
-        for name, f in frames.items():
-            ends = Window.unboundedPreceding if f.preceding is None else -f.preceding, Window.unboundedFollowing if f.following is None else f.following
-            made[name] = _made(f, {p: _part(p, _value(f, p)).over(w.rowsBetween(*ends)) for p in _PARTS[f.function]})
-        return rows.withColumns(made)
+        back = Window.partitionBy(*keys).orderBy(F.desc("__at"))
+        turned = any(f.following is None and f.preceding is not None for f in frames.values())
+        rows = rows.withColumn("__at", F.row_number().over(w)) if turned else rows  # so that both ways agree on equal rows
+        w = Window.partitionBy(*keys).orderBy("__at") if turned else w
+        made = {name: _made(f, {p: _over(f, p, _value(f, p), w, back) for p in _PARTS[f.function]}) for name, f in frames.items()}
+        return rows.withColumns(made).drop("__at")
 
     if hot.keys is None:
         return plain(df)
@@ -349,21 +360,20 @@ def _in_blocks(df: DataFrame, frames: dict[str, Frame], hot: Hot, block_rows: in
     blocks = F.array_compact(F.array(block, F.when(place >= size - before, block + 1), F.when(place < after, block - 1)))
     placed = rows.withColumn("__for", F.explode(blocks)).withColumn("__own", F.col("__for") == F.col("__block"))
 
-    w = Window.partitionBy(*keys, "__for").orderBy("__at")
+    w, back = (Window.partitionBy(*keys, "__for").orderBy(at) for at in ("__at", F.desc("__at")))
     far = {}  # aggregates of whole blocks, for unbounded sides
     inside, parts = {}, {}
     for n, (name, f) in enumerate(frames.items()):
         parts[name] = {}
         for p in _PARTS[f.function]:
             column = f"__f{n}_{p}"
-            ends = Window.unboundedPreceding if f.preceding is None else -f.preceding, Window.unboundedFollowing if f.following is None else f.following
             # rows of the block before belong to what lies before, if that side is unbounded, and likewise behind
             counted = None
             if f.preceding is None:
                 counted = F.col("__block") >= F.col("__for")
             if f.following is None:
                 counted = (F.col("__block") <= F.col("__for")) & (F.lit(True) if counted is None else counted)
-            inside[column] = _part(p, _value(f, p, counted)).over(w.rowsBetween(*ends))
+            inside[column] = _over(f, p, _value(f, p, counted), w, back)
             sides = [None, None]
             for side, open_ in enumerate((f.preceding is None, f.following is None)):
                 if open_:
