@@ -147,6 +147,13 @@ def _is_comment(piece: Column) -> Column:
     return piece.startswith("--") | piece.startswith("/*")
 
 
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are made once for each row. As a row of its own, a text is not made again by each expression
+    and filter that reads it, as the optimizer would have it for a plain column."""
+    made = F.inline(F.array(F.struct(*[v.alias(n) for n, v in columns.items()])))
+    return df.select("*", made)
+
+
 def strip_comments(sql: Column) -> Column:
     """Without comments; what looks like one inside quotes stays."""
     return _pieces(sql, lambda t: F.when(_is_comment(t), "").otherwise(t))
@@ -223,16 +230,14 @@ def diff_sources(corpus: DataFrame, before: str = "before_sql", after: str = "af
     """
     # A column of its own for each mask, so that it is made once.
     texts = corpus.select("node_id", F.col(before).alias("__before"), F.col(after).alias("__sql"))
-    texts = texts.withColumns({"__mb": flat(F.col("__before"), False), "__ma": flat(F.col("__sql"), False)})
+    texts = _once(texts, __mb=flat(F.col("__before"), False), __ma=flat(F.col("__sql"), False))
     b, a = from_block(F.col("__before"), F.col("__mb")), from_block(F.col("__sql"), F.col("__ma"))
 
     def keys(block: Column) -> Column:
         pairs = source_names(block)
         return F.array_distinct(F.transform(pairs, lambda s: F.concat_ws("::", F.upper(s["location"]), F.upper(s["name"]))))
 
-    rows = texts.withColumns({"__b": b, "__a": a}).withColumns(
-        {"b_keys": keys(F.col("__b")), "a_keys": keys(F.col("__a"))}
-    )
+    rows = _once(_once(texts, __b=b, __a=a), b_keys=keys(F.col("__b")), a_keys=keys(F.col("__a")))
     rows = rows.withColumns(
         {"added": F.sort_array(F.array_except("a_keys", "b_keys")), "removed": F.sort_array(F.array_except("b_keys", "a_keys"))}
     )
@@ -253,9 +258,9 @@ PLAIN_REF = (
 )
 
 
-def order_items(sql: Column) -> Column:
-    """Plain ORDER BY columns as (name, direction); other expressions are left out."""
-    clause = F.regexp_extract(top_level(sql), r"(?is)\border\s+by\s+(.*?)(?=\blimit\b|\boffset\b|;|$)", 1)
+def order_items(sql: Column, top: Column | None = None) -> Column:
+    """Plain ORDER BY columns as (name, direction); other expressions are left out. ``top``: ``top_level(sql)`` if it is at hand."""
+    clause = F.regexp_extract(top_level(sql) if top is None else top, r"(?is)\border\s+by\s+(.*?)(?=\blimit\b|\boffset\b|;|$)", 1)
     bare = F.transform(F.split(clause, ","), lambda i: F.regexp_replace(F.trim(i), r"(?i)\s+nulls\s+(first|last)\s*$", ""))
     direction = lambda i: F.when(i.rlike(r"(?i)\sdesc$"), "desc").otherwise("asc")
     named = F.transform(
@@ -268,10 +273,11 @@ def order_items(sql: Column) -> Column:
     )
 
 
-def limit_value(sql: Column) -> Column:
+def limit_value(sql: Column, top: Column | None = None) -> Column:
     """The number of a plain trailing LIMIT, -1 for an offset or range form, null for none."""
-    tail = F.regexp_extract(top_level(sql), r"(?is)\blimit\s+(\d+)\s*([^;]*)", 1)
-    rest = F.trim(F.regexp_extract(top_level(sql), r"(?is)\blimit\s+(\d+)\s*([^;]*)", 2))
+    top = top_level(sql) if top is None else top
+    tail = F.regexp_extract(top, r"(?is)\blimit\s+(\d+)\s*([^;]*)", 1)
+    rest = F.trim(F.regexp_extract(top, r"(?is)\blimit\s+(\d+)\s*([^;]*)", 2))
     return F.when(tail == "", None).when(rest == "", tail.cast("int")).when(rest.rlike(r"(?i)^,\s*\d+|^offset\b"), -1)
 
 
@@ -281,15 +287,16 @@ def diff_tail(corpus: DataFrame) -> DataFrame:
     Input: node_id, sql, group_by_all, order_by (booleans), order_items (array of name, direction),
     join_condition (holds the stored LIMIT).
     """
-    sql, top = F.col("sql"), top_level(F.col("sql"))
-    rows = corpus.withColumns(
-        {
-            "__grouped": top.rlike(r"(?i)\bgroup\s+by\b"),
-            "__ordered": top.rlike(r"(?i)\border\s+by\b"),
-            "__items": order_items(sql),
-            "__limit": limit_value(sql),
-            "__old_limit": F.when(limit_value(F.col("join_condition")) >= 0, limit_value(F.col("join_condition"))),
-        }
+    sql, top, old_top = F.col("sql"), F.col("__top"), F.col("__old_top")
+    tops = _once(corpus, __top=top_level(sql), __old_top=top_level(F.col("join_condition")))
+    old_limit = limit_value(F.col("join_condition"), old_top)
+    rows = _once(
+        tops,
+        __grouped=top.rlike(r"(?i)\bgroup\s+by\b"),
+        __ordered=top.rlike(r"(?i)\border\s+by\b"),
+        __items=order_items(sql, top),
+        __limit=limit_value(sql, top),
+        __old_limit=F.when(old_limit >= 0, old_limit),
     )
     had_group, had_order = F.coalesce("group_by_all", F.lit(False)), F.coalesce("order_by", F.lit(False))
     has_items = F.size("__items") > 0
@@ -389,14 +396,14 @@ def _kind(grouped: Column, joined: Column) -> Column:
 
 def cte_profile(corpus: DataFrame, sql: str = "sql") -> DataFrame:
     """One row per CTE: its position, what it does, and which other CTEs it names."""
-    text, mask = masked(F.col(sql)), flat(F.col(sql))
-    names = F.transform(F.regexp_extract_all(mask, F.lit(CTE), F.lit(1)), F.upper)
-    rows = corpus.filter(text.rlike(r"(?is)^\s*WITH\b")).select("node_id", text.alias("text"), mask.alias("mask"), names.alias("names"))
+    rows = _once(corpus.select("node_id", F.col(sql).alias("sql")), text=masked(F.col("sql"))).filter(F.col("text").rlike(r"(?is)^\s*WITH\b"))
+    rows = _once(rows.select("node_id", "sql", "text"), mask=flat(F.col("sql"))).drop("sql")
+    rows = _once(rows, names=F.transform(F.regexp_extract_all("mask", F.lit(CTE), F.lit(1)), F.upper))
     rows = rows.select("*", F.posexplode("names").alias("position", "cte"))
     # The mask is as long as the text, so that a place found in one holds in the other.
     whole = F.concat(F.lit(r"(?is)\b"), "cte", F.lit(rf"\s+AS\s*{INNER}+"))
     rows = rows.withColumn("body", F.substring("text", F.regexp_instr("mask", whole), F.length(F.regexp_extract_all("mask", whole, F.lit(0))[0])))
-    rows = rows.withColumn("body", F.regexp_extract("body", r"(?is)\bAS\s*(\(.*)$", 1))
+    rows = _once(rows.withColumnRenamed("body", "whole"), body=F.regexp_extract("whole", r"(?is)\bAS\s*(\(.*)$", 1))
     words = F.transform(F.regexp_extract_all("body", F.lit(r"(\w+)"), F.lit(1)), F.upper)
     used = F.sort_array(F.array_except(F.array_intersect("names", words), F.array("cte")))
     joined, grouped = F.col("body").rlike(r"(?i)\bJOIN\b"), F.col("body").rlike(r"(?i)\bGROUP\s+BY\b")

@@ -33,3 +33,39 @@ def test_review_facts_do_not_broadcast_what_grows_with_the_nodes(spark):
     found = review.facts(nodes, edges, columns(spark), blank, refs)
     assert "BroadcastHashJoin" not in plan(found)
     assert sorted((r["node_id"], r["succs"], r["preds"], r["joined"], r["unused"]) for r in found.collect()) == [(1, 2, 0, None, 2), (2, 0, 1, True, 3), (3, 0, 1, None, 3)]
+
+
+def test_sources_filtered_by_verdict_make_each_mask_once(spark):
+    from millrace.operators import diff
+
+    corpus = spark.createDataFrame([(1, "SELECT 1 FROM A", "WITH c AS (SELECT 1) SELECT 1 FROM c"), (2, "SELECT 1 FROM A", "SELECT 1 FROM A")], "node_id long, before_sql string, after_sql string")
+    found = diff.diff_sources(corpus).filter("verdict = 'unsupported'").select("node_id")
+    assert plan(found).count("regexp_extract_all(before_sql") + plan(found).count("regexp_extract_all(__before") <= 4
+    assert [r[0] for r in found.collect()] == [1]
+
+
+def test_terms_are_resolved_without_a_row_for_every_job_and_node(spark):
+    from millrace.operators import resolve
+
+    terms = [(j, side, 0, "t", "subgraph", None, name, None) for j, side, name in [(1, "include", "G"), (1, "exclude", "H"), (2, "include", "G"), (None, "include", "G"), (None, "exclude", "H"), (3, "include", "NONE")]]
+    terms = spark.createDataFrame(terms, "job_id long, side string, term_no int, term string, kind string, location string, name string, warning string")
+    graphs = spark.createDataFrame([(7, "G", 1), (7, "G", 2), (8, "H", 2), (8, "H", 9)], "subgraph_id int, subgraph_name string, node_id long")
+    nodes = spark.createDataFrame([(1, None, "A"), (2, None, "B")], "node_id long, location string, name string")
+    kept, lost = resolve.resolve_job_nodes(terms, graphs, nodes)
+    assert sorted((r["job_id"] or 0, r["node_id"], r["subgraph_id"]) for r in kept.collect()) == [(0, 1, 7), (0, 2, 7), (1, 1, 7), (2, 1, 7), (2, 2, 7)]
+    assert sorted((r["job_id"] or 0, r["side"]) for r in lost.collect()) == [(0, "exclude"), (0, "include"), (3, "include")]
+    assert "anti" in plan(lost).lower() and "node_id" not in plan(lost).split("LeftAnti")[0]
+
+
+def test_frames_to_the_end_run_backwards(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions.ordered import Frame, framed
+
+    rows = spark.range(20).select((F.col("id") % 2).alias("k"), "id", F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    frames = {f"{f}_{hot}": Frame(f, "v", ("k",), "id", None, 2, None) for f in ("sum", "count", "min", "max", "first", "last") for hot in ("at",)}
+    whole = framed(rows, frames)
+    assert "specifiedwindowframe(RowFrame, -2, unboundedfollowing" not in plan(whole)
+    want = rows.select("k", "id", *[F.expr(f"{f}(v) OVER (PARTITION BY k ORDER BY id ROWS BETWEEN 2 PRECEDING AND UNBOUNDED FOLLOWING)").alias(f"{f}_at") for f in ("sum", "count", "min", "max", "first", "last")])
+    for found in (whole, framed(rows, frames, hot_rows=0, block_rows=4)):
+        assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
