@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.names import norm, norm_expression, squeeze
+from millrace.functions.spread import spread
 from millrace.operators.graph import source_names
 from millrace.operators.joins import predecessor_coverage
 from millrace.sources.scratch import Scratch
@@ -33,7 +34,7 @@ def diff_columns(before: DataFrame, after: DataFrame) -> DataFrame:
     b = _by_name(before).select("node_id", "key", F.col("r").alias("b"))
     a = _by_name(after).select("node_id", "key", F.col("r").alias("a"))
     # Read five times below, so written once.
-    both = Scratch(before.sparkSession, "versions").write(b.join(a, ["node_id", "key"], "full"), "matched")
+    both = Scratch(before.sparkSession, "versions").write(b.join(spread(a), ["node_id", "key"], "full"), "matched")
     old_expr, new_expr = F.coalesce("b.expression", F.lit("")), F.col("a.expression")
     retyped = (F.coalesce("a.data_type", F.lit("")) != "") & ~norm("a.data_type").eqNullSafe(norm("b.data_type"))
     blank = (old_expr == "") & ((new_expr == "") | is_null_placeholder(new_expr))
@@ -71,24 +72,24 @@ def diff_columns(before: DataFrame, after: DataFrame) -> DataFrame:
         )
         return lone.filter("n = 1").drop("n")
 
-    by_expr = single(removed, "before_key", "b_type").join(single(added, "after_key", "a_type"), ["node_id", "expr"])
+    by_expr = single(removed, "before_key", "b_type").join(spread(single(added, "after_key", "a_type")), ["node_id", "expr"])
     by_expr = by_expr.select(
         "node_id", "before_key", "after_key", ((F.col("a_type") != "") & (F.col("a_type") != F.col("b_type"))).alias("retyped")
     )
-    rest_removed = removed.join(by_expr, ["node_id", "before_key"], "left_anti")
-    rest_added = added.join(by_expr, ["node_id", "after_key"], "left_anti")
+    rest_removed = removed.join(spread(by_expr), ["node_id", "before_key"], "left_anti")
+    rest_added = added.join(spread(by_expr), ["node_id", "after_key"], "left_anti")
     by_place = (
-        rest_removed.join(rest_added.drop("expr"), ["node_id", "ordinal"])
+        rest_removed.join(spread(rest_added.drop("expr")), ["node_id", "ordinal"])
         .filter("a_type <> '' AND a_type = b_type")
         .select("node_id", "before_key", "after_key", F.lit(False).alias("retyped"))
     )
     renames = by_expr.unionByName(by_place)
     named = F.array_compact(F.array(F.lit("renamed"), F.when(F.col("retyped"), F.lit("type_changed"))))
     moved = renames.select("node_id", "before_key", "after_key", F.explode(named).alias("change"))
-    gone = rest_removed.join(by_place, ["node_id", "before_key"], "left_anti").select(
+    gone = rest_removed.join(spread(by_place), ["node_id", "before_key"], "left_anti").select(
         "node_id", "before_key", F.lit(None).cast("string").alias("after_key"), F.lit("removed").alias("change")
     )
-    new = rest_added.join(by_place, ["node_id", "after_key"], "left_anti").select(
+    new = rest_added.join(spread(by_place), ["node_id", "after_key"], "left_anti").select(
         "node_id", F.lit(None).cast("string").alias("before_key"), "after_key", F.lit("added").alias("change")
     )
     return same.unionByName(moved).unionByName(gone).unionByName(new)
