@@ -12,3 +12,12 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame) -> DataFrame:
     """``df``, joined by a shuffle whatever its guessed size."""
     return df.hint("merge")
+
+
+#: Rows of a written table that are still sent to every executor.
+SMALL = 100_000
+
+
+def small_or_spread(df: DataFrame) -> DataFrame:
+    """A written table, measured by its number of rows: its files are far smaller than what they hold."""
+    return df if df.count() <= SMALL else spread(df)

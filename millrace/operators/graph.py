@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import norm, trim
-from millrace.functions.spread import spread
+from millrace.functions.spread import small_or_spread, spread
 from millrace.sources.scratch import Scratch
 
 # Function names that look like an alias in ``NAME.COLUMN`` text.
@@ -42,6 +42,10 @@ def extract_edges(nodes: DataFrame, rule: str = "lineage", refs: DataFrame | Non
     predecessors, inside the workspace. ``review``: the listed predecessors only, wherever they are, with ``pos``, their place in
     the list; a node that lists none has those of an object-shaped source mapping. ``join``: alias values; a node without any uses its column references (give ``refs``).
     """
+    if rule in ("lineage", "health", "join"):  # read several times below, and the documents are long
+        ends = lambda m: F.struct(m["aliases"].alias("aliases"), m["dependencies"].alias("dependencies"))
+        listed = F.struct(F.transform("metadata.sourceMapping", ends).alias("sourceMapping")).alias("metadata")
+        nodes = Scratch(nodes.sparkSession, "edges").write(nodes.select("workspaceID", "id", "predecessorNodeIDs", listed), "nodes")
     ws, dst = F.col("workspaceID"), F.col("id").alias("dst")
     mapping = nodes.select(ws, dst, F.explode("metadata.sourceMapping").alias("m"))
     aliases = mapping.select("workspaceID", F.explode(F.map_values("m.aliases")).alias("src"), "dst")
@@ -79,15 +83,6 @@ def column_edges(refs: DataFrame) -> DataFrame:
 # ---- traversal -----------------------------------------------------------------------------
 
 
-#: Rows of a written round that are still sent to every executor; more are joined by a shuffle.
-SMALL_ROUND = 100_000
-
-
-def _small_or_spread(df: DataFrame) -> DataFrame:
-    """A written table, measured by its number of rows: its files are far smaller than what they hold."""
-    return df if df.count() <= SMALL_ROUND else spread(df)
-
-
 #: Roots that share a row: one bit each.
 ROOT_BITS = 64
 
@@ -119,11 +114,11 @@ def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None,
     while not frontier.isEmpty() and (max_depth is None or depth < max_depth):
         depth += 1
         seen = spark.read.schema(shape).parquet(*[f"{scratch.path}/reached/depth={d}" for d in range(depth)])
-        reached = scratch.write(masks(_small_or_spread(frontier).join(step, "node"), "next"), f"candidates/{depth}")
+        reached = scratch.write(masks(small_or_spread(frontier).join(step, "node"), "next"), f"candidates/{depth}")
         # Only what was seen among the candidates matters: late rounds have few of them, so they are
         # broadcast against the seen masks, which then need no shuffle.
-        known = masks(seen.join(_small_or_spread(reached).select("node", "block"), ["node", "block"], "left_semi"), "node").withColumnRenamed("mask", "old")
-        fresh = _small_or_spread(reached).join(known, ["node", "block"], "left").withColumn("mask", F.expr("mask & ~coalesce(old, 0L)")).where("mask <> 0")
+        known = masks(seen.join(small_or_spread(reached).select("node", "block"), ["node", "block"], "left_semi"), "node").withColumnRenamed("mask", "old")
+        fresh = small_or_spread(reached).join(known, ["node", "block"], "left").withColumn("mask", F.expr("mask & ~coalesce(old, 0L)")).where("mask <> 0")
         frontier = scratch.write(fresh.select(*shape.names), f"reached/depth={depth}")
     members = scratch.write(roots.groupBy("block").agg(F.collect_list(F.struct("bit", "root")).alias("roots")), "members")
     scratch.keep_only("reached", "members")
@@ -213,7 +208,7 @@ def longest_paths(edges: DataFrame, starts: DataFrame) -> DataFrame:
     waiting, rnd = None, 0
     while not ready.isEmpty():
         rnd += 1
-        sent = _small_or_spread(ready).join(inner, ["root", "node"]).groupBy("root", F.col("next").alias("node")).agg(
+        sent = small_or_spread(ready).join(inner, ["root", "node"]).groupBy("root", F.col("next").alias("node")).agg(
             F.count(F.lit(1)).alias("got"), F.min(F.struct((F.col("neg") - 1).alias("neg"), F.col("node").alias("prev"))).alias("best")
         )
         if waiting is not None:
@@ -244,7 +239,7 @@ def critical_path(edges: DataFrame, roots: DataFrame) -> DataFrame:
     names = [f"{scratch.path}/walk/0"]
     while True:
         rnd += 1
-        moved = _small_or_spread(here).join(back, ["root", "node"]).select("root", (F.col("position") - 1).alias("position"), F.col("prev").alias("node"))
+        moved = small_or_spread(here).join(back, ["root", "node"]).select("root", (F.col("position") - 1).alias("position"), F.col("prev").alias("node"))
         here = scratch.write(moved, f"walk/{rnd}")
         if here.isEmpty():
             break

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.ordered import HOT_ROWS, hot_keys, neighbour, numbered
+from millrace.functions.spread import small_or_spread
 from millrace.operators import patterns
 from millrace.operators.aggregate import join_to_aggregation
 from millrace.operators.windows import latest_per_key
@@ -409,7 +410,7 @@ def recursive_expand(seed: DataFrame, edges: DataFrame, max_depth: int | None =
         depth += 1
         if depth > longest + 1:
             raise ValueError("the edges have a cycle; give max_depth")
-        grown = level.join(step, "node").groupBy("root", F.col("next").alias("node")).agg(F.sum("paths").alias("paths"))
+        grown = small_or_spread(level).join(small_or_spread(step), "node").groupBy("root", F.col("next").alias("node")).agg(F.sum("paths").alias("paths"))
         level = scratch.write(grown.withColumn("depth", F.lit(depth)), f"level/{depth}")
         if level.isEmpty():
             break

@@ -69,3 +69,23 @@ def test_frames_to_the_end_run_backwards(spark):
     want = rows.select("k", "id", *[F.expr(f"{f}(v) OVER (PARTITION BY k ORDER BY id ROWS BETWEEN 2 PRECEDING AND UNBOUNDED FOLLOWING)").alias(f"{f}_at") for f in ("sum", "count", "min", "max", "first", "last")])
     for found in (whole, framed(rows, frames, hot_rows=0, block_rows=4)):
         assert sorted(map(str, found.select(*want.columns).collect())) == sorted(map(str, want.collect()))
+
+
+def test_schema_versions_are_joined_by_shuffles(spark):
+    from millrace.operators import diff
+
+    before = spark.createDataFrame([(1, 0, "A", "INT", "x"), (1, 1, "B", "INT", "y")], "node_id long, ordinal int, name string, data_type string, expression string")
+    after = spark.createDataFrame([(1, 0, "A", "INT", "x"), (1, 1, "C", "INT", "y")], "node_id long, ordinal int, name string, data_type string, expression string")
+    found = diff.diff_columns(before, after)
+    assert "BroadcastHashJoin" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [(1, "A", "A", "unchanged"), (1, "B", "C", "renamed")]
+
+
+def test_edges_parse_the_documents_once(spark):
+    from millrace.operators import graph
+    from millrace.sources import catalog
+
+    raw = spark.createDataFrame([('{"workspaceID":"w","id":"%s","name":"n","nodeType":"t","predecessorNodeIDs":["a"],"metadata":{"sourceMapping":[{"aliases":{"x":"a"},"dependencies":["b"]}]}}' % i,) for i in "abc"], "raw string")
+    found = graph.extract_edges(catalog.parse_nodes(raw, "raw"), "health")
+    assert "from_json" not in plan(found)
+    assert sorted((r["src"], r["dst"]) for r in found.collect()) == [(s, d) for s in "ab" for d in "abc"]
