@@ -137,7 +137,8 @@ def read_rolling(spark: SparkSession, sink: str, schema: T.StructType, keys: lis
     return latest_per_key(levels.open([*paths, *([state["open"]] if state.get("open") else [])]), ["window_start", *keys], "batch").drop("batch")
 
 
-STATES = "run_id {key}, started timestamp_ntz, updated timestamp_ntz, status string, terminal boolean, timed_out boolean"
+#: States that all runs share, each with the runs of some ids.
+GROUPS = 1024
 
 
 def run_states(status_stream: DataFrame, timeout_seconds: int = WAIT_SECONDS, late: str = "1 hour") -> DataFrame:
@@ -147,38 +148,56 @@ def run_states(status_stream: DataFrame, timeout_seconds: int = WAIT_SECONDS, la
     without a further event. What is kept of a run ends with that row, or, after a terminal status, as soon as the watermark has
     passed it, when no earlier event can come any more. So the kept runs are those of the last ``late`` and those
     that wait. Equal times go to the greater status. Unknown statuses are not read; a null run is a run of its own.
+
+    Runs share ``GROUPS`` states by a hash of their ids, null runs one more, so that a batch calls Python once for a group
+    and not once for a run. A group's timer is that of its run that is due first.
     """
     _check_timeout(timeout_seconds)
-    known = status_stream.filter(F.col("status").isin(*KNOWN_STATUSES)).select("run_id", F.col("ts").cast("timestamp").alias("ts"), "status").withColumn("at", F.unix_micros("ts"))
-    kind = known.schema["run_id"].dataType.simpleString()
+    known = status_stream.filter(F.col("status").isin(*KNOWN_STATUSES)).select("run_id", F.col("ts").cast("timestamp").alias("ts"), "status")
+    kind = known.schema["run_id"].dataType
+    group = F.when(F.col("run_id").isNull(), -1).otherwise(F.pmod(F.xxhash64("run_id"), F.lit(GROUPS)))
+    # as text, since integers beside a null would become floats in pandas
+    text = F.base64("run_id") if isinstance(kind, T.BinaryType) else F.col("run_id").cast("string")
+    known = known.select(group.cast("int").alias("group"), text.alias("run"), F.unix_micros("ts").alias("at"), "status", "ts")
 
     def advance(key, batches, state):
-        if state.hasTimedOut:
-            started, updated, status = state.get
-            state.remove()
-            if status not in TERMINAL:
-                yield _state_row(key[0], started, updated, status, True)
-            return
-        started, updated, status = state.get if state.exists else (None, None, "")
-        for rows in batches:
-            for at, new in zip(rows["at"].tolist(), rows["status"].tolist(), strict=True):
-                started = at if started is None else min(started, at)
+        mark = state.getCurrentWatermarkMs()
+        runs = {run: kept for run, *kept in zip(*state.get, strict=True)} if state.exists else {}
+        changed, out = {}, []
+        for rows in batches if not state.hasTimedOut else ():
+            for run, at, new in zip(rows["run"].tolist(), rows["at"].tolist(), rows["status"].tolist(), strict=True):
+                run = None if key[0] == -1 else run
+                started, updated, status, _ = runs.get(run, (at, None, "", 0))
                 if updated is None or (at, new) > (updated, status):
                     updated, status = at, new
-        state.update((started, updated, status))
-        due = updated if status in TERMINAL else started + timeout_seconds * 1_000_000
-        state.setTimeoutTimestamp(max(due // 1000, state.getCurrentWatermarkMs() + 1))
-        yield _state_row(key[0], started, updated, status, False)
-
-    out = known.withWatermark("ts", late).groupBy("run_id").applyInPandasWithState(
-        advance, STATES.format(key=kind).replace("timestamp_ntz", "long"), "started long, updated long, status string", "update", "EventTimeTimeout"
+                runs[run] = changed[run] = [min(started, at), updated, status, 0]
+        for run, kept in changed.items():
+            started, updated, status, _ = kept
+            due = updated if status in TERMINAL else started + timeout_seconds * 1_000_000
+            kept[3] = max(due // 1000, mark + 1)
+            out.append((run, started, updated, status, status in TERMINAL, False))
+        for run in [run for run, kept in runs.items() if kept[3] < mark]:
+            started, updated, status, _ = runs.pop(run)
+            if status not in TERMINAL:
+                out.append((run, started, updated, status, False, True))
+        if runs:
+            state.update((list(runs), *map(list, zip(*runs.values(), strict=True))))
+            state.setTimeoutTimestamp(min(kept[3] for kept in runs.values()))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=["run", "started", "updated", "status", "terminal", "timed_out"])
+
+    out = known.withWatermark("ts", late).groupBy("group").applyInPandasWithState(
+        advance,
+        "run string, started long, updated long, status string, terminal boolean, timed_out boolean",
+        "run array<string>, started array<long>, updated array<long>, status array<string>, due array<long>",
+        "update",
+        "EventTimeTimeout",
     )
+    run = (F.unbase64("run") if isinstance(kind, T.BinaryType) else F.col("run").cast(kind)).alias("run_id")
     time = lambda c: F.timestamp_micros(c).cast("timestamp_ntz").alias(c)
-    return out.select("run_id", time("started"), time("updated"), "status", "terminal", "timed_out")
-
-
-def _state_row(run, started: int, updated: int, status: str, timed_out: bool) -> pd.DataFrame:
-    return pd.DataFrame({"run_id": [run], "started": [started], "updated": [updated], "status": [status], "terminal": [status in TERMINAL], "timed_out": [timed_out]})
+    return out.select(run, time("started"), time("updated"), "status", "terminal", "timed_out")
 
 
 def _states(spark: SparkSession, sink: str, schema: T.StructType) -> Levels:

@@ -128,6 +128,21 @@ def test_an_event_that_comes_out_of_order_does_not_open_an_ended_run(spark, tmp_
     assert status_of(spark, sink, states)[1] == (1, "completed", True, False)
 
 
+def test_runs_share_states_and_keep_their_own_timers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(streams, "GROUPS", 4)
+    src, sink, mark = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark")
+    far = 2**60  # beyond what a float keeps apart
+    write(spark, src, [(k, at(1, k % 50), 1, 0) for k in range(300)] + [(None, at(1), 1, 0)], "a")
+    write(spark, src, [(k, at(1, 59), 3, 0) for k in range(0, 300, 2)] + [(300, at(1, 59), 2, 0)], "b")
+    states = streams.run_states(statuses(spark, src).withColumn("run_id", F.col("run_id") + far), 600, late="1 minute")
+    query = streams.stream_run_status(states, sink, mark)
+    query.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 5
+    found = status_of(spark, sink, states)
+    want = {far + k: (1, "completed", True, False) if k % 2 == 0 else (1, "waitingToRun", False, k % 50 < 48) for k in range(300)}
+    assert found == want | {far + 300: (1, "running", False, False), None: (1, "waitingToRun", False, True)}
+
+
 def levels_of(spark, folder, schema):
     return Levels(spark, str(folder), schema, lambda rows: latest_per_key(rows, ["k"], "ts", "i"))
 
