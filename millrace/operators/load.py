@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.ordered import HOT_ROWS, hot_keys, neighbour, numbered
 from millrace.functions.spread import small_or_spread
@@ -191,13 +192,18 @@ def hub(
 def link(
     df: DataFrame, hubs: dict[str, list[str]], load_ts: Column, record_source: str, existing: DataFrame | None = None
 ) -> DataFrame:
-    """Distinct relationships of two hubs or more, each side by its hash key."""
+    """Distinct relationships of two hubs or more, each side by its hash key.
+
+    Rows are grouped by what is hashed, which is shorter than its hashes: numbers as they are, else the text that ``hash_of`` reads.
+    """
     if len(hubs) < 2:
         raise ValueError("a link joins at least two hubs")
-    hashed = df.withColumns({"__ts": load_ts, **{n: hash_of(c) for n, c in hubs.items()}})
-    rows = hashed.groupBy(*hubs).agg(F.min("__ts").alias("load_ts")).withColumns(
-        {"hash_key": hash_of(list(hubs)), "record_source": F.lit(record_source)}
-    )
+    keys = {c: f"__key{i}" for i, c in enumerate(dict.fromkeys(c for cs in hubs.values() for c in cs))}
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, T.IntegralType)}
+    read = [F.col(c).alias(k) if c in whole else F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")).alias(k) for c, k in keys.items()]
+    rows = df.select(load_ts.alias("__ts"), *read).groupBy(*keys.values()).agg(F.min("__ts").alias("load_ts"))
+    rows = rows.select(*[hash_of([keys[c] for c in cs]).alias(n) for n, cs in hubs.items()], "load_ts")
+    rows = rows.withColumns({"hash_key": hash_of(list(hubs)), "record_source": F.lit(record_source)})
     return rows if existing is None else rows.join(existing.select("hash_key"), "hash_key", "left_anti")
 
 

@@ -475,6 +475,15 @@ def test_vault_guards_and_grain(spark):
     assert rows(load.grain_violations(df, ["a", "b"])) == [(1, 2, 2)]
 
 
+def test_a_link_is_grouped_by_what_is_hashed(spark):
+    df = spark.createDataFrame([(1, " x", 5), (1, "x ", 3), (1, None, 9), (1, "", 8), (None, "x", 7), (None, "x", 6)], "a long, b string, t int")
+    found = load.link(df, {"one": ["a"], "both": ["a", "b"]}, F.col("t"), "s")
+    assert "hashpartitioning(__key0" in found._jdf.queryExecution().executedPlan().toString()
+    was = df.withColumns({"one": load.hash_of(["a"]), "both": load.hash_of(["a", "b"])}).groupBy("one", "both").agg(F.min("t").alias("load_ts"))
+    was = was.withColumns({"hash_key": load.hash_of(["one", "both"]), "record_source": F.lit("s")})
+    assert found.columns == was.columns and rows(found) == rows(was) and found.count() == 3
+
+
 def test_step_order_kinds_and_cycles(spark):
     steps = {"last": "SELECT * FROM {mid}", "mid": "SELECT a, count(*) n FROM {first} GROUP BY a", "first": "SELECT id % 2 AS a FROM {src}"}
     assert step_order(steps) == ["first", "mid", "last"]
