@@ -1,6 +1,7 @@
 """Edge cases of the operators on small literal frames."""
 
 import random
+import re
 from datetime import datetime
 
 import pytest
@@ -616,3 +617,18 @@ def test_equal_texts_and_names_are_scored_once(spark):
     assert resolve._scored_texts(q, n, Scratch(spark, "test")).count() == 1000
     verdict, candidates = resolve.fuzzy_match_entities(queries.limit(2), nodes)
     assert {r["confidence"] for r in verdict.collect()} == {"unresolved"} and candidates.count() == 2000
+
+
+def test_candidates_of_a_common_text_are_dealt_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(resolve, "CELL", 7)
+    queries = spark.createDataFrame([(k, "large") for k in range(50)] + [(None, "large"), (0, "Large"), (0, "arge"), (1, "other")], "query_id int, name string")
+    nodes = spark.createDataFrame([(k, f"SO_LARGE_{k}") for k in range(40)] + [(0, "TOO_LARGE"), (None, "LARGER"), (3, "SO_LARGE_3")], "node_id int, name string")
+    found = resolve.fuzzy_match_entities(queries, nodes)[1]
+    assert re.search(r"hashpartitioning\(q#\d+, row#\d+, column#\d+", found._jdf.queryExecution().executedPlan().toString())
+    q, n = queries.selectExpr("query_id", "upper(name) AS q"), nodes.selectExpr("node_id", "name AS c")
+    every = q.crossJoin(n).select("query_id", "q", "node_id", resolve.entity_score(F.col("q"), F.col("c")).alias("score")).where("score > 0").distinct()
+    best = every.groupBy("q").agg(F.max("score").alias("best"))
+    one = every.join(best, "q").where("score = best").groupBy("q", "best").agg((F.count_distinct("node_id") == 1).alias("one"))
+    want = every.join(one, "q").where("one OR score = best").select("query_id", "node_id", "score").distinct()
+    assert rows(found) == rows(want)
+    assert rows(resolve.fuzzy_matches(queries, nodes)) == rows(every.select("query_id", "node_id", "score").distinct())
