@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from millrace.sources.scratch import Scratch
+
 SIZE = 3
 PAD = "\x00"
 #: Rarest pieces of a search text whose postings are met with each other, and pieces that are sought by name in the files.
@@ -37,8 +39,11 @@ def build(cells: DataFrame, folder: str) -> None:
     texts.write.mode("overwrite").parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
     padded = F.concat(F.lower("text"), F.lit(PAD * (SIZE - 1)))
-    postings = texts.select(F.explode(_pieces(padded)).alias("piece"), "text_id")
+    # written as they come first: finding the ranges would cut every text into pieces once more
+    scratch = Scratch(spark, "pieces")
+    postings = scratch.write(texts.select(F.explode(_pieces(padded)).alias("piece"), "text_id"), "cut")
     postings.repartitionByRange("piece").sortWithinPartitions("piece", "text_id").write.mode("overwrite").parquet(f"{folder}/postings")
+    scratch.release()
     counts = spark.read.parquet(f"{folder}/postings").groupBy("piece").agg(F.count("*").alias("texts"))
     counts.write.mode("overwrite").parquet(f"{folder}/pieces")
     cells.join(texts, "text").drop("text").write.mode("overwrite").parquet(f"{folder}/cells")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import dialect, rules
 from millrace.functions.names import norm_expression, norm_identifier
-from millrace.operators import aggregate, classify, diff, joins, load, project, profile, resolve, review, runs, search, sorting, windows
+from millrace.operators import aggregate, classify, diff, joins, load, project, profile, resolve, review, runs, search, sorting, textindex, windows
 from millrace.plans.steps import run_steps, step_kind, step_order
 from millrace.sources.scratch import Scratch
 
@@ -632,3 +632,20 @@ def test_candidates_of_a_common_text_are_dealt_over_cells(spark, monkeypatch):
     want = every.join(one, "q").where("one OR score = best").select("query_id", "node_id", "score").distinct()
     assert rows(found) == rows(want)
     assert rows(resolve.fuzzy_matches(queries, nodes)) == rows(every.select("query_id", "node_id", "score").distinct())
+
+
+def test_an_index_cuts_every_text_once(spark, tmp_path, monkeypatch):
+    cut = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<string>")
+    def pieces(text):
+        cut.add(1)
+        return sorted({text[i : i + 3] for i in range(len(text) - 2)})
+
+    cells = spark.createDataFrame([(f"text {i}", i) for i in range(30)] + [(None, 30), ("", 31), ("text 1", 32)], "text string, cell int")
+    with monkeypatch.context() as m:
+        m.setattr(textindex, "_pieces", pieces)
+        textindex.build(cells, str(tmp_path / "i"))
+    assert cut.value == 30
+    found = textindex.search(spark, str(tmp_path / "i"), spark.createDataFrame([(1, "EXT 1"), (2, "9")], "query_id int, query string"))
+    assert rows(found, "query_id", "cell") == sorted([(1, c) for c in (1, *range(10, 20), 32)] + [(2, c) for c in (9, 19, 29)], key=str)
