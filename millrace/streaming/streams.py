@@ -165,6 +165,8 @@ def run_states(status_stream: DataFrame, timeout_seconds: int = WAIT_SECONDS, la
         runs = {run: kept for run, *kept in zip(*state.get, strict=True)} if state.exists else {}
         changed, out = {}, []
         for rows in batches if not state.hasTimedOut else ():
+            if rows["at"].isna().any():
+                raise ValueError("a status has no time")
             for run, at, new in zip(rows["run"].tolist(), rows["at"].tolist(), rows["status"].tolist(), strict=True):
                 run = None if key[0] == -1 else run
                 started, updated, status, _ = runs.get(run, (at, None, "", 0))
