@@ -165,13 +165,13 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """Learn from the texts whose language is known and whose id is not held out."""
-    rows = docs.where(~held_out(id_col) & F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull())
+    """Learn from the texts whose language is known and whose id is not held out; rows without id are told apart by their texts."""
+    rows = docs.where(~held_out(id_col) & F.col(lang).isNotNull() & F.col(text).isNotNull())
     counts = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n")).collect()}
     # about twice the sample of each language by hash, cut to the sample below
     limit = {k: min(1 << 30, int((1 << 30) * 2 * sample / n)) for k, n in counts.items()}
     limits = F.create_map(*[F.lit(x) for pair in limit.items() for x in pair]) if limit else F.create_map(F.lit(""), F.lit(0))
-    place = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(4)), F.lit(1 << 30))
+    place = F.pmod(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.col(text)), F.lit(4)), F.lit(1 << 30))
     kept = rows.select(F.col(id_col).cast("string").alias("id"), F.col(lang).alias("lang"), place.alias("place"), F.col(text).alias("text"))
     kept = Scratch(docs.sparkSession, "langid").write(kept.where(F.col("place") < limits[F.col("lang")]), "sample")
 
