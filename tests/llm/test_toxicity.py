@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import toxicity
 from millrace.llm.queries import QUERIES
@@ -41,6 +42,34 @@ def test_held_out_texts_are_told_apart(spark, rude):
     assert {r["lang"]: r["threshold"] for r in rows} == model.thresholds
 
 
+def test_many_shards_learn_as_one_does(spark, rude):
+    docs, labels = rude
+    model = toxicity.train(docs, labels, shard_bytes=80_000)
+    rows = toxicity.judge(docs, model).join(labels, "doc_id").where(toxicity.held_out()).collect()
+    assert ranking(np.array([r["score"] for r in rows]), np.array([r["toxic"] == 1 for r in rows])) >= 0.9
+    again = toxicity.train(docs.repartition(5), labels, shard_bytes=80_000)
+    assert np.array_equal(model.table, again.table) and model.thresholds == again.thresholds
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    """Of many texts those whose ids' hashes are greatest, which no sample of 2000 for each label held, and texts of over 5000 words."""
+    pick = np.random.default_rng(3)
+    ids = spark.range(6000).orderBy(F.xxhash64("id", F.lit(11)), "id").collect()
+    rows, labels = [], []
+    for k, r in enumerate(ids):
+        words = [f"w{x}" for x in pick.integers(0, 40, 6)]
+        toxic = k % 2 == 1
+        if toxic:
+            words[pick.integers(0, 6)] = "late" if k >= 5600 else "slur"
+        rows.append((r["id"], " ".join(words), "en", "s", 1))
+        labels.append((r["id"], int(toxic)))
+    model = toxicity.train(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    score = {w: model.scores(toxicity.word_hashes(pa.array([f"w1 w2 {w} w4"])))[0] for w in ("late", "slur", "w3")}
+    assert min(score["late"], score["slur"]) > 0.8 and score["w3"] < 0.2
+    long = [(k, f"w{k % 5} " * 5100 + ("slur" if k % 2 else ""), "en", "s", 1) for k in range(60)]
+    assert toxicity.train(documents(spark, long), spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int")) is not None
+
+
 def test_query_scores_all_documents_and_ranks_unseen_ones(spark):
     rows = QUERIES["op11_toxicity"](spark, FOLDER).collect()
     ids = {r["doc_id"] for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id").collect()}
