@@ -63,3 +63,20 @@ def test_odd_rows_clashing_names_and_empty_tables(spark):
     back = bpe.decode(bpe.encode(docs, BYTE_BPE), BYTE_BPE)
     assert all(r["decoded"] == (r["text"] or "") for r in back.collect())
     assert bpe.digests(docs.limit(0), WORD_BPE).count() == 0
+
+
+def test_stretches_met_before_are_not_cut_into_words_again():
+    one = bpe.Bpe(BYTE_BPE)
+    ids, at = one.encode(["a café's 12  men,\n and ½ a cat", "a ½"])
+    one.given = one.quick = None
+    again, ends = one.encode(["a ½", "a café's 12  men,\n and ½ a cat", "a and ½ café's"])
+    assert again[: ends[2]].tolist() == [*ids[at[1] :], *ids[: at[1]]]
+    assert one.decode(again[ends[2] :]) == "a and ½ café's"
+
+
+def test_pairs_are_found_by_hashing():
+    keys = np.unique(np.random.default_rng(9).integers(0, 1 << 32, 20_000))
+    asked = np.concatenate([keys, keys + 1])
+    want = np.where(np.isin(asked, keys), np.searchsorted(keys, asked), -1)
+    assert bpe.Pairs(keys).find(asked).tolist() == want.tolist()
+    assert bpe.Pairs(keys[:0]).find(keys).max() == -1
