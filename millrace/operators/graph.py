@@ -7,11 +7,14 @@ scratch folder; only "is this round empty" returns to the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.names import norm, trim
 from millrace.functions.spread import small_or_spread, spread
+from millrace.operators import reach
 from millrace.sources.scratch import Scratch
 
 # Function names that look like an alias in ``NAME.COLUMN`` text.
@@ -87,21 +90,36 @@ def column_edges(refs: DataFrame) -> DataFrame:
 ROOT_BITS = 64
 
 
-def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None, reverse: bool = False) -> DataFrame:
+def traverse(edges: DataFrame, starts: DataFrame, max_depth: int | None = None, reverse: bool = False, label: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """(root, node, depth) of everything reached from the (root, node) starts; starts are left out.
 
-    Depth is the fewest hops. Cycles end by themselves: a vertex is reached once per root.
+    Depth is the fewest hops. Cycles end by themselves: a vertex is reached once per root. ``label`` keeps or replaces
+    nodes: a join by ``node`` that brings other columns in its place, or none of them.
+
+    A graph of at most ``reach.MOST_EDGES`` edges is searched root by root in files of the shared folder, if that is mounted on
+    the machines; pairs are then made where the result is read, without a shuffle. Others are searched in rounds.
+    """
+    scratch = Scratch(edges.sparkSession, "traverse")
+    here, there = ("dst", "src") if reverse else ("src", "dst")
+    step = scratch.write(edges.select(F.col(here).alias("node"), F.col(there).alias("next")), "edges")
+    starts = scratch.write(starts.select("root", "node").distinct(), "starts")
+    folder = scratch.mounted()
+    if folder and step.count() <= reach.MOST_EDGES:
+        return reach.search(step, starts, scratch, folder, max_depth, label)
+    found = _rounds(step, starts, scratch, max_depth)
+    return label(found) if label else found
+
+
+def _rounds(step: DataFrame, starts: DataFrame, scratch: Scratch, max_depth: int | None) -> DataFrame:
+    """``traverse`` by one join per round.
 
     Roots advance in blocks of ``ROOT_BITS``: a row is a node, a block and a mask of the block's roots that reach the node, and
     masks meet by ``bit_or``. Pairs of root and node are made only where the result is read, without a shuffle.
     """
-    spark = edges.sparkSession
-    scratch = Scratch(spark, "traverse")
-    here, there = ("dst", "src") if reverse else ("src", "dst")
+    spark = step.sparkSession
     # Written as it comes, not partitioned by node: a hub with a great share of the edges would make
     # one huge partition. A small frontier is broadcast to it, a large one joins with skew handling.
-    step = scratch.write(edges.select(F.col(here).alias("node"), F.col(there).alias("next")).distinct(), "edges")
-    starts = scratch.write(starts.select("root", "node").distinct(), "starts")
+    step = scratch.write(step.distinct(), "step")
     # neighbours in order share a block: they tend to reach the same nodes. A row's number counts within its partition.
     roots = starts.where("root IS NOT NULL").select("root").distinct().repartitionByRange("root").sortWithinPartitions("root")
     roots = scratch.write(roots.withColumn("number", F.monotonically_increasing_id()), "roots")
@@ -145,12 +163,14 @@ def column_lineage(col_edges: DataFrame, roots: DataFrame, columns: DataFrame) -
     column_id, name.
     """
     start = pack(roots, root=["node_id", "column_id"]).withColumn("node", F.col("root"))
-    up = traverse(col_edges, start, reverse=True).withColumn("direction", F.lit("upstream"))
-    down = traverse(col_edges, start).withColumn("direction", F.lit("downstream"))
-    return _known_columns(up.unionByName(down), columns)
+    known = lambda reached: _known_columns(reached, columns)
+    up = traverse(col_edges, start, reverse=True, label=known).withColumn("direction", F.lit("upstream"))
+    down = traverse(col_edges, start, label=known).withColumn("direction", F.lit("downstream"))
+    return up.unionByName(down)
 
 
 def _known_columns(reached: DataFrame, columns: DataFrame) -> DataFrame:
+    """Vertices that are columns, with their names."""
     flat = reached.withColumns({"node_id": F.col("node.p0"), "column_id": F.col("node.p1")}).drop("node")
     return flat.join(spread(columns.select("node_id", "column_id", "name")), ["node_id", "column_id"])
 
@@ -169,7 +189,7 @@ def impact_columns(col_edges: DataFrame, columns: DataFrame, roots: DataFrame) -
     keys = ["root", "column_id"] if "column_id" in roots.columns else ["root"]
     start = own.join(spread(roots.select(*keys).distinct()), keys, "left_semi")
     start = start.select("root", F.struct(F.col("root").alias("p0"), F.col("column_id").alias("p1")).alias("node"))
-    return _known_columns(traverse(col_edges, start), columns)
+    return traverse(col_edges, start, label=lambda reached: _known_columns(reached, columns))
 
 
 def impact_summary(nodes_hit: DataFrame, columns_hit: DataFrame) -> DataFrame:
