@@ -50,6 +50,21 @@ def test_no_round_joins_a_graph_that_fits(spark):
     assert found.agg(F.count("*"), F.max("depth")).first()[:] == (60 + 59 + 58, 60)
 
 
+def test_columns_are_known_before_pairs_are_made(spark, monkeypatch):
+    refs = spark.createDataFrame([("a", 1, "b", 1), ("b", 1, "ghost", 9), ("ghost", 9, "d", 1), ("a", 2, "d", 2), ("d", 1, None, None)], "src_node string, src_column int, dst_node string, dst_column int")
+    columns = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), ("d", 1, "x"), ("d", 1, "again"), ("d", 2, "y"), (None, None, "z")], "node_id string, column_id int, name string")
+    roots = spark.createDataFrame([("a",), ("b",), ("none",)], "root string")
+    found = graph.impact_columns(graph.column_edges(refs), columns, roots)
+    deal, result = plan(found).count("Join"), rows(found)
+    assert deal <= 1  # of the starts with their roots' numbers, none of the columns
+    assert found.columns == ["node_id", "column_id", "root", "depth", "name"]
+    assert sorted((r["root"], r["node_id"], r["column_id"], r["depth"], r["name"]) for r in found.collect()) == [
+        ("a", "b", 1, 1, "x"), ("a", "d", 1, 3, "again"), ("a", "d", 1, 3, "x"), ("a", "d", 2, 1, "y"), ("b", "d", 1, 2, "again"), ("b", "d", 1, 2, "x"),
+    ]
+    monkeypatch.setattr(reach, "MOST_EDGES", -1)
+    assert rows(graph.impact_columns(graph.column_edges(refs), columns, roots)) == result
+
+
 def test_pieces_of_a_front():
     assert [*reach.cuts(np.array([0, 2, 0, 3, 9, 1, 0]), 5)] == [(0, 4), (4, 5), (5, 7)]
     assert [*reach.cuts(np.array([0, 0]), 5)] == [*reach.cuts(np.array([], int), 5)] == []
