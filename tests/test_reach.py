@@ -65,6 +65,20 @@ def test_columns_are_known_before_pairs_are_made(spark, monkeypatch):
     assert rows(graph.impact_columns(graph.column_edges(refs), columns, roots)) == result
 
 
+def test_summary_and_depths_count_pairs_without_a_join_of_them(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (3, 1), (4, 4)], "src long, dst long")
+    refs = spark.createDataFrame([(1, 10, 2, 20), (2, 20, 3, 30), (3, 30, 1, 11)], "src_node long, src_column long, dst_node long, dst_column long")
+    columns = spark.createDataFrame([(1, 10, "x"), (1, 11, "y"), (2, 20, "x"), (3, 30, "x")], "node_id long, column_id long, name string")
+    roots = spark.createDataFrame([(1,), (3,), (4,), (9,)], "root long")
+    hit = graph.impact_nodes(edges, roots)
+    depths = graph.impact_by_depth(hit)
+    assert plan(depths).count("Join") <= 1
+    assert sorted(map(tuple, depths.collect())) == [(1, 1, 2), (3, 1, 1), (3, 2, 1)]
+    whole = graph.impact_summary(hit, graph.impact_columns(graph.column_edges(refs), columns, roots))
+    assert plan(whole).count("Join") <= 3
+    assert sorted((r["root"], r["impacted_nodes"], r["deepest"], r["impacted_columns"]) for r in whole.collect()) == [(1, 2, 1, 2), (3, 2, 2, 1)]
+
+
 def test_pieces_of_a_front():
     assert [*reach.cuts(np.array([0, 2, 0, 3, 9, 1, 0]), 5)] == [(0, 4), (4, 5), (5, 7)]
     assert [*reach.cuts(np.array([0, 0]), 5)] == [*reach.cuts(np.array([], int), 5)] == []
