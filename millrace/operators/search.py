@@ -10,15 +10,16 @@ FIELDS = ["name", "nodeType", "sql", "description", "config", "columnName", "col
 SNIPPET_SIDE = 60
 
 
-def snippet(text: Column, query: str | Column) -> Column:
-    """The hit with 60 characters on each side; an ellipsis marks a cut."""
+def snippet(text: Column, query: str | Column, at: Column | None = None, length: Column | None = None) -> Column:
+    """The hit with 60 characters on each side; an ellipsis marks a cut. ``at`` and ``length`` of the text, if they are known."""
     query = F.lit(query) if isinstance(query, str) else query
-    at = F.instr(F.lower(text), F.lower(query))
+    at = F.instr(F.lower(text), F.lower(query)) if at is None else at
+    length = F.length(text) if length is None else length
     start = F.greatest(at - SNIPPET_SIDE, F.lit(1))
-    end = F.least(at - 1 + F.length(query) + SNIPPET_SIDE, F.length(text))
+    end = F.least(at - 1 + F.length(query) + SNIPPET_SIDE, length)
     body = F.substring(text, start, end - start + 1)
     head = F.when(start > 1, "…").otherwise("")
-    tail = F.when(end < F.length(text), "…").otherwise("")
+    tail = F.when(end < length, "…").otherwise("")
     return F.concat(head, body, tail)
 
 
@@ -96,7 +97,7 @@ def index_content(nodes: DataFrame, columns: DataFrame, folder: str) -> None:
 def search_indexed(spark: SparkSession, folder: str, queries: DataFrame) -> DataFrame:
     """What ``search_content`` finds for every text of ``queries(query_id, query)``, in one job and from the index alone."""
     found = textindex.search(spark, folder, queries)
-    text = F.when(F.col("whole"), F.col("text")).otherwise(snippet(F.col("text"), F.col("query")))
+    text = F.when(F.col("whole"), F.col("text")).otherwise(snippet(F.col("text"), F.col("query"), F.col("at"), F.col("length")))
     return found.select("query_id", "node_id", "field", "column_name", text.alias("snippet"))
 
 

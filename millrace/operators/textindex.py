@@ -20,25 +20,22 @@ NAMED = 500
 
 def _pieces(text: Column) -> Column:
     """The different pieces of a text of SIZE characters or more, in one pass over its characters (a substring would count
-    them from the beginning each time)."""
-    chars = F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
-    rows = chars
-    for k in range(1, SIZE):
-        rows = F.zip_with(rows, F.slice(chars, k + 1, F.size(chars)), lambda x, y: F.concat(x, y))
-    return F.array_distinct(F.slice(rows, 1, F.size(chars) - (SIZE - 1)))
+    them from the beginning each time): each match looks SIZE characters ahead and takes one."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(" + "." * SIZE + "))."), F.lit(1)))
 
 
 def build(cells: DataFrame, folder: str) -> None:
-    """Store an index of ``cells(text, ...)``: distinct texts, their postings, and the cells without their texts.
+    """Store an index of ``cells(text, ...)``: distinct texts, as they are and in lower case, their postings, and the cells without their texts.
 
     Null and empty texts hold nothing and are left out.
     """
     spark = cells.sparkSession
     cells = cells.where("text <> ''")
-    texts = cells.select("text").distinct().withColumn("text_id", F.monotonically_increasing_id())
+    # a text is made lower and measured once, not for every search that looks into it
+    texts = cells.select("text").distinct().select("text", F.lower("text").alias("low"), F.length("text").alias("length"), F.monotonically_increasing_id().alias("text_id"))
     texts.write.mode("overwrite").parquet(f"{folder}/texts")
     texts = spark.read.parquet(f"{folder}/texts")
-    padded = F.concat(F.lower("text"), F.lit(PAD * (SIZE - 1)))
+    padded = F.concat("low", F.lit(PAD * (SIZE - 1)))
     # written as they come first: finding the ranges would cut every text into pieces once more
     scratch = Scratch(spark, "pieces")
     postings = scratch.write(texts.select(F.explode(_pieces(padded)).alias("piece"), "text_id"), "cut")
@@ -46,13 +43,13 @@ def build(cells: DataFrame, folder: str) -> None:
     scratch.release()
     counts = spark.read.parquet(f"{folder}/postings").groupBy("piece").agg(F.count("*").alias("texts"))
     counts.write.mode("overwrite").parquet(f"{folder}/pieces")
-    cells.join(texts, "text").drop("text").write.mode("overwrite").parquet(f"{folder}/cells")
+    cells.join(texts.select("text", "text_id"), "text").drop("text").write.mode("overwrite").parquet(f"{folder}/cells")
 
 
 def search(spark: SparkSession, folder: str, queries: DataFrame) -> DataFrame:
-    """(query_id, query, text, cell columns) of every cell that holds a text of ``queries(query_id, query)``, in any case.
+    """(query_id, query, text, length, at, cell columns) of every cell that holds a text of ``queries(query_id, query)``, in any case.
 
-    Null and empty search texts find nothing.
+    ``at`` is where it first does, ``length`` that of the text. Null and empty search texts find nothing.
     """
     texts, postings, pieces, cells = (spark.read.parquet(f"{folder}/{n}") for n in ("texts", "postings", "pieces", "cells"))
     sought = queries.where("query <> ''").select(F.lower("query").alias("sought")).distinct()
@@ -67,6 +64,9 @@ def search(spark: SparkSession, folder: str, queries: DataFrame) -> DataFrame:
     if len(named) <= NAMED:
         postings = postings.where(F.col("piece").isin(named))
     met = postings.join(wanted, "piece").groupBy("sought", "needed", "text_id").agg(F.count_distinct("piece").alias("held"))
-    found = met.where((F.col("held") >= F.col("needed"))).join(texts, "text_id").where(F.instr(F.lower("text"), F.col("sought")) > 0)
+    found = met.where((F.col("held") >= F.col("needed"))).join(texts, "text_id")
+    # as the one element of an array: a plain column would be made again where it is read
+    place = F.explode(F.array(F.expr("instr(low, sought)")))
+    found = found.select("sought", "text_id", "text", "length", place.alias("at")).where("at > 0")
     asked = queries.where("query <> ''").withColumn("sought", F.lower("query"))
-    return found.select("sought", "text_id", "text").join(asked, "sought").join(cells, "text_id").drop("sought", "text_id")
+    return found.join(asked, "sought").join(cells, "text_id").drop("sought", "text_id")

@@ -2,8 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
 
-from millrace.operators import load, search
+from millrace.operators import load, search, textindex
 
 ROW = "k string, id int, v int, w double"
 
@@ -65,3 +66,17 @@ def test_index_finds_what_a_scan_finds(spark, tmp_path):
     assert got == sorted(want, key=str)
     none = search.search_indexed(spark, str(tmp_path / "index"), spark.createDataFrame([], "query_id int, query string"))
     assert none.count() == 0
+
+
+def test_a_search_makes_no_text_lower_again(spark, tmp_path):
+    nodes = spark.createDataFrame([(1, "😀Äb\nc", "View", "x" * 70 + "😀äB" + "y" * 70, None, "")], "node_id long, name string, node_type string, sql string, description string, config string")
+    columns = spark.createDataFrame([(1, 0, "😀", "INT")], "node_id long, ordinal int, name string, data_type string")
+    search.index_content(nodes, columns, str(tmp_path / "index"))
+    found = search.search_indexed(spark, str(tmp_path / "index"), spark.createDataFrame([(1, "😀äb"), (2, "b\nc"), (3, "😀")], "query_id int, query string"))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "lower(text" not in text and text.count("instr(") == 1
+    assert sorted((r["query_id"], r["field"], r["snippet"]) for r in found.collect()) == [
+        (1, "name", "😀Äb\nc"), (1, "sql", "…" + "x" * 60 + "😀äB" + "y" * 60 + "…"), (2, "name", "😀Äb\nc"), (3, "columnName", "😀"), (3, "name", "😀Äb\nc"), (3, "sql", "…" + "x" * 60 + "😀" + "äB" + "y" * 58 + "…"),
+    ]
+    pieces = spark.createDataFrame([("a😀b\nab\na",)], "t string").select(textindex._pieces(F.col("t"))).first()[0]
+    assert pieces == ["a😀b", "😀b\n", "b\na", "\nab", "ab\n"]
