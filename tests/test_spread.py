@@ -89,3 +89,22 @@ def test_edges_parse_the_documents_once(spark):
     found = graph.extract_edges(catalog.parse_nodes(raw, "raw"), "health")
     assert "from_json" not in plan(found)
     assert sorted((r["src"], r["dst"]) for r in found.collect()) == [(s, d) for s in "ab" for d in "abc"]
+
+
+def test_job_nodes_come_in_blocks_job_after_job(spark, tmp_path, monkeypatch):
+    import itertools
+    import os
+
+    from millrace.operators import resolve
+
+    terms = [(j, "include", 0, "t", "subgraph", None, "G", None) for j in range(200)] + [(999, "include", 0, "t", "subgraph", None, "H", None)]
+    terms = spark.createDataFrame(terms, "job_id long, side string, term_no int, term string, kind string, location string, name string, warning string")
+    graphs = spark.range(1000).selectExpr("CAST(id % 3 AS int) AS subgraph_id", "CASE WHEN id % 3 = 0 THEN 'H' ELSE 'G' END AS subgraph_name", "id * 7919 AS node_id")
+    nodes = graphs.selectExpr("node_id", "CAST(null AS string) AS location", "'n' AS name")
+    monkeypatch.setattr(resolve, "PARTS", 2)
+    kept, _ = resolve.resolve_job_nodes(terms, graphs.unionByName(graphs), nodes)
+    kept.write.parquet(str(tmp_path / "kept"))
+    found = [r["job_id"] for r in kept.collect()]
+    assert len(found) == 200 * 666 + 334 and kept.distinct().count() == len(found)
+    assert len([*itertools.groupby(found)]) <= len(found) / 100
+    assert sum(f.stat().st_size for f in os.scandir(tmp_path / "kept") if f.name.endswith(".parquet")) < len(found) / 2
